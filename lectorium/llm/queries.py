@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["p8_encode"]
+MODULES = ["p2_repetition", "p8_encode", "p9_leaks"]
 
 
 def collect(what: str) -> dict:
