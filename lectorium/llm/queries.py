@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["p2_repetition", "p8_encode", "p9_leaks"]
+MODULES = ["p1_quality", "p2_repetition", "p8_encode", "p9_leaks", "p10_residue"]
 
 
 def collect(what: str) -> dict:

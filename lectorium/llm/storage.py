@@ -1,0 +1,19 @@
+"""Cutting lineage in storage that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A checkpoint of df in the folder the session names in spark.checkpoint.dir.
+
+    It survives the loss of executors. Only where that setting is missing (tests, local runs) is a
+    local folder set, once for the session.
+    """
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lectorium-"))
+    return df.checkpoint()
