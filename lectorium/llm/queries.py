@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["p1_quality", "p2_repetition", "p3_markup", "p4_near", "p6_turns", "p7_forms", "p8_encode", "p9_leaks", "p10_residue"]
+MODULES = ["p1_quality", "p2_repetition", "p3_markup", "p4_near", "p5_canonical", "p6_turns", "p7_forms", "p8_encode", "p9_leaks", "p10_residue"]
 
 
 def collect(what: str) -> dict:
