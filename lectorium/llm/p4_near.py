@@ -4,15 +4,17 @@ A text's fingerprint holds, in 256 bits, the parity of its words by hash. The Ha
 two fingerprints never exceeds the number of words that the texts don't share, so a similarity
 threshold gives a radius that loses no pair. Texts lie in rings around vantage points (the empty
 text, whose distance is the number of words, and two texts of a bounded sample); a text visits
-every ring cell that its radius reaches by the triangle inequality. Cells are cut into shards of
-bounded size; inside a shard, fingerprints are compared, and the pairs within the radius are
+every ring cell that its radius reaches by the triangle inequality. Rings around a sampled text
+are cut by the words shared with it, half of what its distance and that of the empty text differ
+by; the triangle bounds of both together are tighter there. Cells are cut into shards of bounded
+size; inside a shard, fingerprints are compared, and the pairs within the radius are
 checked exactly on their words. Texts with equal words are one class and are compared once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import floor, log
+from math import ceil, floor, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ THRESHOLD = 0.7
 SAMPLE = 512
 #: Most texts, and about the most visitors, that one shard holds.
 SHARD = 32768
-#: Ratio of the ring bounds around vantage points, and of the size rings.
-RING, SIZE_RING = 1.35, 1.2
+#: Ratio of the size rings; parts into which the words of a vantage text are cut for its rings.
+SIZE_RING, RINGS = 1.43, 5
 BITS = 256
 _WORDS = BITS // 64
 
@@ -45,8 +47,11 @@ def _mix(h: np.ndarray, salt: int) -> np.ndarray:
 
 
 def word_sets(texts: list[str | None], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct folded words of all texts, sorted in each, and their bounds."""
-    sets = [np.unique(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))) if text and (words := set(word_runs(text))) else np.empty(0, np.uint64) for text in texts]
+    """Hashes of the distinct folded words of all texts, and their bounds."""
+    sets = []
+    for text in texts:
+        own = set(map(memo.__getitem__, set(word_runs(text)))) if text else ()
+        sets.append(np.fromiter(own, np.uint64, len(own)))
     return np.concatenate(sets) if sets else np.empty(0, np.uint64), np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64)
 
 
@@ -64,72 +69,62 @@ def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
 
 
 class Vantage:
-    """Distances (words not shared) to vantage texts."""
+    """The vantage texts and the rings around them."""
 
     def __init__(self, texts: list[str]):
         memo = Memo(_hash)
         hashes, bounds = word_sets(texts, memo)
-        sets = [hashes[a:b] for a, b in zip(bounds, bounds[1:])]
-        sets = [s for s in sets if len(s)]
+        sets = [s for a, b in zip(bounds, bounds[1:]) if len(s := hashes[a:b])]
         chosen = sets[:1]
         if len(sets) > 1:
             chosen.append(max(sets, key=lambda s: len(np.setxor1d(s, chosen[0], assume_unique=True))))
-        self.sizes = [len(s) for s in chosen]
+        self.width = [max(1, len(s) // RINGS) for s in chosen]
         self.vocabulary = np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.uint64)
         self.member = np.array([np.isin(self.vocabulary, s) for s in chosen], np.int64).reshape(len(chosen), -1)
 
-    def distances(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        sizes = np.diff(bounds)
-        if not len(self.vocabulary):
-            return np.zeros((0, len(sizes)), np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        hit = self.vocabulary[at] == hashes
-        out = []
-        for member, size in zip(self.member, self.sizes):
-            shared = np.concatenate(([0], np.cumsum(member[at] * hit)))
-            out.append(sizes + size - 2 * (shared[bounds[1:]] - shared[bounds[:-1]]))
-        return np.array(out)
+    def shared(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Words that each text shares with each vantage text."""
+        out = np.zeros((2, len(bounds) - 1), np.int64)
+        if len(self.vocabulary):
+            at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+            hit = self.vocabulary[at] == hashes
+            for i, member in enumerate(self.member):
+                total = np.concatenate(([0], np.cumsum(member[at] * hit)))
+                out[i] = total[bounds[1:]] - total[bounds[:-1]]
+        return out
 
+    def cell(self, size: int, shared: tuple[int, int]) -> tuple[int, ...]:
+        return (size_ring(size), *(n // w for n, w in zip(shared, self.width)))
 
-def _ring(d: float, ratio: float) -> int:
-    return int(log(1 + max(0, d)) / log(ratio))
+    def reach(self, size: int, shared: tuple[int, int], threshold: float) -> list[tuple[int, int]]:
+        """Lowest and highest ring, by vantage point, of a partner with no more words.
 
+        Of n words, a partner lacks at most (1 - t) n, and has at most (1 - t) / (1 + t) n others.
+        """
+        lacks, adds = floor((1 - threshold) * size + 1e-9), floor((1 - threshold) / (1 + threshold) * size + 1e-9)
+        return [(size_ring(max(1, ceil(threshold * size - 1e-9))), size_ring(size)), *((max(0, n - lacks) // w, (n + adds) // w) for n, w in zip(shared, self.width))]
 
-def _size_ring(n: float) -> int:
-    return int(log(max(1, n)) / log(SIZE_RING) + 1e-9)
-
-
-def radius(n: int, threshold: float) -> int:
-    """Most words not shared by a text of n words and one that is no larger, at the threshold."""
-    return floor(2 * n * (1 - threshold) / (1 + threshold) + 1e-9)
-
-
-def reach(size: int, distances: tuple[int, ...], threshold: float) -> list[range]:
-    """Rings, by vantage point, in which a partner with no more words can lie."""
-    r = radius(size, threshold)
-    return [range(_size_ring(threshold * size - 1), _size_ring(size) + 1), *(range(_ring(d - r, RING), _ring(d + r, RING) + 1) for d in distances)]
 
-
-def _cell(size: int, distances: tuple[int, ...]) -> tuple[int, ...]:
-    return (_size_ring(size), *(_ring(d, RING) for d in distances))
+def size_ring(n: int) -> int:
+    return int(log(max(1, n)) / log(SIZE_RING) + 1e-9)
 
 
 def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Vantage]:
-    """(id, k1, k2, size, bits, d1, d2) of each text that has a word; a checkpoint."""
+    """(id, k1, k2, size, bits, v1, v2) of each text that has a word, v1 and v2 being the words it
+    shares with the vantage texts; a checkpoint."""
     sample = [r[0] for r in df.select(text_col).where(F.col(text_col).isNotNull()).limit(SAMPLE).collect()]
     vantage = Vantage(sample)
-    schema = f"id {df.schema[id_col].dataType.simpleString()}, k1 long, k2 long, size int, bits binary, d1 int, d2 int"
+    schema = f"id {df.schema[id_col].dataType.simpleString()}, k1 long, k2 long, size int, bits binary, v1 int, v2 int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(_hash)
         for batch in slices(batches):
             hashes, bounds = word_sets(batch.column(1).to_pylist(), memo)
             bits, k1, k2 = fingerprints(hashes, bounds)
-            d = vantage.distances(hashes, bounds)
-            d = np.concatenate([d, np.zeros((2 - len(d), batch.num_rows), np.int64)])
+            v = vantage.shared(hashes, bounds)
             sizes = np.diff(bounds)
-            columns = [batch.column(0), pa.array(k1), pa.array(k2), pa.array(sizes, pa.int32()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(d[0], pa.int32()), pa.array(d[1], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "k1", "k2", "size", "bits", "d1", "d2"]).filter(pa.array(sizes > 0))
+            columns = [batch.column(0), pa.array(k1), pa.array(k2), pa.array(sizes, pa.int32()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(v[0], pa.int32()), pa.array(v[1], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "k1", "k2", "size", "bits", "v1", "v2"]).filter(pa.array(sizes > 0))
 
     return kept(spread(df.select(id_col, text_col)).mapInArrow(run, schema)), vantage
 
@@ -137,83 +132,87 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Vanta
 def _within(q_bits: np.ndarray, q_size: np.ndarray, d_bits: np.ndarray, d_size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (visitor, text) with no more words in the text and a distance within the radius.
 
-    Both sides are sorted by size. Blocks outside each other's sizes are passed over; the first half
-    of the bits rejects nearly all pairs of the others.
+    Both sides are sorted by size, and the bits lie word by word. Blocks outside each other's sizes
+    are passed over. So many words of the bits are compared for all pairs of a block as the block's
+    radius needs to reject nearly all of them; the rest for those that are left.
     """
     share = (1 - threshold) / (1 + threshold)
     rows, cols = [], []
-    step_q, step_d = 128, 2048
-    buffers = np.empty((step_q, step_d), np.uint64), np.empty((step_q, step_d), np.uint8), np.empty((step_q, step_d), np.uint8)
+    step_q, step_d = 64, 4096
+    x_all, n_all, t_all = np.empty((step_q, step_d), np.uint64), np.empty((step_q, step_d), np.uint8), np.empty((step_q, step_d), np.uint8)
     for a in range(0, len(q_size), step_q):
-        q, qs = q_bits[a : a + step_q], q_size[a : a + step_q]
+        q, qs = q_bits[:, a : a + step_q], q_size[a : a + step_q]
         low, high = np.searchsorted(d_size, threshold * qs[0] - 1e-9), np.searchsorted(d_size, qs[-1], "right")
         for b in range(low, high, step_d):
-            d, ds = d_bits[b : min(b + step_d, high)], d_size[b : min(b + step_d, high)]
-            x, n, total = (u[: len(q), : len(d)] for u in buffers)
-            np.bitwise_xor(q[:, 0, None], d[None, :, 0], out=x)
-            np.bitwise_count(x, out=total)
-            np.bitwise_xor(q[:, 1, None], d[None, :, 1], out=x)
-            np.bitwise_count(x, out=n)
-            np.add(total, n, out=total)
+            end = min(b + step_d, high)
+            d, ds = d_bits[:, b:end], d_size[b:end]
             most = min(255, floor(share * (int(qs[-1]) + int(ds[-1])) + 1e-9))
+            used = 2 if most <= 28 else 3 if most <= 42 else _WORDS
+            x, n, total = (u[: q.shape[1], : end - b] for u in (x_all, n_all, t_all))
+            for w in range(used):
+                np.bitwise_xor(q[w, :, None], d[w, None, :], out=x)
+                np.bitwise_count(x, out=n if w else total)
+                if w:
+                    # counts stop at 255, which a radius of 255 or more lets pass
+                    np.add(total, n, out=total) if w < 3 else np.minimum(total.astype(np.int16) + n, 255, out=total, casting="unsafe")
             i, j = np.nonzero(total <= most)
             if not len(i):
                 continue
-            exact = total[i, j].astype(np.int64)
-            for w in range(2, _WORDS):
-                exact += np.bitwise_count(q[i, w] ^ d[j, w])
-            both = qs[i].astype(np.int64) + ds[j]
-            ok = (exact <= np.floor(share * both + 1e-9)) & (ds[j] <= qs[i]) & (ds[j] >= threshold * qs[i] - 1e-9)
+            exact = np.bitwise_count(q[:, i] ^ d[:, j]).sum(axis=0, dtype=np.int64)
+            ok = (exact <= np.floor(share * (qs[i].astype(np.int64) + ds[j]) + 1e-9)) & (ds[j] <= qs[i]) & (ds[j] >= threshold * qs[i] - 1e-9)
             rows.append(i[ok] + a)
             cols.append(j[ok] + b)
     return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
-def candidate_pairs(found: DataFrame, threshold: float, shard: int = SHARD) -> DataFrame:
+def candidate_pairs(found: DataFrame, vantage: Vantage, threshold: float, shard: int = SHARD) -> DataFrame:
     """(k1, k2, j1, j2): pairs of classes within the radius, each once.
 
     found is a checkpoint with one row per text. Only the number of texts in each ring cell is
     brought to the driver; the number of cells is bounded by the rings, not by the data.
     """
     spark = found.sparkSession
-    heads = found.groupBy("k1", "k2").agg(F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("d1").alias("d1"), F.first("d2").alias("d2"))
-    size_ring = F.floor(F.log(F.greatest(F.lit(1), F.col("size"))) / log(SIZE_RING) + 1e-9).cast("int")
-    ring = lambda c: F.floor(F.log(1 + F.col(c).cast("double")) / log(RING)).cast("int")
-    heads = kept(heads.withColumns({"s": size_ring, "r1": ring("d1"), "r2": ring("d2")}))
+    heads = found.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("size", "bits", "v1", "v2")))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, v1, v2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "v1", "v2"))
+            cells = [vantage.cell(n, (a, b)) for n, a, b in zip(size, v1, v2)]
+            padded = [(*c, 0, 0)[:3] for c in cells]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([c[i] for c in padded], pa.int32()) for i in range(3))], names=[*batch.schema.names, "s", "r1", "r2"])
+
+    heads = kept(heads.mapInArrow(place, "k1 long, k2 long, size int, bits binary, v1 int, v2 int, s int, r1 int, r2 int"))
     counts = {(r["s"], r["r1"], r["r2"]): r["count"] for r in heads.groupBy("s", "r1", "r2").count().collect()}
-    # Visitors of a cell: at most the texts of all cells from which it can be reached. A ring's
-    # bounds are widened by one ring, for the rounding of logarithms.
+    # About as many visitors of a cell as there are texts in the cells from which it can be reached.
     visitors = dict.fromkeys(counts, 0)
-    for (s, r1, r2), n in counts.items():
-        most = SIZE_RING ** (s + 1)
-        r = radius(int(most) + 1, threshold)
-        low = [_size_ring(threshold * SIZE_RING**s - 1) - 1, *(_ring(RING**x - 1 - r, RING) - 1 for x in (r1, r2))]
-        high = [s + 1, *(_ring(RING ** (x + 1) + r, RING) + 1 for x in (r1, r2))]
+    widths = [*vantage.width, 1, 1][:2]
+    for (s, *rings), n in counts.items():
+        size = int(SIZE_RING ** (s + 1))
+        around = vantage.reach(size, tuple(r * w + w // 2 for r, w in zip(rings, widths)), threshold)
         for cell in counts:
-            if all(a <= c <= b for a, c, b in zip(low, cell, high)):
+            if all(a <= c <= b for (a, b), c in zip(around, cell)):
                 visitors[cell] += n
-    cuts = {c: (-(-n // shard), -(-visitors[c] // shard)) for c, n in counts.items()}
+    cuts = {c: (-(-n // shard), max(1, -(-visitors[c] // shard))) for c, n in counts.items()}
     columns = "shard string, visits boolean, k1 long, k2 long, size int, bits binary"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512):
-            size, k1, d1, d2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "k1", "d1", "d2"))
+        for batch in slices(batches):
+            size, k1, v1, v2 = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("size", "k1", "v1", "v2"))
             own = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("s", "r1", "r2"))))
             at, shards, visits = [], [], []
+            reached = Memo(lambda key: [(c, *cuts[c]) for c in cuts if all(a <= x <= b for (a, b), x in zip(key, c))])
             for i in range(batch.num_rows):
                 texts, chunks = cuts[own[i]]
                 for chunk in range(chunks):
                     at.append(i)
                     shards.append(f"{own[i]}/{k1[i] % texts}/{chunk}")
                     visits.append(False)
-                low_high = [(x[0] - 1, x[-1] + 1) for x in reach(size[i], (d1[i], d2[i]), threshold)]
-                for cell, (texts, chunks) in cuts.items():
-                    if all(a <= c <= b for (a, b), c in zip(low_high, cell)):
-                        chunk = (k1[i] >> 20) % chunks
-                        for part in range(texts):
-                            at.append(i)
-                            shards.append(f"{cell}/{part}/{chunk}")
-                            visits.append(True)
+                for cell, texts, chunks in reached[tuple(vantage.reach(size[i], (v1[i], v2[i]), threshold))]:
+                    chunk = (k1[i] >> 20) % chunks
+                    for part in range(texts):
+                        at.append(i)
+                        shards.append(f"{cell}/{part}/{chunk}")
+                        visits.append(True)
             take = pa.array(at, pa.int32())
             pick = [batch.column(batch.schema.get_field_index(c)).take(take) for c in ("k1", "k2", "size", "bits")]
             yield pa.RecordBatch.from_arrays([pa.array(shards, pa.string()), pa.array(visits, pa.bool_()), *pick], names=["shard", "visits", "k1", "k2", "size", "bits"])
@@ -224,6 +223,7 @@ def candidate_pairs(found: DataFrame, threshold: float, shard: int = SHARD) -> D
         sides = []
         for side in (group.filter(pa.array(visits)), group.filter(pa.array(~visits))):
             bits = np.frombuffer(b"".join(side.column("bits").to_pylist()), np.uint64).reshape(-1, _WORDS)
+            bits = np.ascontiguousarray(bits.T)
             sides.append((bits, side.column("size").to_numpy(), side.column("k1").to_numpy(), side.column("k2").to_numpy()))
         (qb, qs, q1, q2), (db, ds, d1, d2) = sides
         i, j = _within(qb, qs, db, ds, threshold)
@@ -246,8 +246,8 @@ def near_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = T
     rows; other columns are ignored. Equal texts, whatever their number, are one class.
     """
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found, _ = classes(texts, "id", "text")
-    near = kept(candidate_pairs(found, threshold))
+    found, vantage = classes(texts, "id", "text")
+    near = kept(candidate_pairs(found, vantage, threshold))
     members = found.select("id", "k1", "k2").distinct()
     # The words of one text for each class in a candidate pair.
     wanted = near.select("k1", "k2").unionByName(near.select(F.col("j1").alias("k1"), F.col("j2").alias("k2"))).distinct()
