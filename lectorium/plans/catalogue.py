@@ -7,6 +7,14 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import lexicon as L
+from ..functions import json_text, text, urls
+from ..operators import chunking, documents, jobs, nodes, quality, segments
+from ..operators.storage import kept
+from ..sources import tables
+from . import pipelines, sql
 
 _SHIPPED: set[str] = set()
 
@@ -14,8 +22,7 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors' Python workers once per application.
 
-    Local and local-cluster sessions that inherit the driver's PYTHONPATH need it just as
-    clusters do, since a worker's path doesn't follow the driver's sys.path.
+    A worker's path doesn't follow the driver's sys.path.
     """
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
@@ -36,5 +43,469 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+def query(statement: str | None = None):
+    """Registers a query under its function's name, with its SQL."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if statement:
+            SQL[f.__name__] = statement
+        return f
+
+    return register
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return tables.spread(tables.read(spark, d, "documents")).where(F.col("text").isNotNull())
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    return segments.delivered_once(tables.read(spark, d, "segments"))
+
+
+def _nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes once each, with the fields of their metadata as columns."""
+    once = tables.read(spark, d, "nodes").dropDuplicates(["id"])
+    return once.select("id", "text", *(F.col(f"metadata.{c}").alias(c) for c in ("subject", "topic", "category", "keywords", "has_code", "file_name", "question_templates", "source_quote")))
+
+
+def _kb(spark: SparkSession, d: str) -> DataFrame:
+    once = tables.read(spark, d, "knowledge_base_qwen").dropDuplicates(["id_"])
+    return once.select("id_", "text", *(F.col(f"metadata.{c}").alias(c) for c in ("subject", "topic", "category", "keywords", "has_code", "file_name", "page")))
+
+
+_DOC = "FROM documents WHERE text IS NOT NULL"
+_NODE = "n AS (SELECT DISTINCT id, text, metadata FROM nodes)"
+_KB = "k AS (SELECT DISTINCT id_, text, metadata FROM knowledge_base_qwen)"
+
+# ---- text
+
+
+@query(f"SELECT doc_id, {sql.spaces('text')} AS spaced, {sql.match('text')} AS norm {_DOC}")
+def norm_text(spark, d):
+    return _documents(spark, d).select("doc_id", text.normalize_spaces(F.col("text")).alias("spaced"), text.match_form(F.col("text")).alias("norm"))
+
+
+@query(f"SELECT doc_id, {sql.punctuation('text')} AS clean {_DOC}")
+def punct_clean(spark, d):
+    return _documents(spark, d).select("doc_id", text.normalize_punctuation(F.col("text")).alias("clean"))
+
+
+@query(f"SELECT doc_id, {sql.terms('text')} AS fixed {_DOC}")
+def term_fix(spark, d):
+    return _documents(spark, d).select("doc_id", text.normalize_terms(F.col("text")).alias("fixed"))
+
+
+@query(f"WITH s AS (SELECT doc_id, {sql.sentences('text')} AS p {_DOC}) SELECT doc_id, unnest(p) AS sentence, generate_subscripts(p, 1) - 1 AS sentence_idx FROM s")
+def sentence_split(spark, d):
+    return chunking.exploded(_documents(spark, d), ["doc_id"], text.sentences(F.col("text")), "sentence_idx", "sentence")
+
+
+@query(f"""WITH s AS (SELECT doc_id, {sql.sentences('text')} AS p {_DOC}),
+e AS (SELECT doc_id, unnest(p) AS sentence, generate_subscripts(p, 1) AS i FROM s), k AS (SELECT *, {sql.match('sentence')} AS key FROM e),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY i) AS r FROM k WHERE key <> '')
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS sentence_idx, sentence FROM f WHERE r = 1""")
+def sentence_distinct(spark, d):
+    return chunking.exploded(_documents(spark, d), ["doc_id"], text.distinct_sentences(text.sentences(F.col("text"))), "sentence_idx", "sentence")
+
+
+@query(f"""WITH n AS (SELECT doc_id, {sql.tokens(sql.match('text'))} AS t {_DOC})
+SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_unique, round(CASE WHEN len(t) > 0 THEN len(list_distinct(t))::DOUBLE / len(t) ELSE 0 END, 9) AS unique_ratio,
+round(CASE WHEN len(t) >= 12 THEN 1 - len(list_distinct(t))::DOUBLE / len(t) ELSE 0 END, 9) AS repetition FROM n""")
+def token_stats(spark, d):
+    docs = _documents(spark, d).select("doc_id", text.match_form(F.col("text")).alias("norm"))
+    t = text.tokens(F.col("norm"))
+    return docs.select("doc_id", F.size(t).alias("n_tokens"), F.size(F.array_distinct(t)).alias("n_unique"), F.round(text.unique_ratio(F.col("norm")), 9).alias("unique_ratio"), F.round(text.repetition_ratio(F.col("norm")), 9).alias("repetition"))
+
+
+@query(f"""WITH n AS (SELECT item_id, replace({sql.match('text')}, ' ', '') AS s FROM eval_items WHERE text IS NOT NULL)
+SELECT DISTINCT item_id, unnest(CASE WHEN s = '' THEN [] WHEN length(s) < 4 THEN [s] ELSE list_transform(generate_series(1, length(s) - 3), lambda i: substring(s, i, 4)) END) AS gram FROM n""")
+def char_ngrams(spark, d):
+    items = tables.read(spark, d, "eval_items").where(F.col("text").isNotNull())
+    return items.select("item_id", F.explode(text.char_ngrams(text.match_form(F.col("text")))).alias("gram")).distinct()
+
+
+@query(f"""WITH n AS (SELECT doc_id, list_filter({sql.tokens(sql.match('text'))}, lambda t: length(t) >= 2 AND t NOT IN {sql.in_list(L.STOPWORDS)} AND NOT regexp_matches(t, '^[0-9]+$')) AS t {_DOC}),
+b AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1])) AS bigram FROM n WHERE len(t) > 1),
+c AS (SELECT doc_id, bigram, count(*) AS n FROM b GROUP BY ALL)
+SELECT doc_id, bigram, n, r FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, bigram) AS r FROM c) WHERE r <= 5""")
+def bigram_top(spark, d):
+    """The five most frequent pairs of words of each document."""
+    pairs = _documents(spark, d).select("doc_id", F.explode(text.let(nodes.keyword_tokens(text.match_form(F.col("text"))), text.bigrams)).alias("bigram"))
+    ranked = F.row_number().over(tables.window(["doc_id"], [F.col("n").desc(), F.col("bigram")]))
+    return pairs.groupBy("doc_id", "bigram").agg(F.count("*").alias("n")).withColumn("r", ranked).where("r <= 5")
+
+
+# ---- segments
+
+
+@query(f"WITH {sql.SEGMENTS}, {sql.COLLAPSED} SELECT media_id, seg_idx, clean FROM fixed")
+def repeat_clean(spark, d):
+    return _segments(spark, d).select("media_id", "seg_idx", text.collapse_repeats(F.coalesce("text", F.lit(""))).alias("clean"))
+
+
+@query(f"WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED} SELECT media_id, seg_idx, verdict FROM judged")
+def segment_filter(spark, d):
+    return segments.verdict(_segments(spark, d)).select("media_id", "seg_idx", "verdict")
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}
+SELECT media_id, count(*) AS total_segments, count(*) FILTER (verdict = 'keep') AS valid_segments, count(*) FILTER (verdict IN ('duration', 'short_text', 'hallucination')) AS filtered_hallucinations FROM judged GROUP BY media_id""")
+def segment_stats(spark, d):
+    return segments.segment_stats(_segments(spark, d))
+
+
+@query(f"WITH {sql.SEGMENTS} SELECT media_id, seg_idx, {sql.timestamp('start_sec', '.')} AS vtt_start, {sql.timestamp('start_sec', ',')} AS txt_start FROM seg")
+def timestamp_format(spark, d):
+    return _segments(spark, d).select("media_id", "seg_idx", text.timestamp(F.col("start_sec"), vtt=True).alias("vtt_start"), text.timestamp(F.col("start_sec")).alias("txt_start"))
+
+
+_PARTS = f"""valid AS (SELECT media_id, seg_idx, start_sec, end_sec, clean AS text FROM judged WHERE verdict = 'keep'),
+packed AS (SELECT *, CASE WHEN length(text) <= 70 THEN {{'done': [text], 'cur': ''}} ELSE list_reduce({sql.words('text')}, lambda a, w:
+  CASE WHEN length(trim(a.cur || ' ' || w)) > 70 AND a.cur <> '' THEN {{'done': list_append(a.done, a.cur), 'cur': w}}
+       WHEN length(trim(a.cur || ' ' || w)) >= 50 AND regexp_matches(trim(a.cur || ' ' || w), '[.!?;:,]$') THEN {{'done': list_append(a.done, trim(a.cur || ' ' || w)), 'cur': ''}}
+       ELSE {{'done': a.done, 'cur': trim(a.cur || ' ' || w)}} END, {{'done': []::VARCHAR[], 'cur': ''}}) END AS acc FROM valid),
+flat AS (SELECT * EXCLUDE (acc), CASE WHEN acc.cur <> '' THEN list_append(acc.done, acc.cur) ELSE acc.done END AS p FROM packed),
+merged AS (SELECT *, CASE WHEN length(text) <= 70 THEN p ELSE list_reduce(p, lambda a, x:
+  CASE WHEN len(a) = 0 THEN [x] WHEN length(x) < 50 AND length(a[-1] || ' ' || x) <= 90 THEN list_append(a[:len(a) - 1], a[-1] || ' ' || x) ELSE list_append(a, x) END, []::VARCHAR[]) END AS parts FROM flat),
+each AS (SELECT *, len(parts) AS n, unnest(parts) AS cue_text, generate_subscripts(parts, 1) - 1 AS cue_idx FROM merged),
+cues AS (SELECT media_id, seg_idx, cue_idx, CASE WHEN n = 1 THEN start_sec ELSE start_sec + cue_idx * greatest((end_sec - start_sec) / n, 1.0) END AS cue_start,
+  CASE WHEN n = 1 THEN end_sec ELSE least(start_sec + (cue_idx + 1) * greatest((end_sec - start_sec) / n, 1.0), end_sec) END AS cue_end, cue_text FROM each WHERE trim(cue_text) <> '')"""
+
+
+@query(f"WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, {_PARTS} SELECT media_id, seg_idx, cue_idx, round(cue_start, 6) AS cue_start, round(cue_end, 6) AS cue_end, cue_text FROM cues")
+def cue_split(spark, d):
+    c = segments.cues(segments.valid_segments(_segments(spark, d)))
+    return c.withColumn("cue_start", F.round("cue_start", 6)).withColumn("cue_end", F.round("cue_end", 6))
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, {_PARTS}
+SELECT media_id, seg_idx, cue_idx, {sql.timestamp('cue_start', '.')} || ' --> ' || {sql.timestamp('cue_end', '.')} || chr(10) || cue_text || chr(10) || chr(10) AS cue FROM cues""")
+def vtt_cues(spark, d):
+    return segments.vtt_cues(segments.cues(segments.valid_segments(_segments(spark, d))))
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}
+SELECT media_id, CAST(floor(seg_idx / {segments.BLOCK}) AS INT) AS block, string_agg(clean, ' ' ORDER BY seg_idx) AS body FROM judged WHERE verdict = 'keep' GROUP BY ALL""")
+def txt_blocks(spark, d):
+    return segments.txt_blocks(segments.valid_segments(_segments(spark, d)))
+
+
+@query()
+def vtt_blocks(spark, d):
+    return segments.vtt_blocks(segments.cues(segments.valid_segments(_segments(spark, d))))
+
+
+@query()
+def cue_split_first(spark, d):
+    """Cues of the first version: wrapped at 80 characters."""
+    return segments.cues(segments.valid_segments(_segments(spark, d)), first_version=True)
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED},
+o AS (SELECT media_id, clean, row_number() OVER (PARTITION BY media_id ORDER BY seg_idx) - 1 AS i FROM judged WHERE verdict = 'keep'),
+b AS (SELECT DISTINCT media_id, CAST(floor(i / 20) AS INT) AS batch FROM o)
+SELECT b.media_id, b.batch, coalesce(string_agg(o.clean, ' ' ORDER BY o.i), '') AS context FROM b LEFT JOIN o ON o.media_id = b.media_id AND o.i >= b.batch * 20 - 5 AND o.i < b.batch * 20 GROUP BY ALL""")
+def context_window(spark, d):
+    return segments.batch_contexts(segments.valid_segments(_segments(spark, d)))
+
+
+_REPLY = f"""o AS (SELECT media_id, seg_idx, clean, row_number() OVER (PARTITION BY media_id ORDER BY seg_idx) - 1 AS i FROM judged WHERE verdict = 'keep'),
+rep AS (SELECT *, {sql.punctuation('clean')} AS refined FROM o)"""
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, {_REPLY}
+SELECT media_id, seg_idx, length(refined) BETWEEN 3 AND 300 AS is_refined FROM rep""")
+def refine_join(spark, d):
+    """Segments with replies of the stand-in refiner, which only tidies punctuation."""
+    valid = kept(segments.valid_segments(_segments(spark, d)))
+    replies = pipelines.punctuation_refiner(segments.with_ordinal(valid))
+    return segments.apply_refinements(valid, replies).select("media_id", "seg_idx", "is_refined")
+
+
+@query(f"""WITH {_KB} SELECT id_, CASE WHEN metadata.subject IS NULL OR metadata.subject = '' THEN 'Đây là bài giảng học thuật tiếng Việt. Nội dung mang tính học thuật, chuyên ngành.'
+ELSE 'Đây là bài giảng học thuật tiếng Việt môn ' || metadata.subject || '. Nội dung mang tính học thuật, chuyên ngành.' END AS prompt FROM k""")
+def speech_prompts(spark, d):
+    return _kb(spark, d).select("id_", urls.speech_prompt(F.lit("vi"), F.col("subject")).alias("prompt"))
+
+
+# ---- chunks and nodes
+
+
+def _fold(e: str, most: int, least: int | None, overlap: int) -> str:
+    """Greedy packing of the sentences of a column as a list_reduce."""
+    counted = f"list_transform({sql.sentences(e)}, lambda s: {{'s': s, 'n': len({sql.words('s')})}})"
+    full = f"len(a.cur) > 0 AND a.n + p.n > {most}" + (f" AND a.n >= {least}" if least is not None else "")
+    joined = "array_to_string(list_transform(a.cur, lambda q: q.s), ' ')"
+    empty = "{'done': []::VARCHAR[], 'cur': []::STRUCT(s VARCHAR, n BIGINT)[], 'n': 0::BIGINT}"
+    tail = f"list_append(list_filter(a.cur, lambda q, k: k = len(a.cur) OR coalesce(list_sum(list_transform(a.cur[k + 1:], lambda z: z.n)), 0) < {overlap}), p)" if overlap else "[p]"
+    cut = f"WHEN p.n > {most} THEN {{'done': list_concat(CASE WHEN len(a.cur) > 0 THEN list_append(a.done, {joined}) ELSE a.done END, list_transform(generate_series(0, CAST(ceil(p.n / {most}) AS BIGINT) - 1), lambda i: array_to_string({sql.words('p.s')}[i * {most} + 1:(i + 1) * {most}], ' '))), 'cur': []::STRUCT(s VARCHAR, n BIGINT)[], 'n': 0::BIGINT}}" if overlap else ""
+    step = f"CASE {cut} WHEN {full} THEN {{'done': list_append(a.done, {joined}), 'cur': {tail}, 'n': list_sum(list_transform({tail}, lambda z: z.n))::BIGINT}} ELSE {{'done': a.done, 'cur': list_append(a.cur, p), 'n': (a.n + p.n)::BIGINT}} END"
+    return f"list_reduce({counted}, lambda a, p: {step}, {empty})"
+
+
+def _folded(table: str, key: str, most: int, least: int | None, overlap: int, index: str, name: str, whole: bool) -> str:
+    parts = "list_filter(CASE WHEN len(acc.cur) > 0 THEN list_append(acc.done, array_to_string(list_transform(acc.cur, lambda q: q.s), ' ')) ELSE acc.done END, lambda c: c <> '')"
+    short = f"CASE WHEN len({sql.words('text')}) <= {most} THEN [text] ELSE {parts} END" if whole else parts
+    return f"""WITH src AS ({table}), f AS (SELECT {key}, text, {_fold('text', most, least, overlap)} AS acc FROM src),
+g AS (SELECT {key}, {short} AS p FROM f) SELECT {key}, unnest(p) AS {name}, generate_subscripts(p, 1) - 1 AS {index} FROM g"""
+
+
+@query(_folded(f"SELECT doc_id, text {_DOC}", "doc_id", 140, 90, 7, "chunk_idx", "chunk_text", False))
+def chunk_transcript(spark, d):
+    """Overlapping chunks, at a tenth of the usual sizes so that these texts have several."""
+    return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.transcript_chunks(F.col("text"), 90, 140, 7), "chunk_idx", "chunk_text")
+
+
+@query()
+def chunk_transcript_full(spark, d):
+    """Overlapping chunks at the usual sizes."""
+    return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.transcript_chunks(F.col("text")), "chunk_idx", "chunk_text")
+
+
+@query(_folded(f"SELECT doc_id, text {_DOC}", "doc_id", 120, None, 0, "part_idx", "part", True))
+def oversize_split(spark, d):
+    return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.oversized_parts(F.col("text"), 120), "part_idx", "part")
+
+
+def _ends(e: str, tails: list[str]) -> str:
+    return "(" + " OR ".join(f"ends_with({e}, {sql.text(t)})" for t in tails) + ")"
+
+
+_REASON = f"""CASE WHEN norm = '' THEN 'empty' WHEN len(t) <= 10 THEN 'short' WHEN len(t) <= 18 AND NOT regexp_matches(text, '[.!?]') THEN 'unpunctuated'
+WHEN len(t) >= 12 AND 1 - len(list_distinct(t))::DOUBLE / len(t) > 0.42 THEN 'repetitive' WHEN {_ends('norm', L.OPEN_ENDS)} THEN 'incomplete'
+WHEN (len(t) < 30 AND ({' OR '.join(f'starts_with(norm, {sql.text(h)})' for h in L.ORPHAN_STARTS)})) OR {_ends('norm', L.ORPHAN_ENDS)} THEN 'orphan'
+WHEN regexp_matches(norm, {sql.any_pattern(L.META_TALK)}) THEN 'meta' WHEN len(t) < 20 AND regexp_matches(norm, {sql.any_pattern(L.FILLERS)}) THEN 'filler' ELSE 'keep' END"""
+
+
+@query(f"WITH {_NODE}, m AS (SELECT id, coalesce(text, '') AS text, {sql.match("coalesce(text, '')")} AS norm FROM n), t AS (SELECT *, {sql.tokens('norm')} AS t FROM m) SELECT id, {_REASON} AS reason FROM t")
+def drop_reason(spark, d):
+    return _nodes(spark, d).select("id", quality.drop_reason(F.coalesce("text", F.lit(""))).alias("reason"))
+
+
+@query(f"""WITH {_NODE}, m AS (SELECT id, text, {sql.tokens(sql.match('text'))} AS t, {sql.tokens(sql.match("coalesce(metadata.source_quote, '')"))} AS s FROM n WHERE text IS NOT NULL)
+SELECT id, coalesce(len({sql.words('text')}) BETWEEN 28 AND 500 AND len(list_distinct(t)) >= 0.30 * len(t) AND len(t) > 0 AND {sql.containment('list_distinct(t)', 'list_distinct(s)')} >= 0.52, false) AS passes,
+round({sql.containment('list_distinct(t)', 'list_distinct(s)')}, 3) AS coverage FROM m""")
+def quality_gate(spark, d):
+    rows = _nodes(spark, d).where(F.col("text").isNotNull()).withColumn("source_quote", F.coalesce("source_quote", F.lit("")))
+    cover = text.containment(text.token_set(text.match_form(F.col("text"))), text.token_set(text.match_form(F.col("source_quote"))))
+    return rows.select("id", quality.gate(F.col("text"), F.col("source_quote")).alias("passes"), F.round(cover, 3).alias("coverage"))
+
+
+@query(f"""WITH {_NODE} SELECT id, CASE WHEN trim(coalesce(metadata.category, '')) IN {sql.in_list(L.ALLOWED_CATEGORIES)} THEN trim(metadata.category)
+WHEN regexp_matches(lower(coalesce(metadata.category, '')), {sql.text('|'.join(L.EXAMPLE_WORDS))}) THEN 'Example' WHEN regexp_matches(lower(coalesce(metadata.category, '')), {sql.text('|'.join(L.PROCESS_WORDS))}) THEN 'Process' ELSE 'Theory' END AS category FROM n""")
+def category_norm(spark, d):
+    return _nodes(spark, d).select("id", text.category(F.col("category")).alias("category"))
+
+
+@query(f"""WITH {_KB} SELECT id_, regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])(def|class|return|for\\s+[\\p{{L}}\\p{{N}}_]+\\s+in|if\\s+[\\p{{L}}\\p{{N}}_]+|import)($|[^\\p{{L}}\\p{{N}}_])')
+OR (regexp_matches(text, '[{{}}<>]=?|==|!=') AND regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])[A-Za-z_][\\p{{L}}\\p{{N}}_]*\\s*\\(')) AS has_code FROM k WHERE text IS NOT NULL""")
+def code_flag(spark, d):
+    return _kb(spark, d).where(F.col("text").isNotNull()).select("id_", text.contains_code(F.col("text")).alias("has_code"))
+
+
+@query(f"""WITH {_NODE}, q AS (SELECT id, text, unnest(metadata.question_templates) AS q, generate_subscripts(metadata.question_templates, 1) AS i FROM n WHERE text IS NOT NULL),
+f AS (SELECT id, text, i, {sql.spaces('q')} AS s FROM q WHERE q IS NOT NULL), g AS (SELECT id, text, i, CASE WHEN ends_with(s, '?') THEN s ELSE regexp_replace(s, '[.!]+$', '') || '?' END AS q FROM f),
+h AS (SELECT *, {sql.match('q')} AS k, list_filter({sql.tokens(sql.match('text'))}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)}) AS t FROM g WHERE length(q) BETWEEN 10 AND 250),
+r AS (SELECT *, row_number() OVER (PARTITION BY id, k ORDER BY i) AS first FROM h),
+v AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i) AS place FROM r WHERE first = 1 AND list_has_any(list_filter({sql.tokens('k')}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)}), t))
+SELECT id, place - 1 AS place, q AS question FROM v WHERE place <= 3""")
+def questions_valid(spark, d):
+    rows = _nodes(spark, d).where(F.col("text").isNotNull())
+    return rows.select("id", F.posexplode(nodes.validate_questions(F.col("question_templates"), F.col("text"))).alias("place", "question"))
+
+
+@query()
+def keywords(spark, d):
+    """Keywords of every node: given ones that are valid, topped up from the text and the topic."""
+    rows = _nodes(spark, d).where(F.col("text").isNotNull())
+    return rows.select("id", nodes.infer_keywords(F.col("text")).alias("inferred"), nodes.validate_keywords(F.col("keywords"), F.col("text"), F.coalesce("topic", F.lit(""))).alias("keywords"))
+
+
+_QUOTE_W = f"list_filter({{}}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)})"
+
+
+@query()
+def source_quote(spark, d):
+    """For every document: the run of sentences that best supports its last sentence."""
+    docs = _documents(spark, d).withColumn("sents", text.sentences(F.col("text"))).where(F.size("sents") > 0)
+    return docs.select("doc_id", nodes.best_quote(F.element_at("sents", -1), F.col("text")).alias("quote"))
+
+
+@query(f"""WITH {_NODE}, k AS (SELECT id, metadata.subject AS subject, {sql.match("coalesce(text, '')")} AS key, {sql.match("coalesce(metadata.topic, '')")} AS top FROM n WHERE metadata.subject IS NOT NULL),
+f AS (SELECT id, subject, key, list_distinct({sql.tokens('key')}) AS t, list_distinct(list_filter({sql.tokens('top')}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)})) AS p, replace(key, ' ', '') AS s FROM k WHERE key <> ''),
+p AS (SELECT a.subject, a.id AS i, b.id AS j, {sql.jaccard('a.t', 'b.t')} AS similarity, a.p AS pa, b.p AS pb, a.s AS sa, b.s AS sb FROM f a JOIN f b ON a.subject = b.subject AND a.id < b.id AND {sql.jaccard('a.t', 'b.t')} >= 0.5),
+g AS (SELECT *, list_distinct(list_transform(generate_series(1, greatest(length(sa) - 3, 1)), lambda x: substring(sa, x, 4))) AS ga, list_distinct(list_transform(generate_series(1, greatest(length(sb) - 3, 1)), lambda x: substring(sb, x, 4))) AS gb FROM p)
+SELECT subject, i, j, round(similarity, 9) AS similarity FROM g WHERE similarity >= 0.76 OR (similarity >= 0.65 AND {sql.jaccard('ga', 'gb')} >= 0.82) OR (len(pa) > 0 AND len(pb) > 0 AND {sql.jaccard('pa', 'pb')} >= 0.80)""")
+def dup_pairs(spark, d):
+    rows = _nodes(spark, d).where(F.col("subject").isNotNull())
+    return nodes.similar_pairs(rows, ["subject"], "id").withColumn("similarity", F.round("similarity", 9))
+
+
+@query()
+def dedupe_course(spark, d):
+    """Nodes that remain in every course, in the order of their ids."""
+    rows = _nodes(spark, d).where(F.col("subject").isNotNull())
+    return nodes.dedupe(rows, ["subject"], "id").select("subject", "id")
+
+
+@query()
+def merge_short(spark, d):
+    """Short nodes of one file merged."""
+    rows = _nodes(spark, d).where(F.col("subject").isNotNull() & F.col("file_name").isNotNull())
+    return nodes.merge_short(rows, ["subject", "file_name"], "id", 150, 400)
+
+
+@query("""WITH c AS (SELECT coalesce(course, '_root') AS course, coalesce(file_name, CAST(doc_id AS VARCHAR)) AS f, len(list_filter(string_split_regex(text, '[\\s]+'), lambda w: w <> '')) AS w FROM documents WHERE text IS NOT NULL)
+SELECT course, count(*) AS n_docs, count(DISTINCT f) AS n_files FROM c GROUP BY ROLLUP (course)""")
+def course_rollup(spark, d):
+    rows = _documents(spark, d).select(F.coalesce("course", F.lit("_root")).alias("course"), F.coalesce("file_name", F.col("doc_id").cast("string")).alias("f"))
+    return rows.rollup("course").agg(F.count("*").alias("n_docs"), F.countDistinct("f").alias("n_files"))
+
+
+@query("SELECT DISTINCT coalesce(course, '_root') AS course, regexp_replace(coalesce(course, '_root'), '[\\\\/:*?\"<>|]', '_', 'g') || '.textnodes.json' AS path FROM documents")
+def course_files(spark, d):
+    return tables.read(spark, d, "documents").select(F.coalesce("course", F.lit("_root")).alias("course")).distinct().withColumn("path", documents.course_file(F.col("course")))
+
+
+@query()
+def nodes_e2e(spark, d):
+    """Transcripts to nodes, with the extractive stand-in for the model."""
+    return pipelines.transcript_nodes(_documents(spark, d)).select("course", "file_name", "id", "text", "topic", "category", "keywords", "has_code", "source_coverage")
+
+
+# ---- JSON
+
+_BROKEN = """b AS (SELECT id, '```json' || chr(10) || '[{"id": "' || id || '", "page": 1, "ok": true}, {"id": "' || substring(id, 1, 5) AS reply, 'Here: [{"id": "' || id || '",}, 5, {"ok": "yes"},] done' AS loose FROM (SELECT DISTINCT id FROM nodes))"""
+
+
+def _replies(spark: SparkSession, d: str) -> DataFrame:
+    ids = tables.read(spark, d, "nodes").select("id").distinct()
+    return ids.select("id", F.concat(F.lit('```json\n[{"id": "'), "id", F.lit('", "page": 1, "ok": true}, {"id": "'), F.substring("id", 1, 5)).alias("reply"), F.concat(F.lit('Here: [{"id": "'), "id", F.lit('",}, 5, {"ok": "yes"},] done')).alias("loose"))
+
+
+@query(f"""WITH {_BROKEN} SELECT id, '[{{"id": "' || id || '", "page": 1, "ok": true}}, {{"id": "' || substring(id, 1, 5) || '"}}]' AS repaired, '[{{"id": "' || id || '"}}, 5, {{"ok": "yes"}}]' AS array_text FROM b""")
+def json_repair(spark, d):
+    """Cut-off and loose replies made for each node, repaired."""
+    return _replies(spark, d).select("id", json_text.repair(F.col("reply")).alias("repaired"), json_text.array_text(F.col("loose")).alias("array_text"))
+
+
+@query(f"""WITH {_BROKEN} SELECT id, 0 AS place, id AS node_id, 'none' AS ok FROM b UNION ALL SELECT id, 1, 'none', 'none' FROM b""")
+def json_nodes(spark, d):
+    """The objects of a loose reply, one by one; a boolean that is written as text is none."""
+    rows = _replies(spark, d).select("id", F.posexplode(json_text.elements(F.col("loose"))).alias("place", "e"))
+    return rows.select("id", "place", F.coalesce(F.get_json_object("e", "$.id"), F.lit("none")).alias("node_id"), F.coalesce(json_text.real_boolean(F.col("e"), "$.ok").cast("string"), F.lit("none")).alias("ok"))
+
+
+# ---- addresses and documents
+
+
+@query("""WITH u AS (SELECT DISTINCT unnest(regexp_extract_all(text, 'https?://[^\\s<>"()]+')) AS url FROM documents WHERE text IS NOT NULL)
+SELECT url, CASE WHEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) IN ('drive.google.com', 'www.drive.google.com') THEN 'drive' WHEN contains(lower(url), 'm3u8') THEN 'stream' ELSE 'direct' END AS route,
+regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS host,
+CASE WHEN regexp_replace(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1') = '' THEN 'recording'
+ELSE regexp_replace(regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1') END AS name FROM u""")
+def url_parse(spark, d):
+    found = _documents(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit(r'(https?://[^\s<>"()]+)'), F.lit(1))).alias("url")).distinct()
+    return found.select("url", urls.route(F.col("url")).alias("route"), urls.host(F.col("url")).alias("host"), urls.base_name(F.col("url"), F.lit("recording")).alias("name"))
+
+
+def _dots(endings: list[str]) -> str:
+    return sql.text("(?:" + "|".join(e.replace(".", r"\.") for e in endings) + ")$")
+
+
+_LIST = "l AS (SELECT DISTINCT id, parent_id, name, mime_type, target_id, target_mime FROM drive_files WHERE NOT coalesce(trashed, false))"
+
+
+def _route(name: str, mime: str) -> str:
+    return f"""CASE WHEN regexp_matches(lower({name}), {_dots(L.SKIPPED_ENDINGS)}) OR coalesce({mime}, '') IN {sql.in_list(L.SKIPPED_TYPES)} THEN 'skip' WHEN coalesce({mime}, '') IN {sql.in_list(L.EXPORTED_TYPES)} THEN 'export'
+WHEN coalesce({mime}, '') = 'application/pdf' OR ends_with(lower({name}), '.pdf') THEN 'pdf' WHEN coalesce({mime}, '') IN {sql.in_list(L.OFFICE_TYPES)} OR regexp_matches(lower({name}), {_dots(L.OFFICE_ENDINGS)}) THEN 'office' ELSE 'unknown' END"""
+
+
+_KNOWN = "|".join(e[1:] for e in [*L.OFFICE_ENDINGS, ".pdf"])
+
+
+@query(f"WITH {_LIST} SELECT id, name, {_route('name', 'mime_type')} AS route, regexp_replace(name, '(?i)\\.(?:{_KNOWN})$', '') || '.pdf' AS pdf FROM l WHERE coalesce(mime_type, '') NOT IN {sql.in_list(L.FOLDER_TYPES)}")
+def file_route(spark, d):
+    return documents.files_in(tables.read(spark, d, "drive_files")).select("id", "name", documents.route(F.col("name"), F.col("mime_type")).alias("route"), documents.pdf_name(F.col("name")).alias("pdf"))
+
+
+@query(f"WITH {_LIST} SELECT id, name, mime_type FROM l WHERE contains(mime_type, 'video/')")
+def video_listing(spark, d):
+    return documents.videos(tables.read(spark, d, "drive_files"))
+
+
+@query(f"""WITH RECURSIVE {_LIST}, r AS (SELECT parent_id, name, CASE WHEN mime_type IN {sql.in_list(L.SHORTCUT_TYPES)} AND target_id IS NOT NULL THEN target_id ELSE id END AS id, CASE WHEN mime_type IN {sql.in_list(L.SHORTCUT_TYPES)} AND target_id IS NOT NULL THEN target_mime ELSE mime_type END AS mime FROM l),
+w AS (SELECT id, name AS path, name, mime, [id] AS seen, 0 AS level, true AS opens FROM r WHERE parent_id IS NULL
+UNION ALL SELECT r.id, w.path || '/' || r.name, r.name, r.mime, list_append(w.seen, r.id), w.level + 1, NOT list_contains(w.seen, r.id) FROM w JOIN r ON r.parent_id = w.id WHERE w.opens AND (w.level = 0 OR coalesce(w.mime, '') IN {sql.in_list(L.FOLDER_TYPES)}) AND w.level < 64)
+SELECT DISTINCT id, name, mime AS mime_type, path, level, {_route('name', 'mime')} AS route FROM w WHERE level > 0 AND coalesce(mime, '') NOT IN {sql.in_list(L.FOLDER_TYPES)}""")
+def folder_walk(spark, d):
+    return documents.walk(tables.read(spark, d, "drive_files"))
+
+
+@query(f"""WITH RECURSIVE {_LIST}, f AS (SELECT id, max({{'parent_id': parent_id, 'name': name}}) AS r FROM l WHERE mime_type IN {sql.in_list(L.FOLDER_TYPES)} GROUP BY id),
+n AS (SELECT id, r.parent_id AS parent, r.name AS name, regexp_matches(lower(r.name), {sql.text('|'.join(L.SUBJECT_FOLDERS))}) OR NOT regexp_matches(lower(r.name), {sql.text('|'.join(L.OTHER_FOLDERS))}) OR r.parent_id IS NULL AS takes FROM f),
+c AS (SELECT id, id AS at, 1 AS step FROM n UNION ALL SELECT c.id, n.parent, c.step + 1 FROM c JOIN n ON n.id = c.at WHERE NOT n.takes AND c.step < {L.CLIMB}),
+t AS (SELECT c.id, n.name AS subject FROM c JOIN n ON n.id = c.at WHERE n.takes)
+SELECT n.id, coalesce(t.subject, '{L.NO_SUBJECT}') AS subject FROM n LEFT JOIN t ON t.id = n.id""")
+def subject_climb(spark, d):
+    return documents.subjects(tables.read(spark, d, "drive_files"))
+
+
+@query(f"WITH {_LIST} SELECT id, name FROM l WHERE coalesce(mime_type, '') NOT IN {sql.in_list(L.FOLDER_TYPES)} AND name NOT IN (SELECT metadata.file_name FROM knowledge_base_qwen WHERE metadata.file_name IS NOT NULL)")
+def resume_antijoin(spark, d):
+    done = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.file_name").alias("file_name"))
+    return documents.remaining(tables.read(spark, d, "drive_files"), done, "file_name").select("id", "name")
+
+
+@query("SELECT DISTINCT metadata.subject AS subject, replace(lower(trim(regexp_replace(coalesce(metadata.subject, ''), '[^\\p{L}\\p{M}\\p{N}_\\s-]', '', 'g'))), ' ', '') || '_slides.json' AS file FROM knowledge_base_qwen WHERE metadata.subject IS NOT NULL AND regexp_full_match(metadata.subject, '[\\p{L}\\p{N} -]*')")
+def collection_names(spark, d):
+    plain = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.subject").alias("subject")).where(F.col("subject").rlike(r"^[\p{L}\p{N} -]*$") & ~F.col("subject").rlike("\n")).distinct()
+    return plain.select("subject", documents.collection_name(F.coalesce("subject", F.lit("")), F.lit("Slides")).alias("file"))
+
+
+# ---- jobs
+
+_JOBS = "j AS (SELECT job_id, max({'updated_at': updated_at, 'status': status, 'progress': progress, 'error': error}) AS r FROM jobs WHERE job_id IS NOT NULL GROUP BY job_id)"
+
+
+@query(f"WITH {_JOBS} SELECT count(*) AS total, count(*) FILTER (r.status = 'queued') AS queued, count(*) FILTER (r.status = 'processing') AS processing, count(*) FILTER (r.status = 'completed') AS completed, count(*) FILTER (r.status = 'failed') AS failed, count(*) FILTER (r.status IN ('queued', 'processing')) AS open FROM j")
+def job_metrics(spark, d):
+    return jobs.metrics(tables.read(spark, d, "jobs"))
+
+
+@query(f"WITH {_JOBS} SELECT job_id, r.status AS status, r.error AS error FROM j")
+def job_latest(spark, d):
+    return jobs.latest(tables.read(spark, d, "jobs")).select("job_id", "status", "error")
+
+
+@query(f"WITH {_JOBS} SELECT job_id, CASE WHEN EXISTS (SELECT 1 FROM segments s, jobs k WHERE k.job_id = j.job_id AND s.media_id = k.media_id) THEN 'requeue' ELSE 'fail' END AS action FROM j WHERE r.status IN ('queued', 'processing')")
+def job_recovery(spark, d):
+    """Open jobs and what becomes of them; the payload here is the recording's segments."""
+    table = tables.read(spark, d, "jobs")
+    have = tables.read(spark, d, "segments").select("media_id").distinct()
+    payloads = table.join(have, "media_id", "left_semi").select("job_id")
+    return jobs.recover(jobs.latest(table), payloads).select("job_id", "action")
+
+
+@query()
+def job_results(spark, d):
+    return jobs.results(tables.read(spark, d, "jobs"), segments.segment_stats(_segments(spark, d)))
+
+
+@query(f"WITH {_JOBS} SELECT job_id, r.status AS status FROM j")
+def job_stream(spark, d):
+    """The latest state of each job, kept by a stream over the job table."""
+    from ..streaming.jobs import run_to_end
+
+    return run_to_end(spark, f"{d}/jobs.parquet").select("job_id", "status")
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """By course and reason: passages of transcripts that are dropped or kept, and those left after near-duplicates."""
+    return pipelines.surviving_passages(_documents(spark, d))
+
+
+@query()
+def surviving_passages(spark, d):
+    return flagship(spark, d)
