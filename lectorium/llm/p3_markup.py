@@ -296,6 +296,8 @@ def votes(df: DataFrame, text_col: str, host_col: str) -> DataFrame:
             for text, host in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
                     for path, value in read(text)[2].items():
+                        if path.rpartition(">")[2].split(".")[0] not in _VOTED:
+                            continue
                         sums[host, path] = sums.get((host, path), 0) + value
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()), pa.array(map(float, sums.values()), pa.float64())], names=["host", "path", "score"])
 

@@ -34,6 +34,7 @@ SHARD = 32768
 SIZE_RING, RINGS = 1.43, 5
 BITS = 256
 _WORDS = BITS // 64
+BIT_COLUMNS = [f"b{w}" for w in range(_WORDS)]
 
 
 def _hash(word: str) -> int:
@@ -56,11 +57,11 @@ def word_sets(texts: list[str | None], memo: Memo) -> tuple[np.ndarray, np.ndarr
 
 
 def fingerprints(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(fingerprint bytes, two set hashes) of each row."""
+    """(fingerprint as four integers, two set hashes) of each row."""
     n = len(bounds) - 1
     rows = np.repeat(np.arange(n), np.diff(bounds))
     parity = np.bincount(rows * BITS + (hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=n * BITS) & 1
-    bits = np.packbits(parity.reshape(n, BITS).astype(np.uint8), axis=1)
+    bits = np.packbits(parity.reshape(n, BITS).astype(np.uint8), axis=1).view(np.int64)
     totals = []
     for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
         total = np.concatenate(([0], np.cumsum(_mix(hashes, salt)))).astype(np.uint64)
@@ -80,7 +81,7 @@ class Vantage:
             chosen.append(max(sets, key=lambda s: len(np.setxor1d(s, chosen[0], assume_unique=True))))
         self.width = [max(1, len(s) // RINGS) for s in chosen]
         self.vocabulary = np.unique(np.concatenate(chosen)) if chosen else np.empty(0, np.uint64)
-        self.member = np.array([np.isin(self.vocabulary, s) for s in chosen], np.int64).reshape(len(chosen), -1)
+        self.member = np.array([np.isin(self.vocabulary, s) for s in chosen], np.int64).reshape(len(chosen), len(self.vocabulary))
 
     def shared(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Words that each text shares with each vantage text."""
@@ -110,11 +111,11 @@ def size_ring(n: int) -> int:
 
 
 def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Vantage]:
-    """(id, k1, k2, size, bits, v1, v2) of each text that has a word, v1 and v2 being the words it
+    """(id, k1, k2, size, b0..b3, v1, v2) of each text that has a word, v1 and v2 being the words it
     shares with the vantage texts; a checkpoint."""
     sample = [r[0] for r in df.select(text_col).where(F.col(text_col).isNotNull()).limit(SAMPLE).collect()]
     vantage = Vantage(sample)
-    schema = f"id {df.schema[id_col].dataType.simpleString()}, k1 long, k2 long, size int, bits binary, v1 int, v2 int"
+    schema = f"id {df.schema[id_col].dataType.simpleString()}, k1 long, k2 long, size int, b0 long, b1 long, b2 long, b3 long, v1 int, v2 int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(_hash)
@@ -123,43 +124,43 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Vanta
             bits, k1, k2 = fingerprints(hashes, bounds)
             v = vantage.shared(hashes, bounds)
             sizes = np.diff(bounds)
-            columns = [batch.column(0), pa.array(k1), pa.array(k2), pa.array(sizes, pa.int32()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(v[0], pa.int32()), pa.array(v[1], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "k1", "k2", "size", "bits", "v1", "v2"]).filter(pa.array(sizes > 0))
+            columns = [batch.column(0), pa.array(k1), pa.array(k2), pa.array(sizes, pa.int32()), *(pa.array(bits[:, w]) for w in range(_WORDS)), pa.array(v[0], pa.int32()), pa.array(v[1], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "k1", "k2", "size", *BIT_COLUMNS, "v1", "v2"]).filter(pa.array(sizes > 0))
 
     return kept(spread(df.select(id_col, text_col)).mapInArrow(run, schema)), vantage
 
 
+def _signs(bits: np.ndarray) -> np.ndarray:
+    """Fingerprints as rows of +1 and -1: their product is BITS less twice their distance."""
+    return np.unpackbits(np.ascontiguousarray(bits.T).view(np.uint8), axis=1).astype(np.float32) * 2 - 1
+
+
 def _within(q_bits: np.ndarray, q_size: np.ndarray, d_bits: np.ndarray, d_size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (visitor, text) with no more words in the text and a distance within the radius.
 
-    Both sides are sorted by size, and the bits lie word by word. Blocks outside each other's sizes
-    are passed over. So many words of the bits are compared for all pairs of a block as the block's
-    radius needs to reject nearly all of them; the rest for those that are left.
+    Both sides are sorted by size; blocks outside each other's sizes are passed over. Distances of a
+    block come from one matrix product, which is exact for these small integers.
     """
     share = (1 - threshold) / (1 + threshold)
     rows, cols = [], []
-    step_q, step_d = 64, 4096
-    x_all, n_all, t_all = np.empty((step_q, step_d), np.uint64), np.empty((step_q, step_d), np.uint8), np.empty((step_q, step_d), np.uint8)
+    step_q, step_d = 256, 2048
+    texts = _signs(d_bits).T if len(d_size) else None
+    product = np.empty((step_q, step_d), np.float32)
     for a in range(0, len(q_size), step_q):
-        q, qs = q_bits[:, a : a + step_q], q_size[a : a + step_q]
+        qs = q_size[a : a + step_q]
         low, high = np.searchsorted(d_size, threshold * qs[0] - 1e-9), np.searchsorted(d_size, qs[-1], "right")
+        visitors = _signs(q_bits[:, a : a + step_q]) if low < high else None
         for b in range(low, high, step_d):
             end = min(b + step_d, high)
-            d, ds = d_bits[:, b:end], d_size[b:end]
-            most = min(255, floor(share * (int(qs[-1]) + int(ds[-1])) + 1e-9))
-            used = 2 if most <= 28 else 3 if most <= 42 else _WORDS
-            x, n, total = (u[: q.shape[1], : end - b] for u in (x_all, n_all, t_all))
-            for w in range(used):
-                np.bitwise_xor(q[w, :, None], d[w, None, :], out=x)
-                np.bitwise_count(x, out=n if w else total)
-                if w:
-                    # counts stop at 255, which a radius of 255 or more lets pass
-                    np.add(total, n, out=total) if w < 3 else np.minimum(total.astype(np.int16) + n, 255, out=total, casting="unsafe")
-            i, j = np.nonzero(total <= most)
+            ds = d_size[b:end]
+            most = floor(share * (int(qs[-1]) + int(ds[-1])) + 1e-9)
+            out = product[: len(qs), : end - b]
+            np.matmul(visitors, texts[:, b:end], out=out)
+            i, j = np.nonzero(out >= BITS - 2 * most)
             if not len(i):
                 continue
-            exact = np.bitwise_count(q[:, i] ^ d[:, j]).sum(axis=0, dtype=np.int64)
-            ok = (exact <= np.floor(share * (qs[i].astype(np.int64) + ds[j]) + 1e-9)) & (ds[j] <= qs[i]) & (ds[j] >= threshold * qs[i] - 1e-9)
+            distance = (BITS - out[i, j]) / 2
+            ok = (distance <= np.floor(share * (qs[i].astype(np.int64) + ds[j]) + 1e-9)) & (ds[j] <= qs[i]) & (ds[j] >= threshold * qs[i] - 1e-9)
             rows.append(i[ok] + a)
             cols.append(j[ok] + b)
     return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.empty(0, np.int64), np.empty(0, np.int64))
@@ -172,7 +173,7 @@ def candidate_pairs(found: DataFrame, vantage: Vantage, threshold: float, shard:
     brought to the driver; the number of cells is bounded by the rings, not by the data.
     """
     spark = found.sparkSession
-    heads = found.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("size", "bits", "v1", "v2")))
+    heads = found.groupBy("k1", "k2").agg(*(F.first(c).alias(c) for c in ("size", *BIT_COLUMNS, "v1", "v2")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +182,7 @@ def candidate_pairs(found: DataFrame, vantage: Vantage, threshold: float, shard:
             padded = [(*c, 0, 0)[:3] for c in cells]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([c[i] for c in padded], pa.int32()) for i in range(3))], names=[*batch.schema.names, "s", "r1", "r2"])
 
-    heads = kept(heads.mapInArrow(place, "k1 long, k2 long, size int, bits binary, v1 int, v2 int, s int, r1 int, r2 int"))
+    heads = kept(heads.mapInArrow(place, "k1 long, k2 long, size int, b0 long, b1 long, b2 long, b3 long, v1 int, v2 int, s int, r1 int, r2 int"))
     counts = {(r["s"], r["r1"], r["r2"]): r["count"] for r in heads.groupBy("s", "r1", "r2").count().collect()}
     # About as many visitors of a cell as there are texts in the cells from which it can be reached.
     visitors = dict.fromkeys(counts, 0)
@@ -193,7 +194,7 @@ def candidate_pairs(found: DataFrame, vantage: Vantage, threshold: float, shard:
             if all(a <= c <= b for (a, b), c in zip(around, cell)):
                 visitors[cell] += n
     cuts = {c: (-(-n // shard), max(1, -(-visitors[c] // shard))) for c, n in counts.items()}
-    columns = "shard string, visits boolean, k1 long, k2 long, size int, bits binary"
+    columns = "shard string, visits boolean, k1 long, k2 long, size int, b0 long, b1 long, b2 long, b3 long"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -214,16 +215,15 @@ def candidate_pairs(found: DataFrame, vantage: Vantage, threshold: float, shard:
                         shards.append(f"{cell}/{part}/{chunk}")
                         visits.append(True)
             take = pa.array(at, pa.int32())
-            pick = [batch.column(batch.schema.get_field_index(c)).take(take) for c in ("k1", "k2", "size", "bits")]
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.string()), pa.array(visits, pa.bool_()), *pick], names=["shard", "visits", "k1", "k2", "size", "bits"])
+            pick = [batch.column(batch.schema.get_field_index(c)).take(take) for c in ("k1", "k2", "size", *BIT_COLUMNS)]
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.string()), pa.array(visits, pa.bool_()), *pick], names=["shard", "visits", "k1", "k2", "size", *BIT_COLUMNS])
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by("size")
         visits = group.column("visits").to_numpy()
         sides = []
         for side in (group.filter(pa.array(visits)), group.filter(pa.array(~visits))):
-            bits = np.frombuffer(b"".join(side.column("bits").to_pylist()), np.uint64).reshape(-1, _WORDS)
-            bits = np.ascontiguousarray(bits.T)
+            bits = np.stack([side.column(c).to_numpy() for c in BIT_COLUMNS]).view(np.uint64)
             sides.append((bits, side.column("size").to_numpy(), side.column("k1").to_numpy(), side.column("k2").to_numpy()))
         (qb, qs, q1, q2), (db, ds, d1, d2) = sides
         i, j = _within(qb, qs, db, ds, threshold)
@@ -251,7 +251,7 @@ def near_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = T
     members = found.select("id", "k1", "k2").distinct()
     # The words of one text for each class in a candidate pair.
     wanted = near.select("k1", "k2").unionByName(near.select(F.col("j1").alias("k1"), F.col("j2").alias("k2"))).distinct()
-    heads = found.groupBy("k1", "k2").agg(F.min("id").alias("id")).join(wanted, ["k1", "k2"], "left_semi")
+    heads = found.join(wanted, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.min("id").alias("id"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(_hash)
