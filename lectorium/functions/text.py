@@ -166,11 +166,12 @@ def is_low_info(norm: Column) -> Column:
 def clean_text(x: Column) -> Column:
     """Terms, then sentences without filler (all, if nothing would be left) and repeats, then punctuation."""
 
-    def clean(parts: Column) -> Column:
-        kept = let(F.filter(parts, lambda s: ~is_low_info(match_form(s))), lambda k: F.when(F.size(k) > 0, k).otherwise(parts))
-        return normalize_punctuation(normalize_spaces(F.array_join(distinct_sentences(kept), " ")))
+    def clean(keyed: Column) -> Column:
+        kept = let(F.filter(keyed, lambda p: ~is_low_info(p["k"])), lambda k: F.when(F.size(k) > 0, k).otherwise(keyed))
+        first = lambda ps: F.filter(ps, lambda p, i: (p["k"] != "") & (F.array_position(F.transform(ps, lambda q: q["k"]), p["k"]) == i + 1))
+        return normalize_punctuation(F.array_join(F.transform(let(kept, first), lambda p: p["s"]), " "))
 
-    return let(sentences(normalize_terms(normalize_spaces(x))), clean)
+    return let(F.transform(sentences(normalize_terms(normalize_spaces(x))), lambda s: F.struct(s.alias("s"), match_form(s).alias("k"))), clean)
 
 
 def collapse_repeats(x: Column) -> Column:

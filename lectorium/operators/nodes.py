@@ -89,16 +89,28 @@ def validate_questions(questions: Column, text: Column) -> Column:
     return let(fitting, judge)
 
 
+def read_source(source: Column) -> Column:
+    """struct(tokens, sents, sets): what gate and quote need of a source, worked out once for all its texts."""
+    held = lambda sents: F.struct(sents.alias("sents"), F.transform(sents, lambda x: _meant(token_set(match_form(x)))).alias("sets"))
+    sentence_part = let(sentences(source), held)
+    return let(sentence_part, lambda p: F.struct(token_set(match_form(source)).alias("tokens"), p["sents"].alias("sents"), p["sets"].alias("sets")))
+
+
 def best_quote(text: Column, source: Column, window: int = 3, most: int = 700) -> Column:
     """The run of three sentences of the source that holds most of the text's rare words; '' below a tenth.
 
     A word's weight is one over the root of the number of sentences that hold it.
     """
+    return let(read_source(F.coalesce(source, F.lit(""))), lambda r: best_quote_of(text, r, window, most))
+
+
+def best_quote_of(text: Column, read: Column, window: int = 3, most: int = 700) -> Column:
+    """The same for a source that read_source has read."""
 
     def score(b: Column) -> Column:
-        own, sents = b["own"], b["sents"]
+        own, sents, sets = b["own"], b["read"]["sents"], b["read"]["sets"]
         places = F.when(F.size(own) > 0, F.sequence(F.lit(1), F.size(own))).otherwise(F.array().cast("array<int>"))
-        held = lambda s: let(token_set(match_form(s)), lambda t: F.filter(places, lambda k: F.array_contains(t, F.element_at(own, k))))
+        held = lambda t: F.filter(places, lambda k: F.array_contains(t, F.element_at(own, k)))
 
         def weigh(hits: Column) -> Column:
             often = lambda k: F.greatest(F.size(F.filter(hits, lambda h: F.array_contains(h, k))), F.lit(1))
@@ -112,19 +124,23 @@ def best_quote(text: Column, source: Column, window: int = 3, most: int = 700) -
             quote = lambda x: F.when(-x["s"] < 0.1, "").otherwise(F.substring(normalize_spaces(F.array_join(F.slice(sents, x["i"], size), " ")), 1, most))
             return F.when((F.size(own) == 0) | (F.size(sents) == 0), "").otherwise(let(best, quote))
 
-        return let(let(F.transform(sents, held), weigh), choose)
+        return let(let(F.transform(sets, held), weigh), choose)
 
-    return let(F.struct(_meant(token_set(match_form(text))).alias("own"), sentences(source).alias("sents")), score)
+    return let(F.struct(_meant(token_set(match_form(text))).alias("own"), read.alias("read")), score)
 
 
 def sanitize(raw: DataFrame, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30, provenance: bool = False) -> DataFrame:
     """Raw nodes to finished ones.
 
     raw: course, file_name, chunk_idx, node_idx, subject, text, topic, category, keywords, has_code,
-    question_templates, source. Missing texts become no node; other missing fields get their
-    defaults. The rules run on the whole text first and on each part of a long one again.
+    question_templates, and source or, read once for all nodes of a chunk, read (of read_source).
+    Missing texts become no node; other missing fields get their defaults. The rules run on the whole
+    text first and on each part of a long one again.
     """
-    passes = lambda t: (quality.drop_reason(t) == "keep") & quality.gate(t, F.col("source"), min_words, max_words, min_overlap, min_unique)
+    if "read" not in raw.columns:
+        raw = once(raw, "read", read_source(F.coalesce("source", F.lit(""))))
+    raw = raw.drop("source")
+    passes = lambda t: (quality.drop_reason(t) == "keep") & quality.gate_tokens(t, F.col("read.tokens"), min_words, max_words, min_overlap, min_unique)
     good = once(raw, "text", clean_text(F.coalesce("text", F.lit("")))).where(passes(F.col("text")))
     described = once(good, "topic", topic(F.col("topic"), F.col("text")))
     described = (
@@ -139,9 +155,9 @@ def sanitize(raw: DataFrame, min_words: int = 28, max_words: int = 500, min_over
     parts = listed.select(*rest, (F.size("parts") == 1).alias("whole"), F.posexplode("parts").alias("part_idx", "text"))
     parts = parts.where(F.when(F.col("whole"), True).otherwise(passes(F.col("text")))).drop("whole")
     if provenance:
-        parts = parts.withColumn("source_coverage", quality.coverage(F.col("text"), F.col("source"))).withColumn("source_quote", best_quote(F.col("text"), F.col("source")))
+        parts = parts.withColumn("source_coverage", quality.coverage(F.col("text"), F.col("read.tokens"))).withColumn("source_quote", best_quote_of(F.col("text"), F.col("read")))
     place = F.concat_ws("\u0001", *(F.col(c).cast("string") for c in ("course", "file_name", "chunk_idx", "node_idx", "part_idx")))
-    return parts.drop("source").withColumn("page", F.lit(None).cast("int")).withColumn("id", F.sha2(place, 256))
+    return parts.drop("read").withColumn("page", F.lit(None).cast("int")).withColumn("id", F.sha2(place, 256))
 
 
 def _featured(nodes: DataFrame, text_col: str, topic_col: str) -> DataFrame:

@@ -45,16 +45,24 @@ def drop_reason(text: Column) -> Column:
 
 def gate(text: Column, source: Column, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30) -> Column:
     """Whether a text has a fitting length, enough different words, and enough of them in its source."""
-    norm = match_form(text)
+    return gate_tokens(text, token_set(match_form(source)), min_words, max_words, min_overlap, min_unique)
+
+
+def gate_tokens(text: Column, source_tokens: Column, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30) -> Column:
+    """The same with the source's token set, which many texts of one source share."""
     long_enough = word_count(text).between(min_words, max_words)
-    # Nested, so that the costly comparison runs only for texts that pass the cheap ones.
-    covered = containment(token_set(norm), token_set(match_form(source))) >= min_overlap
-    return F.when(~long_enough | text.isNull(), False).otherwise(F.when(unique_ratio(norm) < min_unique, False).otherwise(F.coalesce(covered, F.lit(False))))
+
+    def judge(norm: Column) -> Column:
+        covered = containment(token_set(norm), source_tokens) >= min_overlap
+        return F.when(unique_ratio(norm) < min_unique, False).otherwise(F.coalesce(covered, F.lit(False)))
+
+    # Nested, so that the costly comparison runs only for texts that pass the cheap test.
+    return F.when(~long_enough | text.isNull(), False).otherwise(let(match_form(text), judge))
 
 
-def coverage(text: Column, source: Column) -> Column:
-    """Share of a text's words that are in its source, to four digits."""
-    return F.bround(containment(token_set(match_form(text)), token_set(match_form(source))), 4)
+def coverage(text: Column, source_tokens: Column) -> Column:
+    """Share of a text's words that are in its source's token set, to four digits."""
+    return F.bround(containment(token_set(match_form(text)), source_tokens), 4)
 
 
 def noise_token(t: Column) -> Column:

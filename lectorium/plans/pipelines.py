@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, normalize_punctuation, sentences
+from ..functions.text import match_form, normalize_punctuation, once, sentences
 from ..operators import chunking, nodes, quality
 from ..operators.storage import kept
 
@@ -22,9 +22,10 @@ def extractive_nodes(chunks: DataFrame, sentences_per_node: int = 6) -> DataFram
         lambda p: F.size(p) > 0,
     )
     cut = chunks.withColumn("sents", sentences(F.col("chunk_text"))).where(F.size("sents") > 0)
-    raw = cut.select("course", "file_name", "subject", "chunk_idx", F.col("chunk_text").alias("source"), F.posexplode(parts).alias("node_idx", "p"))
+    cut = once(cut, "read", nodes.read_source(F.col("chunk_text")))
+    raw = cut.select("course", "file_name", "subject", "chunk_idx", "read", F.posexplode(parts).alias("node_idx", "p"))
     none = F.array().cast("array<string>")
-    return raw.select("course", "file_name", "subject", "chunk_idx", "node_idx", "source", F.array_join("p", " ").alias("text"), F.lit("").alias("topic"), F.lit(None).cast("string").alias("category"), none.alias("keywords"), F.lit(None).cast("boolean").alias("has_code"), none.alias("question_templates"))
+    return raw.select("course", "file_name", "subject", "chunk_idx", "node_idx", "read", F.array_join("p", " ").alias("text"), F.lit("").alias("topic"), F.lit(None).cast("string").alias("category"), none.alias("keywords"), F.lit(None).cast("boolean").alias("has_code"), none.alias("question_templates"))
 
 
 def transcript_nodes(documents: DataFrame, extractor=extractive_nodes, min_words: int = 900, max_words: int = 1400, overlap: int = 70, threshold: float = 0.76) -> DataFrame:
