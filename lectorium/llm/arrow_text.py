@@ -1,4 +1,4 @@
-"""Helpers shared by the training-text operators: Arrow batches, word runs, partition spreading."""
+"""Helpers shared by the training-text operators: Arrow batches and word runs."""
 
 from __future__ import annotations
 
@@ -8,7 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+
+from ..sources.tables import read as table
+from ..sources.tables import spread
+
+__all__ = ["WORDS", "Memo", "code_points", "fold", "from_code_points", "slices", "spread", "table", "word_runs"]
 
 #: Rows an operator holds at once; bounds a Python worker's memory whatever the Arrow batch size is.
 SLICE_ROWS = 2048
@@ -16,20 +20,6 @@ SLICE_ROWS = 2048
 WORDS = re.compile(r"[^\W_]+")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition only where a scan has fewer partitions than there are cores.
-
-    A single small file arrives as one partition and would keep one core busy. Inputs that
-    already fill the cluster are left alone, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -263,7 +264,7 @@ def consistent(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def normalised(df: DataFrame, keys: list[str], text_col: str, changed_only: bool = False) -> DataFrame:
     """keys, text in the consistent form, changed.
 
-    Null texts stay null and count as unchanged; empty texts stay empty. Repeated rows stay
+    Null texts stay null and count as unchanged, as blank ones do; empty texts stay empty. Repeated rows stay
     repeated; other columns are ignored, and long texts are done whole. No shuffle.
     """
     schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("text", T.StringType()), T.StructField("changed", T.BooleanType(), False)])
@@ -272,6 +273,10 @@ def normalised(df: DataFrame, keys: list[str], text_col: str, changed_only: bool
         for batch in slices(batches, 8192):
             column = batch.column(len(keys))
             texts, changed = consistent(column)
+            if changed.any():
+                # A blank text is in no form.
+                at = np.flatnonzero(changed)
+                changed[at] = pa.compute.not_equal(pa.compute.utf8_trim_whitespace(texts.take(pa.array(at))), "").to_numpy(zero_copy_only=False)
             if column.null_count:
                 nulls = column.is_null()
                 texts = pa.compute.if_else(nulls, pa.scalar(None, pa.string()), texts)
