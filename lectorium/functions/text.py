@@ -216,15 +216,3 @@ def nfc_lower(x: Column) -> Column:
         return s.str.lower().str.normalize("NFC")
 
     return compose(x)
-
-
-REGISTERED = {
-    "normalize_spaces": normalize_spaces,
-    "normalize_punctuation": normalize_punctuation,
-    "match_form": match_form,
-    "clean_text": clean_text,
-    "collapse_repeats": collapse_repeats,
-    "sentences": sentences,
-    "node_category": category,
-    "contains_code": contains_code,
-}

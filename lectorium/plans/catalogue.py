@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicon as L
-from ..functions import json_text, text, urls
+from ..functions import json_text, prompts, text, urls
 from ..operators import chunking, documents, jobs, nodes, quality, segments
 from ..operators.storage import kept
 from ..sources import tables
@@ -229,6 +229,12 @@ def speech_prompts(spark, d):
     return _kb(spark, d).select("id_", urls.speech_prompt(F.lit("vi"), F.col("subject")).alias("prompt"))
 
 
+@query(f"""WITH {_KB} SELECT id_, CASE WHEN regexp_full_match(coalesce(text, ''), '{sql.WS}*') THEN '' ELSE 'Đây là transcript ASR tiếng Việt ' || CASE WHEN coalesce(metadata.subject, '') = '' THEN 'học thuật' ELSE 'môn ' || metadata.subject END
+|| ' bị lỗi chính tả và thuật ngữ. Hãy sửa lại các thuật ngữ chuyên ngành cho đúng:' || chr(10) || chr(10) || substring(text, 1, 300) END AS question FROM k""")
+def retrieval_questions(spark, d):
+    return _kb(spark, d).select("id_", prompts.retrieval_question(F.col("text"), F.col("subject")).alias("question"))
+
+
 # ---- chunks and nodes
 
 

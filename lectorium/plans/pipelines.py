@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, normalize_punctuation, once, sentences
+from ..functions.text import match_form, normalize_punctuation, once, sentences, word_count
 from ..operators import chunking, nodes, quality
 from ..operators.storage import kept
 
@@ -29,18 +29,34 @@ def extractive_nodes(chunks: DataFrame, sentences_per_node: int = 6) -> DataFram
 
 
 def transcript_nodes(documents: DataFrame, extractor=extractive_nodes, min_words: int = 900, max_words: int = 1400, overlap: int = 70, threshold: float = 0.76) -> DataFrame:
-    """Nodes of every course: chunk, extract, sanitise, remove near-duplicates in the file and then in the course.
+    """Nodes of every course: chunk, extract, sanitise, remove near-duplicates and merge in the file, then remove near-duplicates in the course.
 
     documents: doc_id, course, file_name, text. A document without a course belongs to '_root', one
     without a file name is its own file. extractor maps chunks to raw nodes.
     """
     files = documents.select(F.coalesce("course", F.lit("_root")).alias("course"), F.concat_ws("/", F.coalesce("file_name", F.lit("")), F.col("doc_id").cast("string")).alias("file_name"), "text")
     chunks = files.select("course", "file_name", F.col("course").alias("subject"), F.posexplode(chunking.transcript_chunks(F.col("text"), min_words, max_words, overlap)).alias("chunk_idx", "chunk_text"))
+    low = _file_nodes(chunks, extractor, threshold, threshold)
+    # Files that are long but came to one node or none get a second pass with smaller chunks; its
+    # nodes count only if there are more of them.
+    few = low.groupBy("course", "file_name").agg(F.count("*").alias("n"))
+    poor = kept(files.where(word_count(F.col("text")) >= 500).join(few, ["course", "file_name"], "left").where(F.coalesce("n", F.lit(0)) <= 1))
+    small = poor.select("course", "file_name", F.col("course").alias("subject"), F.posexplode(chunking.transcript_chunks(F.col("text"), max(200, min_words // 3), max(450, max_words // 2), max(50, overlap))).alias("chunk_idx", "chunk_text"))
+    rescued = _file_nodes(small, extractor, min(0.92, threshold + 0.12), min(0.90, threshold + 0.10))
+    more = rescued.groupBy("course", "file_name").agg(F.count("*").alias("m")).join(few, ["course", "file_name"], "left").where(F.col("m") > F.coalesce("n", F.lit(0))).select("course", "file_name")
+    every = low.join(more, ["course", "file_name"], "left_anti").unionByName(rescued.join(more, ["course", "file_name"], "left_semi"))
+    return nodes.dedupe(kept(every), ["course"], "place", threshold=threshold)
+
+
+def _file_nodes(chunks: DataFrame, extractor, first: float, second: float) -> DataFrame:
+    """Nodes of each file: extracted, sanitised, without near-duplicates, short ones merged, without near-duplicates again."""
     fine = nodes.sanitize(extractor(chunks), provenance=True)
     place = F.concat_ws("\u0001", "file_name", F.format_string("%08d", "chunk_idx"), F.format_string("%08d", "node_idx"), F.format_string("%08d", "part_idx"))
-    placed = kept(fine.withColumn("place", place))
-    in_file = nodes.dedupe(placed, ["course", "file_name"], "place", threshold=threshold)
-    return nodes.dedupe(in_file, ["course"], "place", threshold=threshold)
+    group = ["course", "file_name"]
+    own = nodes.dedupe(kept(fine.withColumn("place", place)), group, "place", threshold=first)
+    merged = nodes.merge_short(own, group, "place")
+    rest = own.drop("text", "topic", "category", "question_templates")
+    return kept(nodes.dedupe(kept(merged.join(rest, [*group, "place"])), group, "place", threshold=second))
 
 
 def surviving_passages(documents: DataFrame) -> DataFrame:
