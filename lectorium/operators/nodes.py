@@ -217,8 +217,17 @@ def similar_pairs(nodes: DataFrame, group: list[str], order: str, text_col: str
     fingerprints of the words as a strict and cheap second filter. order is a unique number or
     string of each node.
     """
+    return _similar(kept(_features(nodes, group, order, text_col, topic_col)), group, threshold, soft, ngram, topic_soft, topic_least)
+
+
+def _features(nodes: DataFrame, group: list[str], order: str, text_col: str, topic_col: str) -> DataFrame:
+    """(group, o, key, tok, top, n, f0..f3) of each node with a key."""
     feat = _featured(nodes, text_col, topic_col).withColumn("f", fingerprint(F.col("tok")))
-    own = kept(feat.select(*group, F.col(order).alias("o"), "key", "tok", "top", "n", *(F.col("f")[f"f{k}"].alias(f"f{k}") for k in range(4))))
+    return feat.select(*group, F.col(order).alias("o"), "key", "tok", "top", "n", *(F.col("f")[f"f{k}"].alias(f"f{k}") for k in range(4)))
+
+
+def _similar(own: DataFrame, group: list[str], threshold: float = 0.76, soft: float = 0.65, ngram: float = 0.82, topic_soft: float = 0.50, topic_least: float = 0.80) -> DataFrame:
+    """similar_pairs of nodes whose features are given, as a table or checkpoint."""
     extra = ["n", "f0", "f1", "f2", "f3"]
     words = min(threshold, soft)
     by_words = _sharing_rare(own, group, "tok", words, extra, _can_agree(words))
@@ -240,12 +249,13 @@ def dedupe(nodes: DataFrame, group: list[str], order: str, text_col: str = "text
     with a and c unlike, a and c remain. Nodes equal in text and topic words are one class (of which
     the first counts) before pairs are made, so that copies never make pairs with each other.
     Decided in rounds over the links: a node without an undecided earlier neighbour remains, its
-    later neighbours go. Null and empty texts are dropped.
+    later neighbours go. Null and empty texts are dropped. nodes is read more than once, so pass a
+    table or a checkpoint.
     """
-    feat = _featured(nodes, text_col, topic_col)
-    firsts = feat.groupBy(*group, F.col("key").alias("k"), F.col("top").alias("t")).agg(F.min(order).alias(order)).select(*group, order)
-    heads = kept(nodes.join(firsts, [*group, order], "left_semi"))
-    links = kept(similar_pairs(heads, group, order, text_col, topic_col, threshold).select(*group, "i", "j"))
+    feat = kept(_features(nodes, group, order, text_col, topic_col))
+    firsts = kept(feat.groupBy(*group, "key", "top").agg(F.min("o").alias("o")).select(*group, "o"))
+    heads = nodes.join(firsts.withColumnRenamed("o", order), [*group, order], "left_semi")
+    links = kept(_similar(feat.join(firsts, [*group, "o"], "left_semi"), group, threshold).select(*group, "i", "j"))
     dropped = None
     while True:
         if links.limit(1).count() == 0:

@@ -54,7 +54,10 @@ def _file_nodes(chunks: DataFrame, extractor, first: float, second: float) -> Da
     place = F.concat_ws("\u0001", "file_name", F.format_string("%08d", "chunk_idx"), F.format_string("%08d", "node_idx"), F.format_string("%08d", "part_idx"))
     group = ["course", "file_name"]
     own = nodes.dedupe(kept(fine.withColumn("place", place)), group, "place", threshold=first)
-    merged = nodes.merge_short(own, group, "place")
+    own = kept(own)
+    merged = kept(nodes.merge_short(own, group, "place"))
+    if second >= first and merged.count() == own.count():
+        return own  # nothing was merged, and what is left has no pair at this threshold
     rest = own.drop("text", "topic", "category", "question_templates")
     return kept(nodes.dedupe(kept(merged.join(rest, [*group, "place"])), group, "place", threshold=second))
 
