@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def write_subtitles(blocks: DataFrame, path: str) -> None:
     """Pieces of subtitle files under media_id=.../, in order of their names; the first piece has the header."""
-    body = F.when(F.col("block") == F.min("block").over(_by_media()), F.concat(F.lit("WEBVTT\n\n"), F.col("body"))).otherwise(F.col("body"))
-    rows = blocks.withColumn("body", body)
+    first = blocks.groupBy("media_id").agg(F.min("block").alias("first"))
+    rows = blocks.join(first, "media_id").withColumn("body", F.when(F.col("block") == F.col("first"), F.concat(F.lit("WEBVTT\n\n"), F.col("body"))).otherwise(F.col("body")))
     rows.repartitionByRange("media_id", "block").sortWithinPartitions("media_id", "block").select("media_id", F.rtrim("body", F.lit("\n")).alias("body")).withColumn("body", F.concat("body", F.lit("\n"))).write.mode("overwrite").partitionBy("media_id").text(path)
 
 
@@ -25,9 +25,3 @@ def write_nodes(nodes: DataFrame, path: str, order: str = "place") -> None:
 def append_collection(nodes: DataFrame, path: str) -> None:
     """Adds nodes to a collection; earlier files stay as they are, so a failed run loses nothing."""
     nodes.write.mode("append").json(path)
-
-
-def _by_media():
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy("media_id")
