@@ -5,7 +5,10 @@ values become robust z-scores against their language's sketch, and the tails are
 flagged document is a case if more than half of its characters lie outside readable sentences.
 
 The z-score is (value - median) / scale, the scale being the spread of the half of the
-distribution that lies on the prose side, so that junk, even a third of all rows, can't widen it.
+distribution that lies on the prose side. Median and scale are those of the language's texts that
+lie mostly inside sentences, so that junk can't become the centre, whatever its share; a language
+with few such texts takes fixed values. A share outside sentences beyond MIN_SHARE is in the tail
+in any case.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ TAIL_Z = 3.5
 #: Smallest scale of a statistic, where half of all texts have one value.
 LEAST_SCALE = 0.02
 SKETCH_K = 400
+#: Texts mostly inside sentences that a language needs for a median and scale of its own.
+LEAST_REFERENCE = 30
 
 #: Common words that hold sentences together, without those that also stand in terms.
 COMMON = {
@@ -144,6 +149,8 @@ def outside_sentences(units: list[_Unit], keys) -> dict[str, int]:
 STATISTICS = ["n_words", "mean_word_length", "symbol_share", "digit_share", "line_end_share", "common_share", "outside_share"]
 #: Statistics whose tail marks junk, and on which side.
 SIDES = {"symbol_share": 1, "digit_share": 1, "common_share": -1, "outside_share": 1, "mean_word_length": 1}
+#: Median and scale of each where a language has too few texts for its own; wide enough for both languages.
+FALLBACK = {"symbol_share": (0.02, 0.02), "digit_share": (0.01, 0.02), "common_share": (0.25, 0.06), "outside_share": (0.0, 0.02), "mean_word_length": (4.4, 0.5)}
 
 
 def statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -193,11 +200,12 @@ def tails(stats: DataFrame, id_col: str) -> DataFrame:
     stats is read twice (for the sketches and for the rows), so pass a table or a checkpoint.
     """
     at = lambda s, q: F.kll_sketch_get_quantile_double(F.col(s), F.lit(q))
-    bounds = sketches(stats).select("language", *(at(s, 0.5).alias(f"m_{s}") for s in SIDES), *((2 * F.abs(at(s, 0.5) - at(s, 0.25 if side > 0 else 0.75)) / 1.349).alias(f"s_{s}") for s, side in SIDES.items()))
-    scored = stats.join(F.broadcast(bounds), "language")  # one row per language
-    for s in SIDES:
-        scored = scored.withColumn(f"z_{s}", (F.col(s) - F.col(f"m_{s}")) / F.greatest(F.col(f"s_{s}"), F.lit(LEAST_SCALE)))
-    flag = F.lit(False)
+    reference = sketches(stats.where(F.col("outside_share") <= MIN_SHARE)).where(F.col("n") >= LEAST_REFERENCE)
+    bounds = reference.select("language", *(at(s, 0.5).alias(f"m_{s}") for s in SIDES), *((2 * F.abs(at(s, 0.5) - at(s, 0.25 if side > 0 else 0.75)) / 1.349).alias(f"s_{s}") for s, side in SIDES.items()))
+    scored = stats.join(F.broadcast(bounds), "language", "left")  # one row per language
+    for s, (median, scale) in FALLBACK.items():
+        scored = scored.withColumn(f"z_{s}", (F.col(s) - F.coalesce(f"m_{s}", F.lit(median))) / F.greatest(F.coalesce(f"s_{s}", F.lit(scale)), F.lit(LEAST_SCALE)))
+    flag = F.col("outside_share") > MIN_SHARE
     for s, side in SIDES.items():
         flag = flag | (side * F.col(f"z_{s}") > TAIL_Z)
     return scored.withColumn("in_tail", flag).select(id_col, "language", "main_kind", *STATISTICS, *(f"z_{s}" for s in SIDES), "in_tail")

@@ -30,6 +30,21 @@ def test_p1(spark, tmp_path):
     assert p1_quality.p1_percentiles(spark, str(tmp_path)).where("statistic = 'outside_share'").count() >= 1
 
 
+def test_p1_junk_source(spark, tmp_path):
+    rnd = random.Random(7)
+    english = "The model is trained on all of the data that we have, and it can be used by anyone who needs it."
+    junk = [" ".join("".join(rnd.choice("0123456789abcdef") for _ in range(rnd.choice([2, 4]))) for _ in range(120)) for _ in range(75)]
+    docs(spark, [PROSE] * 100 + [english] * 50 + junk).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r[0] for r in p1_quality.p1_found(spark, str(tmp_path)).collect()} == set(range(150, 225))
+    scores = p1_quality.p1_statistics(spark, str(tmp_path)).where("doc_id >= 150").select(F.min("z_outside_share")).first()[0]
+    assert scores > p1_quality.TAIL_Z
+
+
+def test_p1_junk_only(spark, tmp_path):
+    docs(spark, ["74 de76 55 71 49 dd73 24cf " * 20] * 40).write.parquet(f"{tmp_path}/documents.parquet")
+    assert p1_quality.p1_found(spark, str(tmp_path)).count() == 40
+
+
 def test_p2():
     share = lambda t: p2_repetition.repeated_share(p2_repetition.counted_words(t))
     assert share("") == 0 and share("một") == 0
