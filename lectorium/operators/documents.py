@@ -63,7 +63,12 @@ def local_pdf_name(name: Column) -> Column:
 
 
 def collection_name(subject: Column, folder: Column) -> Column:
-    part = lambda x: F.replace(F.lower(F.btrim(F.regexp_replace(x, r"(?U)[^\w\s-]", ""))), F.lit(" "), F.lit(""))
+    """Both names in lower case, with nothing but letters, digits, underscores, hyphens and inner white space other than blanks.
+
+    Marks that aren't composed with their letter are no letters and go.
+    """
+    kept_only = lambda x: F.regexp_replace(x, r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f-]", "")
+    part = lambda x: F.replace(F.lower(F.regexp_replace(kept_only(x), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")), F.lit(" "), F.lit(""))
     return F.concat(part(subject), F.lit("_"), part(folder), F.lit(".json"))
 
 

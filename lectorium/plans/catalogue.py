@@ -470,6 +470,13 @@ def collection_names(spark, d):
     return plain.select("subject", documents.collection_name(F.coalesce("subject", F.lit("")), F.lit("Slides")).alias("file"))
 
 
+@query()
+def collection_names_all(spark, d):
+    """The collection's file of every subject; collection_names has the plain ones, as its SQL defines."""
+    subjects = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.subject").alias("subject")).where(F.col("subject").isNotNull()).distinct()
+    return subjects.select("subject", documents.collection_name(F.col("subject"), F.lit("Slides")).alias("file"))
+
+
 # ---- jobs
 
 _JOBS = "j AS (SELECT job_id, max({'updated_at': updated_at, 'status': status, 'progress': progress, 'error': error}) AS r FROM jobs WHERE job_id IS NOT NULL GROUP BY job_id)"

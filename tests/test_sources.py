@@ -1,11 +1,13 @@
 """Files, stores, fetching, writers and SQL functions."""
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
 from lectorium.functions.registry import register_functions
 from lectorium.operators import segments
+from lectorium.plans import catalogue
 from lectorium.sources import sinks, stores, transcripts
 
 
@@ -74,3 +76,10 @@ def test_prompts(spark):
     row = spark.createDataFrame([("c" * 400, None, "Đáp án\n\n📚 Nguồn: a\nb", " ")], "t string, s string, a string, b string")
     got = row.select(prompts.retrieval_question(F.col("t"), F.col("s")), prompts.retrieval_answer(F.col("a")), prompts.retrieval_question(F.col("b"), F.col("s")), prompts.node_prompt(F.lit("x {CHUNK_TEXT} y"), F.lit("z"), F.lit("!"))).first()
     assert got[0].endswith("\n\n" + "c" * 300) and "học thuật" in got[0] and tuple(got)[1:] == ("Đáp án", "", "x z y!")
+
+
+def test_collection_names_of_all_subjects(spark, tmp_path):
+    subjects = ["HP: Giải tích", "Học máy (K65)", "He_dieu_hanh", "Mạng [2].x", " Hai\ndòng \t", "To\u00e1n", "Toa\u0301n", "m² ½", "a\u00a0b\u3000", "C++ & C#", "İSTANBUL", "\x1ca", "???", "", "Vật lý - 1", None, "HP: Giải tích"]
+    spark.createDataFrame([((s,),) for s in subjects], "metadata struct<subject: string>").write.parquet(f"{tmp_path}/knowledge_base_qwen.parquet")
+    want = {(s, re.sub(r"[^\w\s-]", "", s).strip().lower().replace(" ", "") + "_slides.json") for s in subjects if s is not None}
+    assert sorted(map(tuple, catalogue.QUERIES["collection_names_all"](spark, str(tmp_path)).collect())) == sorted(want)
