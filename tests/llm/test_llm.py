@@ -170,6 +170,28 @@ def test_p6_turns(spark):
     assert p6_turns.turn_starts(seg.limit(0), who).count() == 0
 
 
+def test_p6_turns_over_blocks(spark, monkeypatch):
+    rnd = random.Random(8)
+    who = spark.createDataFrame(SPEAKERS, "speaker_id string, label string, aliases array<string>")
+    rows, at, tail = [], 0.0, []
+    for i in range(60):
+        label = rnd.choice(["GV: ", "TA: ", "", "", ""]) if i else "GV: "
+        own = [f"từ{i:02d}{k:02d}" for k in range(rnd.randint(2, 60))]
+        said, tail = ([] if label or i in (12, 44) else tail) + own, own
+        at += 30.0 if i in (12, 44) else 0.2
+        rows.append(("m", i, at, at + 1, label + " ".join(said)))
+        at += 1
+    rows += [("n", i, None, None, f"{'GV: ' if i == 0 else ''}lời{i}") for i in range(25)]
+    seg = spark.createDataFrame(rows, "media_id string, seg_idx int, start_sec double, end_sec double, text string").repartition(3)
+    found = lambda **k: sorted(map(tuple, p6_turns.turns(seg, who, **k).collect()))
+    want = found()
+    words = " ".join(w for m, *_, w in want if m == "m").split()
+    assert len(words) == len(set(words)) and {("m", 12), ("m", 44)} <= {r[:2] for r in want} and [r[-1] for r in want if r[0] == "n"] == [" ".join(f"lời{i}" for i in range(25))]
+    monkeypatch.setattr(p6_turns, "BLOCK", 4)
+    assert found() == want
+    assert [(r[1], r[3], len(r[-1].split())) for r in found(piece=8) if r[0] == "n"] == [(0, 0, 8), (0, 1, 8), (0, 2, 8), (0, 3, 1)]
+
+
 def test_p6_overlap():
     assert p6_turns.overlap("a b c".split(), "b c d".split()) == 2 and p6_turns.overlap(["a"], []) == 0 and p6_turns.overlap("a b".split(), "c".split()) == 0
 
