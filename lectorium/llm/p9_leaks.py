@@ -28,6 +28,9 @@ MIN_LITERAL = 6
 #: Item windows up to which the item side is sent to the tasks (8 bytes each and the words); more are joined by shuffle.
 MOST_BROADCAST_WINDOWS = 1_000_000
 
+#: Places that a word's row is sent to where texts are joined with the literal words.
+SALTS = 32
+
 #: Units of measure, folded.
 UNITS = frozenset("kg g mg km m cm mm nm l ml s ms h v w kw hz khz mhz gb mb kb giay phut gio met lit gam kilogam seconds second minutes minute hours hour metres metre meters meter litres liters grams percent dong vnd usd".split())
 
@@ -45,22 +48,28 @@ def window_hashes(codes: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def literal_words(text: str) -> set[str]:
+    """The words of an item that aren't numbers, units or names."""
+    words = word_runs(text)
+    starts = {0} | {i for i in range(1, len(words)) if _begins_sentence(text, words, i)}
+    folded = {fold(w) for i, w in enumerate(words) if not w[:1].isupper() or i in starts}
+    return {w for w in folded if not w.isdecimal() and w not in UNITS}
+
+
 class Template:
     """The words that count as literal: those of the items that aren't numbers, units or names."""
 
     def __init__(self, texts: list[str]):
-        lower, inner = set(), set()
-        for text in texts:
-            words = word_runs(text)
-            starts = {0} | {i for i in range(1, len(words)) if _begins_sentence(text, words, i)}
-            for i, w in enumerate(words):
-                (inner if w[:1].isupper() and i not in starts else lower).add(fold(w))
-        literal = sorted(w for w in lower - (inner - lower) if not w.isdecimal() and w not in UNITS)
-        self.codes = {w: i + FIRST_WORD for i, w in enumerate(literal)}
+        self.codes = {w: i + FIRST_WORD for i, w in enumerate(sorted(set().union(*map(literal_words, texts))))}
 
     def code(self, word: str) -> int:
         word = fold(word)
-        return self.codes.get(word) or (NUMBER if word.isdecimal() else UNIT if word in UNITS else NAME)
+        return self.codes.get(word) or slot(word)
+
+
+def slot(word: str) -> int:
+    """The type of a folded word that isn't literal."""
+    return NUMBER if word.isdecimal() else UNIT if word in UNITS else NAME
 
 
 def _begins_sentence(text: str, words: list[str], i: int) -> bool:
@@ -144,37 +153,70 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
 
 
 def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id: str, schema: T.StructType) -> DataFrame:
-    """Both sides as rows (hash, id, words), joined by hash.
+    """The same rows as by broadcast, both sides being joined by hash.
 
-    Without a bounded item vocabulary, every word that holds a capital or no letter is a slot and
-    hashing uses the words themselves; a window's slots are all compared, so verbatim passages are
-    those whose words agree.
+    The literal words of all items are a table, joined with the distinct words of each text, so that
+    both sides get the same templates. A window with fewer than MIN_LITERAL literal words can only be
+    verbatim and is hashed by its words; others by their template, and then compared slot by slot.
     """
 
+    def words_of(name: str, make):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 256):
+                at, out = [], []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    own = make(text) if text else ()
+                    at += [i] * len(own)
+                    out += own
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(out, pa.string())], names=["key", name])
+
+        return run
+
+    vocabulary = items.select(F.md5("text"), "text").mapInArrow(words_of("word", literal_words), "key string, word string").select("word").distinct()
+    # Frequent words are in almost every text, so each goes to SALTS places.
+    salted = vocabulary.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
     def side(df: DataFrame, key: str, name: str) -> DataFrame:
-        out = T.StructType([T.StructField("h", T.LongType()), T.StructField(name, df.schema[key].dataType), T.StructField(f"{name}_words", T.StringType())])
+        texts = df.select(F.col(key).alias("id"), F.col(df.columns[1]).alias("text")).where(F.col("text").isNotNull()).distinct().withColumn("key", F.md5("text"))
+        each = texts.select("key", "text").dropDuplicates(["key"]).mapInArrow(words_of("word", lambda t: {fold(w) for w in word_runs(t)}), "key string, word string")
+        known = each.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["word", "salt"]).groupBy("key").agg(F.collect_list("word").alias("literal"))
+        out = T.StructType([T.StructField("h", T.LongType()), T.StructField(name, df.schema[key].dataType), T.StructField(f"{name}_key", T.StringType()), T.StructField(f"{name}_words", T.StringType()), T.StructField(f"{name}_types", T.StringType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import xxhash
 
-            code = Memo(lambda w: NUMBER if w.isdecimal() else UNIT if w in UNITS else xxhash.xxh32_intdigest(w) + FIRST_WORD)
             folded = Memo(fold)
-            for batch in slices(batches, 256):
-                h, at, text = [], [], []
-                for i, t in enumerate(batch.column(1).to_pylist()):
-                    words = [folded[w] for w in word_runs(t)] if t else []
-                    hashes = window_hashes(np.fromiter(map(code.__getitem__, words), np.int64, len(words))).astype(np.int64)
-                    h += hashes.tolist()
-                    at += [i] * len(hashes)
-                    text += [" ".join(words[j : j + WINDOW]) for j in range(len(hashes))]
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(0).take(pa.array(at, pa.int32())), pa.array(text, pa.string())], names=out.names)
-
-        return df.select(key, df.columns[1]).mapInArrow(run, out).distinct()
-
-    left, right = side(source, doc_id, "d"), side(items, "item", "i")
-    same = (F.col("d_words") == F.col("i_words"))
-    joined = left.join(right, "h").groupBy(F.col("d").alias(doc_id), F.col("i").alias(item_id))
-    return joined.agg(F.max(F.when(same, "verbatim").otherwise("reparameterised")).alias("kind"), F.count("*").alias("n_windows"))
+            number = Memo(lambda w: (xxhash.xxh3_64_intdigest(w) >> 2) + FIRST_WORD)
+            for batch in slices(batches, 64):
+                h, at, runs, types = [], [], [], []
+                for i, (text, known) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                    words, literal = [folded[w] for w in word_runs(text)], set(known or ())
+                    kinds = [FIRST_WORD if w in literal else slot(w) for w in words]
+                    plain = np.array([number[w] for w in words], np.int64)
+                    kind = np.array(kinds, np.int64)
+                    by_words, by_template = window_hashes(plain), window_hashes(np.where(kind == FIRST_WORD, plain, kind))
+                    size = len(by_words)
+                    if not size:
+                        continue
+                    count = np.convolve(kind == FIRST_WORD, np.ones(WINDOW, np.int64), "valid")
+                    h += np.where(count < MIN_LITERAL, by_words, by_template).astype(np.int64).tolist()
+                    at += [i] * size
+                    runs += [" ".join(words[j : j + WINDOW]) for j in range(size)]
+                    line = "".join(map(str, kinds))
+                    types += [line[j : j + WINDOW] for j in range(size)]
+                take = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(runs, pa.string()), pa.array(types, pa.string())], names=out.names)
+
+        windows = texts.join(known, "key", "left").select("id", "key", "text", "literal").mapInArrow(run, out)
+        return windows.groupBy(*out.names).agg(F.count("*").alias(f"{name}_n"))
+
+    @F.pandas_udf("string")
+    def kind(item: pd.Series, doc: pd.Series, types: pd.Series) -> pd.Series:
+        return pd.Series([compare(a.split(" "), b.split(" "), np.array(list(map(int, c)))) for a, b, c in zip(item, doc, types)], dtype=object)
+
+    joined = side(source, doc_id, "d").join(side(items, "item", "i"), "h").withColumn("kind", kind("i_words", "d_words", "d_types")).where(F.col("kind").isNotNull())
+    by_text = joined.groupBy(F.col("d").alias(doc_id), "d_key", F.col("i").alias(item_id)).agg(F.max("kind").alias("kind"), F.sum(F.col("d_n") * F.col("i_n")).alias("n_windows"))
+    return by_text.groupBy(doc_id, item_id).agg(F.max("kind").alias("kind"), F.max("n_windows").alias("n_windows"))
 
 
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

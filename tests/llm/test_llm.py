@@ -253,6 +253,28 @@ def test_p9(spark, most):
     assert {r["doc_id"] for r in got.where("kind = 'reparameterised'").collect()} == {2}
 
 
+def test_p9_both_ways_agree(spark):
+    rnd = random.Random(9)
+    w = ITEM.split()
+    other = "Nếu kho Zelkor có 40 kg gạo và kho Marn có 25 kg gạo, hỏi sau 3 giờ thì kho nào còn nhiều hơn"
+    numbers = " ".join(str(k) for k in range(40))
+    texts = [
+        " ".join(w[:23]).replace("Jorosson", "Zelkor").replace("Draunven", "Marn"),
+        " ".join(w[:23]).replace("Jorosson", "Zelkor").replace("Draunven", "Zelkor"),
+        " ".join(w).replace("bức", "lá"),
+        (ITEM + ". ") * 3,
+        other.replace("kg", "l").replace("40", "7") + " " + numbers,
+        numbers.replace("1", "2"),
+    ]
+    for _ in range(60):
+        base = (rnd.choice([ITEM, other]) + " " + numbers).split()
+        texts.append(" ".join(rnd.choice(["9", "Marn", "kg", "lá"]) if rnd.random() < 0.06 else x for x in base))
+    frame = docs(spark, texts).unionByName(docs(spark, texts[:9]))
+    items = spark.createDataFrame([(1, ITEM), (2, other), (2, other + " " + numbers), (3, numbers), (3, numbers), (4, None)], "item_id long, text string")
+    ways = [sorted(map(tuple, p9_leaks.leaks(frame, "doc_id", "text", items, "item_id", "text", most).collect())) for most in (10**6, 0)]
+    assert ways[0] == ways[1] and {(0, 1, "reparameterised")} <= {r[:3] for r in ways[0]}
+
+
 def test_p10(spark):
     texts = [
         "Chào mừng {{ten}} đến với học phần <TIÊU ĐỀ>.\nNội dung tóm tắt: @@topic@@.",
