@@ -5,8 +5,9 @@ messages with patterns of their wording. A sentence that talks about such things
 syntax, a tag, a status code as a subject) and everything inside code blocks is discounted.
 A document is residue if most of its characters belong to such sentences.
 
-An Aho-Corasick automaton over the delimiters and key phrases passes over every text once; the
-grammars only run where it found something.
+An Aho-Corasick automaton over the delimiters and strings that the patterns can't match without
+passes over every sentence; the grammars only run where it, or a test for status codes, weak
+delimiters or pseudo-Latin, found something.
 """
 
 from __future__ import annotations
@@ -86,13 +87,55 @@ ABOUT = re.compile(
     re.I,
 )
 
-#: What the automaton looks for: the delimiters, and a piece of every wording above.
-KEYS = [*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme"] + (
+
+def _strings(nodes) -> tuple[set[str] | None, set[str] | None]:
+    """(all strings that a parsed pattern matches, if few; strings one of which every match holds), in lower case."""
+    run, best, whole = {""}, None, True
+    better = lambda new, old: new if new and min(map(len, new)) > (min(map(len, old)) if old else 1) else old
+    for op, value in nodes:
+        op, every, held = str(op), None, None
+        if op in ("AT", "ASSERT", "ASSERT_NOT"):
+            continue
+        if op == "LITERAL":
+            every = {chr(value).lower()}
+        elif op == "SUBPATTERN":
+            every, held = _strings(value[-1])
+        elif op == "IN" and len(value) <= 8 and all(str(o) == "LITERAL" for o, _ in value):
+            every = {chr(v).lower() for _, v in value}
+        elif op == "BRANCH":
+            parts = [_strings(x) for x in value[1]]
+            every = set().union(*(e for e, _ in parts)) if all(e is not None for e, _ in parts) else None
+            held = set().union(*(h for _, h in parts)) if all(h for _, h in parts) else None
+        elif op == "MAX_REPEAT":
+            least, most, inner = value
+            one, held = _strings(inner)
+            every = one | {""} if one is not None and (least, most) == (0, 1) else None
+            held = None if least == 0 else {x * least for x in one} if one is not None and len(one) == 1 else held
+        if every is not None and len(run) * len(every) <= 64:
+            run = {a + b for a in run for b in every}
+        else:
+            best, whole = better(held, better(run, best)), False
+            run = every if every is not None else {""}
+    return (run if whole else None), better(run, best)
+
+
+def wording(pattern: re.Pattern) -> list[set[str] | None]:
+    """For every alternative: strings in lower case, one of which each of its matches holds; None if it has none."""
+    nodes = list(re._parser.parse(pattern.pattern, pattern.flags))
+    ways = nodes[0][1][1] if len(nodes) == 1 and str(nodes[0][0]) == "BRANCH" else [nodes]
+    return [_strings(x)[1] for x in ways]
+
+
+#: What the automaton looks for: the delimiters, pieces of the wording above, and for every wording strings that it can't do without.
+_PIECES = [*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme"] + (
     "lorem|ipsum|amet|tupis|aleta|salivor|credam|bellum|placeholder|replace this|replace the|sample p|dummy|layout purposes|coming soon|goes here|intentionally left|click to|here.|under construction|cập nhật|sẽ được thay|sẽ hiện ở|tại đây|ở đây|vào đây|vị trí này|chưa có nội dung|bổ sung sau|văn bản mẫu|giữ chỗ|tự sinh|bấm vào"
     "|error|not found|displayed|denied|forbidden|no longer|has moved|unable to|went wrong|too many requests|session|in time|home page|search box|retry|try again|help desk|request id|oops|sorry|unavailable|sign in|log in|gateway|notice"
     "|lỗi|mã yêu cầu|trang chủ|thử lại|ghi nhận|đăng nhập|hết hạn|quyền|từ chối|không tìm thấy|phản hồi rỗng|số lượt|bảo trì|ít phút|chưa mở|không hợp lệ|bị gỡ|kết xuất|sự cố|khả dụng|kỹ thuật|rất tiếc|ôi không|thông báo"
     "|script|cookie|trình duyệt|browser|kịch bản"
 ).split("|")
+KEYS = sorted({*_PIECES, *(x for p in (FILLER, MESSAGE, SCRIPTS, BLANK) for k in wording(p) if k for x in k)})
+#: The one wording without a string of its own: a status code.
+_STATUS = re.compile(r"(?:\b|error|code|status)[45]\d\d\b", re.I)
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+|\n|$)")
 _CODE = re.compile(r"```.*?```|<code>.*?</code>|<pre>.*?</pre>|^(?:[ \t]+|def |int |for |return |if |\}).*$", re.S | re.M)
@@ -129,6 +172,11 @@ def _solid(text: str) -> int:
     return len(_SPACE.sub("", text))
 
 
+def suspect(sentence: str, keys) -> bool:
+    """Whether a pattern may match; residue_kind is None where this is false."""
+    return bool(next(keys.iter(sentence.lower()), None) or _WEAK.search(sentence) or _STATUS.search(sentence) or _pseudo_latin(sentence))
+
+
 def residue(text: str, keys, least: float = 0.0) -> tuple[float, str | None, int]:
     """Share of non-space characters in residue sentences, the most frequent kind, placeholders.
 
@@ -140,7 +188,7 @@ def residue(text: str, keys, least: float = 0.0) -> tuple[float, str | None, int
     parts = sentences(text)
     sizes = list(map(_solid, parts))
     total = sum(sizes)
-    tried = [(s, n) for s, n in zip(parts, sizes) if s not in code and (next(keys.iter(s.lower()), None) or _WEAK.search(s) or _pseudo_latin(s))]
+    tried = [(s, n) for s, n in zip(parts, sizes) if s not in code and suspect(s, keys)]
     if not total or sum(n for _, n in tried) < least * total:
         return 0.0, None, 0
     for s, n in tried:
@@ -174,7 +222,7 @@ def residue_of(df: DataFrame, id_col: str, text_col: str, least: float = 0.0) ->
         for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                if text and (next(keys.iter(text.lower()), None) or _WEAK.search(text)):
+                if text:
                     share, kind, n = residue(text, keys, least)
                     if kind and share >= least:
                         at.append(i)

@@ -292,3 +292,15 @@ def test_p10(spark):
     ]
     got = p10_residue.residue_of(docs(spark, texts), "doc_id", "text", 0.5).where(F.col("share") > 0.5)
     assert {r["doc_id"] for r in got.collect()} == {0, 1, 2, 3, 10}
+
+
+def test_p10_gate_lets_every_wording_pass(spark):
+    texts = [
+        "The page could not be found.", "The server is down.", "This is sample text.", "Your title here", "to be added later", "Quote this number to the helpdesk.", "Phiên làm việc đã hết hiệu lực", "Không thể hiển thị trang", "Không thể tải tệp", "404", "Status 500",
+        "Duis aute irure dolor in reprehenderit.", "Write two sentences here", "Insert: điền tên tại đây", "Tripped over a cable.", "Bad gateway", "The site is temporarily unavailable", "Cần bật cookie", "Scripting must be enabled", "Checking your browser",
+    ]
+    assert [t for t in texts if not p10_residue.residue_kind(t)] == []
+    got = p10_residue.residue_of(docs(spark, [*texts, PROSE]), "doc_id", "text", 0.5)
+    assert {r["doc_id"] for r in got.collect()} == set(range(len(texts)))
+    missing = [k for p in (p10_residue.FILLER, p10_residue.MESSAGE, p10_residue.SCRIPTS, p10_residue.BLANK) for k in p10_residue.wording(p) if not k]
+    assert len(missing) == 1
