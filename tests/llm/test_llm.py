@@ -304,3 +304,8 @@ def test_p10_gate_lets_every_wording_pass(spark):
     assert {r["doc_id"] for r in got.collect()} == set(range(len(texts)))
     missing = [k for p in (p10_residue.FILLER, p10_residue.MESSAGE, p10_residue.SCRIPTS, p10_residue.BLANK) for k in p10_residue.wording(p) if not k]
     assert len(missing) == 1
+
+
+def test_p6_label_with_en_dash():
+    labels = p6_turns.Labels(SPEAKERS)
+    assert p6_turns.spans("Giảng viên – chào các em", labels)[-1] == ("GV", "chào các em")
