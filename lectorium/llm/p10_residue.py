@@ -138,7 +138,7 @@ KEYS = sorted({*_PIECES, *(x for p in (FILLER, MESSAGE, SCRIPTS, BLANK) for k in
 _STATUS = re.compile(r"(?:\b|error|code|status)[45]\d\d\b", re.I)
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+|\n|$)")
-_CODE = re.compile(r"```.*?```|<code>.*?</code>|<pre>.*?</pre>|^(?:[ \t]+|def |int |for |return |if |\}).*$", re.S | re.M)
+_CODE = re.compile(r"```.*?```|<code>.*?</code>|<pre>.*?</pre>|^[ \t]*(?:def |int |for |return |if |\})[^\n]*(?:\n[ \t]+\S[^\n]*)*", re.S | re.M)
 _SPACE = re.compile(r"\s+")
 
 

@@ -309,3 +309,9 @@ def test_p10_gate_lets_every_wording_pass(spark):
 def test_p6_label_with_en_dash():
     labels = p6_turns.Labels(SPEAKERS)
     assert p6_turns.spans("Giảng viên – chào các em", labels)[-1] == ("GV", "chào các em")
+
+
+def test_p10_indented_text_is_no_code(spark):
+    texts = ["  Trang đang bảo trì.\nPlease enable JavaScript to view the comments.\nLorem ipsum dolor sit amet.", "if this page stays empty\nPlease enable JavaScript to view the comments.", "def chao(ten):\n    # coming soon\n    return 404"]
+    got = p10_residue.residue_of(docs(spark, texts), "doc_id", "text", 0.5)
+    assert {r["doc_id"] for r in got.collect()} == {0, 1}
