@@ -357,9 +357,9 @@ def dedupe_course(spark, d):
 
 @query()
 def merge_short(spark, d):
-    """Short nodes of one file merged."""
-    rows = _nodes(spark, d).where(F.col("subject").isNotNull() & F.col("file_name").isNotNull())
-    return nodes.merge_short(rows, ["subject", "file_name"], "id", 150, 400)
+    """Short nodes of one file merged; a node without a file name is a file of its own."""
+    rows = _nodes(spark, d).where(F.col("subject").isNotNull()).withColumn("own_file", F.when(F.col("file_name").isNull(), F.col("id")))
+    return nodes.merge_short(rows, ["subject", "file_name", "own_file"], "id", 150, 400).drop("own_file")
 
 
 @query("""WITH c AS (SELECT coalesce(course, '_root') AS course, coalesce(file_name, CAST(doc_id AS VARCHAR)) AS f, len(list_filter(string_split_regex(text, '[\\s]+'), lambda w: w <> '')) AS w FROM documents WHERE text IS NOT NULL)

@@ -190,3 +190,12 @@ def test_nodes_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([(k, "c", "f", text if k % 2 else text.replace("mạng", "đồ thị")) for k in range(4)], "doc_id long, course string, file_name string, text string")
     a, b = (sorted(r["id"] for r in pipelines.transcript_nodes(docs.repartition(n)).collect()) for n in (1, 5))
     assert a == b and a
+
+
+def test_merge_short_without_file_name(spark, monkeypatch):
+    from lectorium.plans import catalogue
+
+    rows = spark.createDataFrame([(f"n{i}", "Một câu ngắn.", "t", "Theory", None, "s", None) for i in range(5)], "id string, text string, topic string, category string, question_templates array<string>, subject string, file_name string")
+    monkeypatch.setattr(catalogue, "_nodes", lambda spark, d: rows)
+    got = catalogue.merge_short(spark, "").collect()
+    assert {(r["id"], r["file_name"], r["text"]) for r in got} == {(f"n{i}", None, "Một câu ngắn.") for i in range(5)}
