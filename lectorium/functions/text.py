@@ -150,30 +150,6 @@ def sentences(x: Column) -> Column:
     return let(normalize_spaces(x), split)
 
 
-def distinct_sentences(parts: Column) -> Column:
-    """The first of all sentences with one match form, in order; sentences without one are dropped."""
-
-    def first(keys: Column) -> Column:
-        return F.filter(parts, lambda _, i: (F.element_at(keys, i + 1) != "") & (F.array_position(keys, F.element_at(keys, i + 1)) == i + 1))
-
-    return let(F.transform(parts, match_form), first)
-
-
-def is_low_info(norm: Column) -> Column:
-    return (norm == "") | norm.rlike(any_of(L.FILLERS)) | norm.rlike(any_of(L.LOW_INFO))
-
-
-def clean_text(x: Column) -> Column:
-    """Terms, then sentences without filler (all, if nothing would be left) and repeats, then punctuation."""
-
-    def clean(keyed: Column) -> Column:
-        kept = let(F.filter(keyed, lambda p: ~is_low_info(p["k"])), lambda k: F.when(F.size(k) > 0, k).otherwise(keyed))
-        first = lambda ps: F.filter(ps, lambda p, i: (p["k"] != "") & (F.array_position(F.transform(ps, lambda q: q["k"]), p["k"]) == i + 1))
-        return normalize_punctuation(F.array_join(F.transform(let(kept, first), lambda p: p["s"]), " "))
-
-    return let(F.transform(sentences(normalize_terms(normalize_spaces(x))), lambda s: F.struct(s.alias("s"), match_form(s).alias("k"))), clean)
-
-
 def collapse_repeats(x: Column) -> Column:
     """Runs of six or more equal characters as one, and at most two equal words in a row."""
 

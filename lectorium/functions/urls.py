@@ -60,9 +60,15 @@ def service_urls(base: Column) -> Column:
     return F.when(bare.endswith("/v1/chat/completions") | bare.endswith("/chat/completions"), F.array(bare)).otherwise(F.array(*(F.concat(bare, F.lit(s)) for s in ("/v1/chat/completions", "/chat/completions", "/chat"))))
 
 
+#: The wording of the hint for a speech model.
+ENGLISH_HINT = ("Academic lecture on ", ". Technical terminology expected.")
+VIETNAMESE_HINT = ("Đây là bài giảng học thuật tiếng Việt", " môn ", ". Nội dung mang tính học thuật, chuyên ngành.")
+
+
 def speech_prompt(language: Column, subject: Column) -> Column:
     """The hint for a speech model; null where there is nothing to hint at."""
     subject = F.nullif(subject, F.lit(""))
-    english = F.when(subject.isNotNull(), F.concat(F.lit("Academic lecture on "), subject, F.lit(". Technical terminology expected.")))
-    vietnamese = F.concat(F.lit("Đây là bài giảng học thuật tiếng Việt"), F.coalesce(F.concat(F.lit(" môn "), subject), F.lit("")), F.lit(". Nội dung mang tính học thuật, chuyên ngành."))
+    english = F.when(subject.isNotNull(), F.concat(F.lit(ENGLISH_HINT[0]), subject, F.lit(ENGLISH_HINT[1])))
+    begin, of, end = map(F.lit, VIETNAMESE_HINT)
+    vietnamese = F.concat(begin, F.coalesce(F.concat(of, subject), F.lit("")), end)
     return F.when(language == "vi", vietnamese).otherwise(english)

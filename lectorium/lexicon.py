@@ -46,8 +46,18 @@ META_TALK = [
 ]
 SPAM = ["subscribe.*kênh", "đăng ký.*kênh", "like.*share", "ghiền.*gõ", "không.*bỏ.*lỡ", "video.*hấp.*dẫn"]
 
-STOPWORDS_VI = "la va cua cho voi trong nhung duoc mot cac cung roi theo nay kia nhieu nhat nhu khi neu thi do ay noi chung de chi phan nao thoi dang se da qua rat van con nguoi moi hay hoac them deu lieu tren duoi sau truoc giua ben cuoi bat dau hai ba bon nam bay tam chin muoi".split()
-STOPWORDS_EN = "the this that with from into about your have will been were they their there when which would could should also more some than then each both such only very just over after before these those being other while what where how why who and but for not are was its our can all has had may".split()
+STOPWORDS_VI = [
+    "la", "va", "cua", "cho", "voi", "trong", "nhung", "duoc", "mot", "cac", "cung", "roi", "theo", "nay", "kia", "nhieu", "nhat", "nhu", "khi",
+    "neu", "thi", "do", "ay", "noi", "chung", "de", "chi", "phan", "nao", "thoi", "dang", "se", "da", "qua", "rat", "van", "con", "nguoi", "moi",
+    "hay", "hoac", "them", "deu", "lieu", "tren", "duoi", "sau", "truoc", "giua", "ben", "cuoi", "bat", "dau", "hai", "ba", "bon", "nam", "bay",
+    "tam", "chin", "muoi",
+]
+STOPWORDS_EN = [
+    "the", "this", "that", "with", "from", "into", "about", "your", "have", "will", "been", "were", "they", "their", "there", "when", "which",
+    "would", "could", "should", "also", "more", "some", "than", "then", "each", "both", "such", "only", "very", "just", "over", "after", "before",
+    "these", "those", "being", "other", "while", "what", "where", "how", "why", "who", "and", "but", "for", "not", "are", "was", "its", "our", "can",
+    "all", "has", "had", "may",
+]
 STOPWORDS = STOPWORDS_VI + STOPWORDS_EN
 
 TERMS = [
@@ -64,10 +74,17 @@ TERMS = [
     ("marx lenin", "marx-Lenin"),
 ]
 
-ENGLISH_STARTS = (
-    "abs acc act add adm ago aid aim air all ana and app arc are art ask ass aud aug bas beh bio bus cap cat cen cha che chi cla col com con cor cri cul dat def dep des dev dia dif dir dis doc dom dyn eco edu ele emp eng env est eth eve evo exa exc exp ext fac far fie fin for fra fun gen geo gov gro gui hab hea his hum hyp ide ima imp inc ind inf ins int inv iso jus kno lan law lea leg lib lin log "
-    "man mar mat mea mec med met mig mod mol mon mor mot mul nat net neu nor obj obs off ont opt ord org ori out par pat per phi pho phy pla pol pos pre pri pro psy pub qua ran rat rec red ref rel rep res rev sci sec sel sem ser soc sol spe sta str sub sys tax tec the thr tra tri typ und uni use val var ver vis voc war wor"
-).split()
+ENGLISH_STARTS = [
+    "abs", "acc", "act", "add", "adm", "ago", "aid", "aim", "air", "all", "ana", "and", "app", "arc", "are", "art", "ask", "ass", "aud", "aug", "bas",
+    "beh", "bio", "bus", "cap", "cat", "cen", "cha", "che", "chi", "cla", "col", "com", "con", "cor", "cri", "cul", "dat", "def", "dep", "des", "dev",
+    "dia", "dif", "dir", "dis", "doc", "dom", "dyn", "eco", "edu", "ele", "emp", "eng", "env", "est", "eth", "eve", "evo", "exa", "exc", "exp", "ext",
+    "fac", "far", "fie", "fin", "for", "fra", "fun", "gen", "geo", "gov", "gro", "gui", "hab", "hea", "his", "hum", "hyp", "ide", "ima", "imp", "inc",
+    "ind", "inf", "ins", "int", "inv", "iso", "jus", "kno", "lan", "law", "lea", "leg", "lib", "lin", "log", "man", "mar", "mat", "mea", "mec", "med",
+    "met", "mig", "mod", "mol", "mon", "mor", "mot", "mul", "nat", "net", "neu", "nor", "obj", "obs", "off", "ont", "opt", "ord", "org", "ori", "out",
+    "par", "pat", "per", "phi", "pho", "phy", "pla", "pol", "pos", "pre", "pri", "pro", "psy", "pub", "qua", "ran", "rat", "rec", "red", "ref", "rel",
+    "rep", "res", "rev", "sci", "sec", "sel", "sem", "ser", "soc", "sol", "spe", "sta", "str", "sub", "sys", "tax", "tec", "the", "thr", "tra", "tri",
+    "typ", "und", "uni", "use", "val", "var", "ver", "vis", "voc", "war", "wor",
+]
 SYLLABLE_STARTS = "b|c|ch|d|đ|g|gh|gi|h|k|kh|l|m|n|ng|ngh|nh|p|ph|qu|r|s|t|th|tr|v|x|z"
 SYLLABLE_CORES = "a|ă|â|e|ê|i|o|ô|ơ|u|ư|y|ai|ao|au|ay|âu|âi|eo|eu|ia|ie|io|iu|oa|oe|oi|ôi|ơi|ua|ue|ui|uo|uô|ươ|uy|ya|ye"
 SYLLABLE_ENDS = "c|ch|m|n|ng|nh|p|t"
@@ -81,19 +98,53 @@ OTHER_FOLDERS = [
 CLIMB = 6
 NO_SUBJECT = "General Subject"
 
-SKIPPED_ENDINGS = ".mp4 .avi .mov .mkv .flv .wmv .webm .m4v .mpeg .mpg .mp3 .wav .flac .aac .ogg .wma .m4a .jpg .jpeg .png .gif .bmp .svg .webp .ico .zip .rar .7z .tar .gz .exe .dmg .app .apk".split()
-SKIPPED_TYPES = (
-    "video/mp4 video/x-msvideo video/quicktime video/x-matroska video/x-flv video/x-ms-wmv video/webm video/mpeg audio/mpeg audio/wav audio/flac audio/aac audio/ogg "
-    "image/jpeg image/png image/gif image/bmp image/svg+xml image/webp application/vnd.google-apps.form application/vnd.google-apps.site application/vnd.google-apps.map"
-).split()
-EXPORTED_TYPES = [f"application/vnd.google-apps.{x}" for x in ("document", "spreadsheet", "presentation", "drawing")]
-OFFICE_ENDINGS = ".docx .doc .pptx .ppt .xlsx .xls .txt .rtf .odt .odp .ods".split()
+SKIPPED_ENDINGS = [
+    ".mp4", ".avi", ".mov", ".mkv", ".flv", ".wmv", ".webm", ".m4v", ".mpeg", ".mpg", ".mp3", ".wav", ".flac", ".aac", ".ogg", ".wma", ".m4a", ".jpg",
+    ".jpeg", ".png", ".gif", ".bmp", ".svg", ".webp", ".ico", ".zip", ".rar", ".7z", ".tar", ".gz", ".exe", ".dmg", ".app", ".apk",
+]
+SKIPPED_TYPES = [
+    "video/mp4",
+    "video/x-msvideo",
+    "video/quicktime",
+    "video/x-matroska",
+    "video/x-flv",
+    "video/x-ms-wmv",
+    "video/webm",
+    "video/mpeg",
+    "audio/mpeg",
+    "audio/wav",
+    "audio/flac",
+    "audio/aac",
+    "audio/ogg",
+    "image/jpeg",
+    "image/png",
+    "image/gif",
+    "image/bmp",
+    "image/svg+xml",
+    "image/webp",
+    "application/vnd.google-apps.form",
+    "application/vnd.google-apps.site",
+    "application/vnd.google-apps.map",
+]
+EXPORTED_TYPES = [
+    "application/vnd.google-apps.document",
+    "application/vnd.google-apps.spreadsheet",
+    "application/vnd.google-apps.presentation",
+    "application/vnd.google-apps.drawing",
+]
+OFFICE_ENDINGS = [
+    ".docx", ".doc", ".pptx", ".ppt", ".xlsx", ".xls", ".txt", ".rtf", ".odt", ".odp", ".ods",
+]
 OFFICE_TYPES = [
-    *(f"application/vnd.openxmlformats-officedocument.{x}" for x in ("presentationml.presentation", "wordprocessingml.document", "spreadsheetml.sheet")),
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
     "application/vnd.ms-powerpoint",
     "application/msword",
     "application/vnd.ms-excel",
-    *(f"application/vnd.oasis.opendocument.{x}" for x in ("text", "presentation", "spreadsheet")),
+    "application/vnd.oasis.opendocument.text",
+    "application/vnd.oasis.opendocument.presentation",
+    "application/vnd.oasis.opendocument.spreadsheet",
     "text/plain",
     "application/rtf",
 ]

@@ -1,71 +1,27 @@
-"""Greedy packing of sentences, as folds over a column."""
+"""Greedy packing of sentences into chunks and parts: one walk over each text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_spaces, sentences, word_count, words
-
-_SENTENCES = "array<struct<s:string,n:int>>"
-
-
-def _counted(x: Column) -> Column:
-    return F.transform(sentences(x), lambda s: F.struct(s.alias("s"), word_count(s).alias("n")))
-
-
-def _join(parts: Column) -> Column:
-    return F.array_join(F.transform(parts, lambda p: p["s"]), " ")
-
-
-def _sum(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda a, p: a + p["n"])
-
-
-def _start() -> Column:
-    return F.struct(F.array().cast("array<string>").alias("done"), F.array().cast(_SENTENCES).alias("cur"), F.lit(0).alias("n"))
-
-
-def _finish(acc: Column) -> Column:
-    return F.when(F.size(acc["cur"]) > 0, F.array_append(acc["done"], _join(acc["cur"]))).otherwise(acc["done"])
+from ..functions import passages
+from ..functions.arrow import per_row
 
 
 def transcript_chunks(text: Column, min_words: int = 900, max_words: int = 1400, overlap: int = 70) -> Column:
-    """Chunks of whole sentences for extraction, each beginning with the end of the one before.
-
-    A chunk is closed where the next sentence would exceed the most words and it has the least
-    already. A sentence longer than the most words closes the chunk and is cut without overlap.
-    """
-
-    def step(acc: Column, p: Column) -> Column:
-        cur = acc["cur"]
-        held = F.size(cur) > 0
-        long = p["n"] > max_words
-        close = held & (acc["n"] + p["n"] > max_words) & (acc["n"] >= min_words)
-        w = words(p["s"])
-        pieces = F.transform(F.sequence(F.lit(0), p["n"] - 1, F.lit(max_words)), lambda i: F.array_join(F.slice(w, i + 1, F.lit(max_words)), " "))
-        closed = F.when(held, F.array_append(acc["done"], _join(cur))).otherwise(acc["done"])
-        after = lambda i: _sum(F.slice(cur, i + 2, F.size(cur)))
-        kept = F.filter(cur, lambda _, i: (i == F.size(cur) - 1) | (after(i) < overlap))
-        with_overlap = F.array_append(kept, p)
-        return (
-            F.when(long, F.struct(F.concat(closed, pieces).alias("done"), F.array().cast(_SENTENCES).alias("cur"), F.lit(0).alias("n")))
-            .when(close, F.struct(closed.alias("done"), with_overlap.alias("cur"), _sum(with_overlap).alias("n")))
-            .otherwise(F.struct(acc["done"].alias("done"), F.array_append(cur, p).alias("cur"), (acc["n"] + p["n"]).alias("n")))
-        )
-
-    return F.filter(F.transform(F.aggregate(_counted(text), _start(), step, _finish), normalize_spaces), lambda c: c != "")
+    """Chunks of whole sentences for extraction, each beginning with the end of the one before."""
+    return per_row("array<string>", lambda t: passages.transcript_chunks(t, min_words, max_words, overlap), text)
 
 
 def oversized_parts(text: Column, max_words: int = 500) -> Column:
-    """Parts of whole sentences of at most so many words (a longer sentence is a part); a short text is one part, unchanged."""
+    """Parts of whole sentences of at most so many words; a short text is one part, unchanged."""
+    return per_row("array<string>", lambda t: passages.oversized_parts(t, max_words), text)
 
-    def step(acc: Column, p: Column) -> Column:
-        close = (F.size(acc["cur"]) > 0) & (acc["n"] + p["n"] > max_words)
-        return F.when(close, F.struct(F.array_append(acc["done"], _join(acc["cur"])).alias("done"), F.array(p).alias("cur"), p["n"].alias("n"))).otherwise(F.struct(acc["done"].alias("done"), F.array_append(acc["cur"], p).alias("cur"), (acc["n"] + p["n"]).alias("n")))
 
-    packed = F.filter(F.aggregate(_counted(text), _start(), step, _finish), lambda c: c != "")
-    return F.when(word_count(text) <= max_words, F.array(text)).otherwise(packed)
+def distinct_sentences(text: Column) -> Column:
+    """The first of all sentences with one match form, in order; sentences without one are dropped."""
+    return per_row("array<string>", lambda t: passages.distinct_sentences(passages.sentences(t)), text)
 
 
 def exploded(df: DataFrame, keys: list[str], parts: Column, index: str, name: str) -> DataFrame:

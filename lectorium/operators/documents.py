@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from .. import lexicon as L
 from .storage import kept
 
-#: Levels after which a walk ends; deeper trees and shortcut cycles end here or at a visited folder.
-MOST_LEVELS = 64
-
 
 def entries(listing: DataFrame) -> DataFrame:
     """One row per entry that isn't in the trash; rows listed twice are equal."""
@@ -79,8 +76,8 @@ def course_file(course: Column) -> Column:
 def walk(listing: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """(id, name, mime_type, path, level, route): every file reached from the roots, through folders and shortcuts.
 
-    Level by level: each round joins the frontier of folders with their children. A folder reached
-    again on the same path ends there, so shortcut cycles end. A shortcut to a folder opens that
+    Level by level, to any depth: each round joins the frontier of folders with their children. A
+    folder reached again on the same path ends there, so shortcut cycles end. A shortcut to a folder opens that
     folder under the shortcut's name. Without roots, entries without a parent are the roots.
     """
     real = kept(shortcut_target(entries(listing)).select("parent_id", "real_id", "name", "real_type"))
@@ -88,7 +85,7 @@ def walk(listing: DataFrame, roots: DataFrame | None = None) -> DataFrame:
         roots = real.where(F.col("parent_id").isNull()).select(F.col("real_id").alias("id"), F.col("name").alias("path"))
     front = roots.select("id", "path", F.array("id").alias("seen"))
     found, level = None, 0
-    while level < MOST_LEVELS:
+    while True:
         level += 1
         children = kept(front.join(real, front.id == real.parent_id).select(F.col("real_id").alias("id"), "name", F.col("real_type").alias("mime_type"), F.concat_ws("/", "path", "name").alias("path"), "seen"))
         if children.limit(1).count() == 0:

@@ -6,199 +6,225 @@ has_code, question_templates ...). The order of nodes is that of (file, chunk, n
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .. import lexicon as L
-from ..functions.text import bigrams, category, char_ngrams, clean_text, contains_code, jaccard, let, literals, match_form, normalize_punctuation, normalize_spaces, normalize_terms, once, sentences, token_set, tokens, topic, word_count
-from . import quality
-from .chunking import oversized_parts
+from ..functions import json_text, passages
+from ..functions.arrow import in_order, mapped, per_row
+from ..functions.text import char_ngrams, jaccard, once
 from .storage import kept
 
-_STRINGS = "array<string>"
-
-
-def _none() -> Column:
-    return F.array().cast(_STRINGS)
-
-
-def _meant(t: Column) -> Column:
-    """Tokens without stop words."""
-    return F.array_except(t, literals(L.STOPWORDS))
-
+#: What a model gives for one node.
+RAW = "struct<text:string,topic:string,category:string,keywords:array<string>,has_code:boolean,question_templates:array<string>>"
+_FINISHED = "text string, topic string, category string, keywords array<string>, has_code boolean, question_templates array<string>"
 
-def keyword_tokens(norm: Column) -> Column:
-    return F.filter(tokens(norm), lambda t: (F.length(t) >= 2) & ~t.isin(*L.STOPWORDS) & ~t.rlike("^[0-9]+$"))
-
-
-def ranked_terms(terms: Column, by_first: bool) -> Column:
-    """Distinct terms by falling frequency; ties by first place, or by the alphabet."""
-
-    def rank(ts: Column) -> Column:
-        counted = F.transform(F.array_distinct(ts), lambda t: F.struct((-F.size(F.filter(ts, lambda x: x == t))).alias("n"), (F.array_position(ts, t) if by_first else F.lit(0).cast("long")).alias("at"), t.alias("t")))
-        return F.transform(F.array_sort(counted), lambda x: x["t"])
-
-    return let(terms, rank)
+#: Rows of one key that are compared with each other in one place; more are split into blocks.
+HOT_KEY = 4096
+#: Links of one group that are decided in one task; a group with more is decided in rounds.
+MOST_LINKS = 500_000
+#: Buckets in which words are counted to put them into an order from rare to frequent.
+BUCKETS = 1 << 16
 
 
 def infer_keywords(text: Column, most: int = 5) -> Column:
     """Frequent pairs of words first, then single words of three letters or more, no word twice."""
+    return per_row("array<string>", lambda t: passages.infer_keywords(passages.match_form(t), most), text)
 
-    def pick(t: Column) -> Column:
-        start = F.struct(_none().alias("picked"), _none().alias("seen"))
-
-        def add(acc: Column, term: Column) -> Column:
-            parts = F.split(term, " ")
-            free = (F.size(acc["picked"]) < most) & ~F.arrays_overlap(acc["seen"], parts)
-            return F.when(free, F.struct(F.array_append(acc["picked"], term).alias("picked"), F.concat(acc["seen"], parts).alias("seen"))).otherwise(acc)
-
-        pairs = F.aggregate(ranked_terms(bigrams(t), True), start, add)
-        return F.aggregate(ranked_terms(F.filter(t, lambda x: F.length(x) >= 3), False), pairs, add, lambda a: a["picked"])
 
-    return let(keyword_tokens(match_form(text)), pick)
-
-
-def validate_keywords(raw: Column, text: Column, topic_col: Column) -> Column:
+def validate_keywords(raw: Column, text: Column, topic: Column) -> Column:
     """Given keywords that are valid and stand in the text, topped up from the text, then the topic; at most five."""
-
-    def given(norm: Column) -> Column:
-        cleaned = F.array_distinct(F.filter(F.transform(F.coalesce(raw, _none()), lambda k: normalize_spaces(F.coalesce(k, F.lit("None")))), lambda k: k != ""))
-        return F.filter(cleaned, lambda k: quality.valid_keyword(k) & F.contains(norm, match_form(k)))
-
-    def top_up(have: Column, more: Column, most: int) -> Column:
-        return F.when(F.size(have) >= 3, have).otherwise(F.concat(have, F.slice(F.array_except(more, have), 1, F.greatest(F.lit(most) - F.size(have), F.lit(0)))))
-
-    first = let(match_form(text), given)
-    second = let(first, lambda k: top_up(k, infer_keywords(text), 5))
-    third = let(second, lambda k: top_up(k, infer_keywords(topic_col, 3), 3))
-    final = F.filter(F.transform(third, normalize_terms), quality.valid_keyword)
-    return F.slice(final, 1, 5)
+    return per_row("array<string>", lambda t, k, p: passages.validate_keywords(k, passages.match_form(t), p or ""), text, raw, topic)
 
 
 def validate_questions(questions: Column, text: Column) -> Column:
     """Questions of 10 to 250 characters that share a meaningful word with the text; the first three, no two alike."""
+    return per_row("array<string>", lambda t, q: passages.validate_questions(q, passages.match_form(t)), text, questions)
 
-    def form(q: Column) -> Column:
-        return let(normalize_spaces(q), lambda s: F.when(s.endswith("?"), s).otherwise(F.concat(F.regexp_replace(s, "[.!]+$", ""), F.lit("?"))))
-
-    def judge(qs: Column) -> Column:
-        keys = F.transform(qs, match_form)
-        return let(keys, lambda k: F.slice(F.filter(qs, lambda _, i: (F.array_position(k, F.element_at(k, i + 1)) == i + 1) & F.arrays_overlap(_meant(token_set(F.element_at(k, i + 1))), _meant(token_set(match_form(text))))), 1, 3))
 
-    fitting = F.filter(F.transform(F.filter(F.coalesce(questions, _none()), lambda q: q.isNotNull()), form), lambda q: F.length(q).between(10, 250))
-    return let(fitting, judge)
-
-
-def read_source(source: Column) -> Column:
-    """struct(tokens, sents, sets): what gate and quote need of a source, worked out once for all its texts."""
-    held = lambda sents: F.struct(sents.alias("sents"), F.transform(sents, lambda x: _meant(token_set(match_form(x)))).alias("sets"))
-    sentence_part = let(sentences(source), held)
-    return let(sentence_part, lambda p: F.struct(token_set(match_form(source)).alias("tokens"), p["sents"].alias("sents"), p["sets"].alias("sets")))
+def best_quote(text: Column, source: Column, window: int = 3, most: int = 700) -> Column:
+    """The run of three sentences of the source that holds most of the text's rare words; '' below a tenth."""
+    return per_row("string", lambda t, s: passages.Source(s).quote(passages.match_form(t), window, most), text, source)
 
 
-def best_quote(text: Column, source: Column, window: int = 3, most: int = 700) -> Column:
-    """The run of three sentences of the source that holds most of the text's rare words; '' below a tenth.
+def parsed_reply(reply: Column) -> Column:
+    """The raw nodes of a model's reply; null, which means an error, if it holds no JSON array.
 
-    A word's weight is one over the root of the number of sentences that hold it.
+    A boolean counts only if it is written as one, a list of strings only if it is one.
     """
-    return let(read_source(F.coalesce(source, F.lit(""))), lambda r: best_quote_of(text, r, window, most))
 
+    def node(e: Column) -> Column:
+        some = lambda k: F.get_json_object(e, f"$.{k}")
+        meta = lambda k: F.coalesce(some(f"metadata.{k}"), some(k))
+        lists = lambda k: F.coalesce(json_text.string_list(e, f"$.metadata.{k}"), json_text.string_list(e, f"$.{k}"))
+        flag = F.coalesce(json_text.real_boolean(e, "$.metadata.has_code"), json_text.real_boolean(e, "$.has_code"))
+        return F.struct(some("text").alias("text"), meta("topic").alias("topic"), meta("category").alias("category"), lists("keywords").alias("keywords"), flag.alias("has_code"), lists("question_templates").alias("question_templates"))
 
-def best_quote_of(text: Column, read: Column, window: int = 3, most: int = 700) -> Column:
-    """The same for a source that read_source has read."""
+    return F.transform(json_text.elements(reply), node).cast(f"array<{RAW}>")
 
-    def score(b: Column) -> Column:
-        own, sents, sets = b["own"], b["read"]["sents"], b["read"]["sets"]
-        places = F.when(F.size(own) > 0, F.sequence(F.lit(1), F.size(own))).otherwise(F.array().cast("array<int>"))
-        held = lambda t: F.filter(places, lambda k: F.array_contains(t, F.element_at(own, k)))
 
-        def weigh(hits: Column) -> Column:
-            often = lambda k: F.greatest(F.size(F.filter(hits, lambda h: F.array_contains(h, k))), F.lit(1))
-            return F.struct(hits.alias("hits"), F.transform(places, lambda k: F.lit(1.0) / F.sqrt(often(k).cast("double"))).alias("w"))
+def sanitize(extracted: DataFrame, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30, provenance: bool = False) -> DataFrame:
+    """Raw nodes to finished ones, one row each.
 
-        def choose(c: Column) -> Column:
-            size = F.least(F.lit(window), F.size(sents))
-            total = F.aggregate(c["w"], F.lit(0.0), lambda a, x: a + x)
-            hit = lambda i: F.aggregate(F.array_distinct(F.flatten(F.slice(c["hits"], i, size))), F.lit(0.0), lambda a, k: a + F.element_at(c["w"], k))
-            best = F.array_min(F.transform(F.sequence(F.lit(1), F.size(sents) - size + 1), lambda i: F.struct((-F.round(hit(i) / total, 12)).alias("s"), i.alias("i"))))
-            quote = lambda x: F.when(-x["s"] < 0.1, "").otherwise(F.substring(normalize_spaces(F.array_join(F.slice(sents, x["i"], size), " ")), 1, most))
-            return F.when((F.size(own) == 0) | (F.size(sents) == 0), "").otherwise(let(best, quote))
+    extracted: one row per chunk with course, file_name, subject, chunk_idx, chunk_text and nodes, an
+    array of RAW. A source is read once for all its nodes. Null arrays and missing texts become no
+    node; other missing fields get their defaults. The rules run on the whole text first and on each
+    part of a long one again.
+    """
+    place = [f for f in extracted.schema.fields if f.name in ("course", "file_name", "subject", "chunk_idx")]
+    added = T.StructType.fromDDL("node_idx int, part_idx int, " + _FINISHED + (", source_coverage double, source_quote string" if provenance else ""))
+    names = [f.name for f in place]
+
+    def make() -> Callable[[dict], list[dict]]:
+        def finish(row: dict) -> list[dict]:
+            out: list[dict] = []
+            raw = row["nodes"] or []
+            source = passages.Source(row["chunk_text"]) if raw else None
+            passes = lambda t, norm: passages.drop_reason(t, norm) == "keep" and passages.gate(t, norm, source.tokens, min_words, max_words, min_overlap, min_unique)
+            for node_idx, r in enumerate(raw):
+                text = passages.clean_text((r and r["text"]) or "")
+                norm = passages.match_form(text)
+                if not passes(text, norm):
+                    continue
+                topic = passages.topic(r["topic"], text)
+                code = passages.contains_code(text) if r["has_code"] is None else r["has_code"]
+                shared = {k: row[k] for k in names} | {"node_idx": node_idx, "topic": topic, "category": passages.category(r["category"]), "has_code": code}
+                shared |= {"keywords": passages.validate_keywords(r["keywords"], norm, topic or ""), "question_templates": passages.validate_questions(r["question_templates"], norm)}
+                parts = passages.oversized_parts(text, max_words)
+                for part_idx, part in enumerate(parts):
+                    own = norm if len(parts) == 1 else passages.match_form(part)
+                    if len(parts) == 1 or passes(part, own):
+                        from_source = {"source_coverage": source.coverage(own), "source_quote": source.quote(own)} if provenance else {}
+                        out.append(shared | {"part_idx": part_idx, "text": part} | from_source)
+            return out
+
+        return finish
+
+    finished = mapped(extracted.select(*names, "chunk_text", "nodes"), T.StructType([*place, *added.fields]), make)
+    key = F.concat_ws("\u0001", *(F.col(c).cast("string") for c in ("course", "file_name", "chunk_idx", "node_idx", "part_idx")))
+    return finished.withColumn("page", F.lit(None).cast("int")).withColumn("id", F.sha2(key, 256))
+
+
+def file_nodes(finished: DataFrame, group: list[str], first: float, second: float) -> DataFrame:
+    """The nodes of each file without near-duplicates, short ones merged, and again without near-duplicates.
+
+    A file's nodes come from a text that was one row, so they fit into a task.
+    """
 
-        return let(let(F.transform(sets, held), weigh), choose)
+    def rule(rows: list[dict]) -> list[dict]:
+        def distinct(held: list[dict], threshold: float) -> list[dict]:
+            return [held[i] for i in passages.first_of_alike([passages.Keyed(r["text"], r["topic"]) for r in held], threshold)]
 
-    return let(F.struct(_meant(token_set(match_form(text))).alias("own"), read.alias("read")), score)
+        return distinct(passages.merge_short(distinct(rows, first)), second)
 
+    return in_order(finished, group, ["chunk_idx", "node_idx", "part_idx"], finished.schema, rule)
 
-def sanitize(raw: DataFrame, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30, provenance: bool = False) -> DataFrame:
-    """Raw nodes to finished ones.
 
-    raw: course, file_name, chunk_idx, node_idx, subject, text, topic, category, keywords, has_code,
-    question_templates, and source or, read once for all nodes of a chunk, read (of read_source).
-    Missing texts become no node; other missing fields get their defaults. The rules run on the whole
-    text first and on each part of a long one again.
-    """
-    if "read" not in raw.columns:
-        raw = once(raw, "read", read_source(F.coalesce("source", F.lit(""))))
-    raw = raw.drop("source")
-    passes = lambda t: (quality.drop_reason(t) == "keep") & quality.gate_tokens(t, F.col("read.tokens"), min_words, max_words, min_overlap, min_unique)
-    good = once(raw, "text", clean_text(F.coalesce("text", F.lit("")))).where(passes(F.col("text")))
-    described = once(good, "topic", topic(F.col("topic"), F.col("text")))
-    described = (
-        described.withColumn("category", category(F.col("category")))
-        .withColumn("keywords", validate_keywords(F.col("keywords"), F.col("text"), F.col("topic")))
-        .withColumn("has_code", F.coalesce("has_code", contains_code(F.col("text"))))
-        .withColumn("question_templates", validate_questions(F.col("question_templates"), F.col("text")))
-    )
-    rest = [c for c in described.columns if c != "text"]
-    listed = once(described, "parts", oversized_parts(F.col("text")))
-    # A text that is its own only part has passed already.
-    parts = listed.select(*rest, (F.size("parts") == 1).alias("whole"), F.posexplode("parts").alias("part_idx", "text"))
-    parts = parts.where(F.when(F.col("whole"), True).otherwise(passes(F.col("text")))).drop("whole")
-    if provenance:
-        parts = parts.withColumn("source_coverage", quality.coverage(F.col("text"), F.col("read.tokens"))).withColumn("source_quote", best_quote_of(F.col("text"), F.col("read")))
-    place = F.concat_ws("\u0001", *(F.col(c).cast("string") for c in ("course", "file_name", "chunk_idx", "node_idx", "part_idx")))
-    return parts.drop("read").withColumn("page", F.lit(None).cast("int")).withColumn("id", F.sha2(place, 256))
-
-
-def _featured(nodes: DataFrame, text_col: str, topic_col: str) -> DataFrame:
-    """key, tok, topic words and size of each node; rows without a key are gone."""
-    named = nodes.withColumn("key", match_form(F.coalesce(text_col, F.lit("")))).where("key <> ''")
-    return named.withColumn("tok", token_set(F.col("key"))).withColumn("top", F.array_sort(_meant(token_set(match_form(F.coalesce(topic_col, F.lit(""))))))).withColumn("n", F.size("tok"))
-
-
-def fingerprint(t: Column) -> Column:
-    """256 bits as four longs: the parity of the tokens by hash.
-
-    Two fingerprints differ in no more bits than there are tokens that the sets don't share.
+def merge_short(nodes: DataFrame, group: list[str], order: str, min_words: int = 28, max_words: int = 220) -> DataFrame:
+    """(group, order, text, topic, category, question_templates): short neighbours of like topic and category as one.
+
+    Groups of up to three nodes stay as they are. The head keeps its place, topic and category, and
+    gets the first three of both nodes' questions. A group is one file's nodes, as each merge decides
+    the next.
     """
-    zero = F.lit(0).cast("long")
+    none = F.array().cast("array<string>")
+    rows = nodes.select(*group, order, *(F.coalesce(c, F.lit("")).alias(c) for c in ("text", "topic", "category")), F.coalesce("question_templates", none).alias("question_templates"))
+    return in_order(rows, group, [order], rows.schema, lambda held: passages.merge_short(held, min_words, max_words))
 
-    def add(acc: Column, w: Column) -> Column:
-        place = F.pmod(F.xxhash64(w), F.lit(256)).cast("int")
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)))
-        return F.struct(*(F.when(F.floor(place / 64) == k, acc[f"f{k}"].bitwiseXOR(bit)).otherwise(acc[f"f{k}"]).alias(f"f{k}") for k in range(4)))
 
-    return F.aggregate(t, F.struct(*(zero.alias(f"f{k}") for k in range(4))), add)
+# ---- near-duplicates
 
 
-def _sharing_rare(rows: DataFrame, group: list[str], sets: str, least: float, extra: list[str], fits: Column) -> DataFrame:
-    """(group, i, j): pairs of sets, i before j, that may agree by the least share, from an exact prefix filter.
+def _features(nodes: DataFrame, group: list[str], order: str, text_col: str, topic_col: str) -> DataFrame:
+    """(group, o, key, tok, top, n, f0..f3) of each node with a key: hashes of its distinct words and
+    of its topic's, and 256 bits with the parity of its words by hash.
 
-    Of two sets that similar, the rarest words of each, up to a bound given by its size, share one.
-    A pair is joined on every such word, so fits (over i_ and j_ columns) must be cheap and strict;
-    what is left is kept on the first common word only.
+    Two fingerprints differ in no more bits than there are words that the texts don't share.
     """
-    every = rows.select(*group, "o", F.size(sets).alias("m"), F.explode(sets).alias("w"))
-    often = every.groupBy(*group, "w").count().withColumnRenamed("count", "df")
-    ranked = every.join(often, [*group, "w"]).groupBy(*group, "o", "m").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("r"))
-    length = F.col("m") - F.ceil(F.col("m") * least - 1e-9).cast("int") + 1
-    prefix = ranked.select(*group, "o", F.transform(F.slice("r", F.lit(1), length), lambda x: F.xxhash64(x["w"])).alias("p"))
-    full = prefix.join(rows.select(*group, "o", *extra), [*group, "o"])
-    keyed = kept(full.withColumn("w", F.explode("p")))
-    side = lambda k: keyed.select(*group, "w", *(F.col(c).alias(f"{k}_{c}") for c in ("o", "p", *extra)))
-    met = side("i").join(side("j"), [*group, "w"]).where((F.col("i_o") < F.col("j_o")) & fits)
-    first = F.element_at(F.array_intersect("i_p", "j_p"), 1) == F.col("w")
-    return met.where(first).select(*group, F.col("i_o").alias("i"), F.col("j_o").alias("j"))
+    own = nodes.select(*group, F.col(order).alias("o"), F.coalesce(text_col, F.lit("")).alias("text"), F.coalesce(topic_col, F.lit("")).alias("topic"))
+    keys = [own.schema[c] for c in [*group, "o"]]
+    schema = T.StructType([*keys, *T.StructType.fromDDL("key string, tok array<bigint>, top array<bigint>, n int, f0 bigint, f1 bigint, f2 bigint, f3 bigint").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+
+        def number(w: str) -> int:
+            if w not in known:
+                if len(known) > 1 << 18:
+                    known.clear()
+                known[w] = xxhash.xxh64_intdigest(w)
+            return known[w]
+
+        for batch in batches:
+            at, norms, toks, tops = [], [], [], []
+            for i, (text, topic) in enumerate(zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist())):
+                if norm := passages.match_form(text):
+                    at.append(i)
+                    norms.append(norm)
+                    toks.append(np.fromiter(map(number, set(norm.split(" "))), np.uint64))
+                    tops.append(np.sort(np.fromiter(map(number, passages.meant(passages.match_form(topic).split())), np.uint64)))
+            lists = []
+            for sets in (toks, tops):
+                bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+                flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+                lists.append((bounds, flat))
+            bounds, flat = lists[0]
+            rows = np.repeat(np.arange(len(at)), np.diff(bounds))
+            parity = np.bincount(rows * 256 + (flat & np.uint64(255)).astype(np.int64), minlength=len(at) * 256) & 1
+            bits = np.packbits(parity.reshape(len(at), 256).astype(np.uint8), axis=1).view(np.int64)
+            take = pa.array(at, pa.int32())
+            arrays = [pa.ListArray.from_arrays(pa.array(b), pa.array(f.view(np.int64))) for b, f in lists]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keys))), pa.array(norms, pa.string()), *arrays, pa.array(np.diff(bounds), pa.int32()), *(pa.array(bits[:, k]) for k in range(4))], names=schema.names)
+
+    return own.mapInArrow(run, schema)
+
+
+def _classes(feat: DataFrame, group: list[str]) -> DataFrame:
+    """The first of all nodes of a group that are equal in text and topic words, with its features."""
+    rest = ["tok", "n", "f0", "f1", "f2", "f3"]
+    return feat.groupBy(*group, "key", "top").agg(F.min("o").alias("o"), *(F.first(c).alias(c) for c in rest))
+
+
+def _postings(own: DataFrame, group: list[str], sets: str, least: float, counts: np.ndarray) -> DataFrame:
+    """(group, o, w): the rarest words of each set, so many that two sets that agree by the least share have one in common."""
+    keys = [own.schema[c] for c in [*group, "o"]]
+    schema = T.StructType([*keys, T.StructField("w", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(keys))
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sizes = np.array([len(x) for x in lists], np.int64)
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((flat, counts[(flat % np.uint64(BUCKETS)).astype(np.int64)], rows))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            length = sizes - np.ceil(sizes * least - 1e-9).astype(np.int64) + 1
+            pick = order[place < length[rows]]
+            take = pa.array(rows[pick], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keys))), pa.array(flat[pick].view(np.int64))], names=schema.names)
+
+    return own.select(*group, "o", sets).mapInArrow(run, schema)
+
+
+def _met(postings: DataFrame, keys: list[str], facts: DataFrame, group: list[str], fits: Column, hot: int) -> DataFrame:
+    """(group, i, j): pairs, i before j, that meet at a key and fit.
+
+    The rows of a key that has more than the hot number are cut into blocks by their node, and each
+    pair of blocks meets in a place of its own; pairs of one block meet where it meets itself.
+    """
+    often = postings.groupBy(*keys).agg(F.ceil(F.count("*") / hot).cast("int").alias("cuts")).where("cuts > 1")
+    cut = postings.join(often, keys, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    cut = cut.withColumn("b", F.pmod(F.xxhash64("o"), F.col("cuts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    rows = kept(cut.withColumn("lo", F.least("b", "x")).withColumn("hi", F.greatest("b", "x")).drop("x", "cuts").join(facts, [*group, "o"]))
+    place = [*keys, "lo", "hi"]
+    side = lambda k: rows.select(*place, *(F.col(c).alias(f"{k}_{c}") for c in ("o", "b", "n", "f0", "f1", "f2", "f3")))
+    met = side("i").join(side("j"), place).where((F.col("i_o") < F.col("j_o")) & fits & ((F.col("i_b") != F.col("j_b")) | (F.col("lo") == F.col("hi"))))
+    return met.select(*group, F.col("i_o").alias("i"), F.col("j_o").alias("j"))
 
 
 def _can_agree(least: float) -> Column:
@@ -208,91 +234,103 @@ def _can_agree(least: float) -> Column:
     return sizes & (bits <= F.floor((1 - least) / (1 + least) * (F.col("i_n") + F.col("j_n")) + 1e-9))
 
 
-def similar_pairs(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76, soft: float = 0.65, ngram: float = 0.82, topic_soft: float = 0.50, topic_least: float = 0.80) -> DataFrame:
-    """(group, i, j, similarity): all pairs of nodes of a group, i before j, that count as near-duplicates.
+def _similar(own: DataFrame, group: list[str], threshold: float, hot: int = HOT_KEY) -> DataFrame:
+    """(group, i, j, similarity): pairs of classes, given as a table or checkpoint, that count as near-duplicates.
 
-    Two nodes do if their words agree by the threshold, or by less if also their character 4-grams or
-    their topics agree. The first two need words that agree by the lower of their thresholds, the
-    third needs topics that agree: both candidate sets are exact prefix filters, with the sizes and
-    fingerprints of the words as a strict and cheap second filter. order is a unique number or
-    string of each node.
+    Two do if their words agree by the threshold, or by less if also their character 4-grams or
+    their topics agree. The first two need words that agree by the lower of their thresholds; the
+    third needs words and topics that agree: both candidate sets are exact prefix filters, with sizes
+    and fingerprints as a strict second filter. Where many nodes share a topic word, they meet at
+    that word together with a rare word of the text.
     """
-    return _similar(kept(_features(nodes, group, order, text_col, topic_col)), group, threshold, soft, ngram, topic_soft, topic_least)
-
-
-def _features(nodes: DataFrame, group: list[str], order: str, text_col: str, topic_col: str) -> DataFrame:
-    """(group, o, key, tok, top, n, f0..f3) of each node with a key."""
-    feat = _featured(nodes, text_col, topic_col).withColumn("f", fingerprint(F.col("tok")))
-    return feat.select(*group, F.col(order).alias("o"), "key", "tok", "top", "n", *(F.col("f")[f"f{k}"].alias(f"f{k}") for k in range(4)))
-
-
-def _similar(own: DataFrame, group: list[str], threshold: float = 0.76, soft: float = 0.65, ngram: float = 0.82, topic_soft: float = 0.50, topic_least: float = 0.80) -> DataFrame:
-    """similar_pairs of nodes whose features are given, as a table or checkpoint."""
-    extra = ["n", "f0", "f1", "f2", "f3"]
-    words = min(threshold, soft)
-    by_words = _sharing_rare(own, group, "tok", words, extra, _can_agree(words))
-    by_topics = _sharing_rare(own.where(F.size("top") > 0), group, "top", topic_least, extra, _can_agree(topic_soft))
-    cand = by_words.unionByName(by_topics).distinct()
+    buckets = F.pmod(F.col("w"), F.lit(BUCKETS)).cast("int")
+    seen = own.select(F.explode("tok").alias("w")).groupBy(buckets.alias("bucket")).count().collect()  # at most BUCKETS rows
+    counts = np.zeros(BUCKETS, np.int64)
+    for r in seen:
+        counts[r["bucket"]] = r["count"]
+    facts = own.select(*group, "o", "n", "f0", "f1", "f2", "f3")
+    words = min(threshold, passages.SOFT)
+    cand = _met(_postings(own, group, "tok", words, counts), [*group, "w"], facts, group, _can_agree(words), hot)
+    topics = own.where(F.size("top") > 0)
+    rare_topic = kept(_postings(topics, group, "top", passages.TOPIC_LEAST, counts))
+    if not rare_topic.isEmpty():
+        often = rare_topic.groupBy(*group, "w").count().where(F.col("count") > hot // 16).drop("count")
+        alone = rare_topic.join(often, [*group, "w"], "left_anti").withColumn("v", F.lit(0).cast("long"))
+        within = _postings(topics, group, "tok", passages.TOPIC_SOFT, counts).withColumnRenamed("w", "v")
+        both = rare_topic.join(often, [*group, "w"], "left_semi").join(within, [*group, "o"])
+        cand = cand.unionByName(_met(alone.unionByName(both), [*group, "w", "v"], facts, group, _can_agree(passages.TOPIC_SOFT), hot))
     left = own.select(*group, F.col("o").alias("i"), F.col("key").alias("ki"), F.col("tok").alias("ti"), F.col("top").alias("pi"))
     right = own.select(*group, F.col("o").alias("j"), F.col("key").alias("kj"), F.col("tok").alias("tj"), F.col("top").alias("pj"))
-    sim = cand.join(left, [*group, "i"]).join(right, [*group, "j"])
-    sim = once(sim, "similarity", jaccard(F.col("ti"), F.col("tj"))).where(F.col("similarity") >= min(words, topic_soft))
-    by_gram = F.when(F.col("similarity") >= soft, jaccard(char_ngrams(F.col("ki")), char_ngrams(F.col("kj"))) >= ngram).otherwise(False)
-    by_topic = (F.col("similarity") >= topic_soft) & (F.size("pi") > 0) & (F.size("pj") > 0) & (jaccard(F.col("pi"), F.col("pj")) >= topic_least)
+    sim = cand.distinct().join(left, [*group, "i"]).join(right, [*group, "j"])
+    sim = once(sim, "similarity", jaccard(F.col("ti"), F.col("tj"))).where(F.col("similarity") >= min(words, passages.TOPIC_SOFT))
+    by_gram = F.when(F.col("similarity") >= passages.SOFT, jaccard(char_ngrams(F.col("ki")), char_ngrams(F.col("kj"))) >= passages.NGRAM).otherwise(False)
+    by_topic = (F.col("similarity") >= passages.TOPIC_SOFT) & (F.size("pi") > 0) & (F.size("pj") > 0) & (jaccard(F.col("pi"), F.col("pj")) >= passages.TOPIC_LEAST)
     return sim.where((F.col("similarity") >= threshold) | by_topic | by_gram).select(*group, "i", "j", "similarity")
 
 
-def dedupe(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76) -> DataFrame:
-    """The nodes that remain when, in order, each is dropped that is similar to a remaining one before it.
+def similar_pairs(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76, hot: int = HOT_KEY) -> tuple[DataFrame, DataFrame]:
+    """(pairs, membership): (group, i, j, similarity) of classes of a group, i before j, that count as
+    near-duplicates, and (group, o, head) of every node with a word.
 
-    That is the first maximal independent set in order, not one node per connected group: of a~b, b~c
-    with a and c unlike, a and c remain. Nodes equal in text and topic words are one class (of which
-    the first counts) before pairs are made, so that copies never make pairs with each other.
-    Decided in rounds over the links: a node without an undecided earlier neighbour remains, its
-    later neighbours go. Null and empty texts are dropped. nodes is read more than once, so pass a
-    table or a checkpoint.
+    Nodes equal in text and topic words are one class, named by the first of them; copies, whatever
+    their number, are never paired with each other. Null and empty texts have no class. order is a
+    unique number or string of each node; group columns must not be null.
     """
     feat = kept(_features(nodes, group, order, text_col, topic_col))
-    firsts = kept(feat.groupBy(*group, "key", "top").agg(F.min("o").alias("o")).select(*group, "o"))
-    heads = nodes.join(firsts.withColumnRenamed("o", order), [*group, order], "left_semi")
-    links = kept(_similar(feat.join(firsts, [*group, "o"], "left_semi"), group, threshold).select(*group, "i", "j"))
-    dropped = None
-    while True:
-        if links.limit(1).count() == 0:
-            break
-        # Nodes with links but none to an earlier node remain.
-        later = links.select(*group, F.col("j").alias("i")).distinct()
-        remain = links.select(*group, "i").distinct().join(later, [*group, "i"], "left_anti")
-        gone = kept(links.join(remain, [*group, "i"], "left_semi").select(*group, F.col("j").alias("o")).distinct())
-        dropped = gone if dropped is None else kept(dropped.unionByName(gone))
-        left = links.join(gone.select(*group, F.col("o").alias("i")), [*group, "i"], "left_anti")
-        left = left.join(gone.select(*group, F.col("o").alias("j")), [*group, "j"], "left_anti")
-        links = kept(left.join(remain, [*group, "i"], "left_anti").select(*group, "i", "j"))
-    return heads if dropped is None else heads.join(dropped.withColumnRenamed("o", order), [*group, order], "left_anti")
+    heads = kept(_classes(feat, group))
+    members = feat.select(*group, "o", "key", "top").join(heads.select(*group, "key", "top", F.col("o").alias("head")), [*group, "key", "top"]).select(*group, "o", "head")
+    return _similar(heads, group, threshold, hot), members
 
 
-def merge_short(nodes: DataFrame, group: list[str], order: str, min_words: int = 28, max_words: int = 220) -> DataFrame:
-    """(group, order, text, topic, category, question_templates): short neighbours of like topic and category as one.
+def _dropped(links: DataFrame, group: list[str], most: int) -> DataFrame:
+    """(group, o): the nodes that go when, in order, each is dropped that has a link to a remaining one before it.
 
-    Groups of up to three nodes stay as they are. The head keeps its place, topic and category, and
-    gets the first three of both nodes' questions. A group is one file's nodes, as the rule is a fold
-    in their order; its size is bounded by the file.
+    links is a checkpoint. A group's links are decided in one task up to a number of them; those of
+    larger groups in rounds: a node without an undecided earlier neighbour remains, its later
+    neighbours go. Both give the same nodes.
+    """
+    kind = links.schema["i"].dataType
+    schema = T.StructType([*(links.schema[g] for g in group), T.StructField("o", kind)])
+
+    def greedy(rows: list[dict]) -> list[dict]:
+        gone: dict = {}
+        for r in rows:
+            if r["i"] not in gone:
+                gone.setdefault(r["j"], {**{g: r[g] for g in group}, "o": r["j"]})
+        return list(gone.values())
+
+    large = links.groupBy(*group).count().where(F.col("count") > most).drop("count")
+    dropped = in_order(links.join(large, group, "left_anti"), group, ["i", "j"], schema, greedy)
+    left = links.join(large, group, "left_semi").select(*group, "i", "j")
+    if large.isEmpty():
+        return dropped
+    while True:
+        left = kept(left)
+        if left.isEmpty():
+            return dropped
+        later = left.select(*group, F.col("j").alias("i")).distinct()
+        remain = left.select(*group, "i").distinct().join(later, [*group, "i"], "left_anti")
+        gone = kept(left.join(remain, [*group, "i"], "left_semi").select(*group, F.col("j").alias("o")).distinct())
+        dropped = dropped.unionByName(gone)
+        for end in ("i", "j"):
+            left = left.join(gone.select(*group, F.col("o").alias(end)), [*group, end], "left_anti")
+        left = left.join(remain, [*group, "i"], "left_anti").select(*group, "i", "j")
+
+
+def dedupe(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76, most_links: int = MOST_LINKS, hot: int = HOT_KEY) -> DataFrame:
+    """The nodes that remain when, in order, each is dropped that is similar to a remaining one before it.
+
+    That is the first maximal independent set in order, not one node per connected group: of a~b, b~c
+    with a and c unlike, a and c remain. Nodes equal in text and topic words are one class (of which
+    the first counts) before pairs are made, so that copies never make pairs with each other. Null
+    and empty texts are dropped. nodes is read twice, so pass a table or a checkpoint.
     """
-    rows = nodes.select(*group, F.struct(F.col(order).alias("o"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("topic", F.lit("")).alias("topic"), F.coalesce("category", F.lit("")).alias("category"), F.coalesce("question_templates", _none()).alias("q")).alias("r"))
-    lists = rows.groupBy(*group).agg(F.array_sort(F.collect_list("r"), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)).alias("rs"))
-    like = lambda a, b: jaccard(_meant(token_set(match_form(a))), _meant(token_set(match_form(b)))) >= 0.5
-
-    def fold(acc: Column, r: Column) -> Column:
-        last = F.element_at(acc, -1)
-        pw, cw = word_count(last["text"]), word_count(r["text"])
-        fits = (last["category"] == r["category"]) & ((pw < min_words) | (cw < min_words)) & (pw + cw <= max_words) & like(last["topic"], r["topic"])
-        text = normalize_punctuation(F.concat(F.btrim(last["text"]), F.lit(". "), F.btrim(r["text"])))
-        merged = F.struct(last["o"].alias("o"), text.alias("text"), last["topic"].alias("topic"), last["category"].alias("category"), F.slice(F.array_distinct(F.concat(last["q"], r["q"])), 1, 3).alias("q"))
-        return F.when(F.size(acc) == 0, F.array(r)).when(fits, F.array_append(F.slice(acc, 1, F.size(acc) - 1), merged)).otherwise(F.array_append(acc, r))
-
-    empty = F.filter("rs", lambda _: F.lit(False))
-    folded = lists.select(*group, F.explode(F.when(F.size("rs") <= 3, F.col("rs")).otherwise(F.aggregate("rs", empty, fold))).alias("r"))
-    return folded.select(*group, F.col("r")["o"].alias(order), F.col("r")["text"].alias("text"), F.col("r")["topic"].alias("topic"), F.col("r")["category"].alias("category"), F.col("r")["q"].alias("question_templates"))
+    heads = kept(_classes(_features(nodes, group, order, text_col, topic_col), group))
+    links = kept(_similar(heads, group, threshold, hot).select(*group, "i", "j"))
+    remain = heads.select(*group, "o")
+    if not links.isEmpty():
+        remain = remain.join(_dropped(links, group, most_links), [*group, "o"], "left_anti")
+    return nodes.join(remain.withColumnRenamed("o", order), [*group, order], "left_semi")
 
 
 def keep_error_free(nodes: DataFrame, errors: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,85 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .. import lexicon as L
-from ..functions.text import WS, any_of, containment, let, match_form, repetition_ratio, token_set, tokens, unique_ratio, word_count
-
-
-def _ends(norm: Column, tails: list[str]) -> Column:
-    out = F.lit(False)
-    for t in tails:
-        out = out | norm.endswith(t)
-    return out
-
-
-def _starts(norm: Column, heads: list[str]) -> Column:
-    out = F.lit(False)
-    for h in heads:
-        out = out | norm.startswith(h)
-    return out
+from ..functions import passages
+from ..functions.arrow import per_row
 
 
 def drop_reason(text: Column) -> Column:
     """Why a text is dropped, the first rule that holds; 'keep' if none does. Null counts as empty."""
-
-    def reason(norm: Column) -> Column:
-        n = F.size(tokens(norm))
-        return (
-            F.when(norm == "", "empty")
-            .when(n <= 10, "short")
-            .when((n <= 18) & ~text.rlike("[.!?]"), "unpunctuated")
-            .when(repetition_ratio(norm) > 0.42, "repetitive")
-            .when(_ends(norm, L.OPEN_ENDS), "incomplete")
-            .when(((n < 30) & _starts(norm, L.ORPHAN_STARTS)) | _ends(norm, L.ORPHAN_ENDS), "orphan")
-            .when(norm.rlike(any_of(L.META_TALK)), "meta")
-            .when((n < 20) & norm.rlike(any_of(L.FILLERS)), "filler")
-            .otherwise("keep")
-        )
-
-    return let(F.coalesce(match_form(text), F.lit("")), reason)
+    return per_row("string", passages.drop_reason, F.coalesce(text, F.lit("")))
 
 
 def gate(text: Column, source: Column, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30) -> Column:
-    """Whether a text has a fitting length, enough different words, and enough of them in its source."""
-    return gate_tokens(text, token_set(match_form(source)), min_words, max_words, min_overlap, min_unique)
-
-
-def gate_tokens(text: Column, source_tokens: Column, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30) -> Column:
-    """The same with the source's token set, which many texts of one source share."""
-    long_enough = word_count(text).between(min_words, max_words)
-
-    def judge(norm: Column) -> Column:
-        covered = containment(token_set(norm), source_tokens) >= min_overlap
-        return F.when(unique_ratio(norm) < min_unique, False).otherwise(F.coalesce(covered, F.lit(False)))
-
-    # Nested, so that the costly comparison runs only for texts that pass the cheap test.
-    return F.when(~long_enough | text.isNull(), False).otherwise(let(match_form(text), judge))
-
-
-def coverage(text: Column, source_tokens: Column) -> Column:
-    """Share of a text's words that are in its source's token set, to four digits."""
-    return F.bround(containment(token_set(match_form(text)), source_tokens), 4)
-
-
-def noise_token(t: Column) -> Column:
-    """Whether a token in match form is recognition noise: no vowel, or short and neither syllable nor known start."""
-    syllable = t.rlike(f"^(?:{L.SYLLABLE_STARTS})?(?:{L.SYLLABLE_CORES})(?:{L.SYLLABLE_ENDS})?$")
-    known = (F.length(t) >= 3) & F.substring(t, 1, 3).isin(*L.ENGLISH_STARTS)
-    return F.when(F.length(t) <= 1, True).when(~t.rlike(f"[{L.VOWELS}]"), True).when(known | syllable, False).otherwise(F.length(t) <= 6)
+    """Whether a text has a fitting length, enough different words, and enough of them in its source. Null texts don't pass."""
 
+    def judge(t: str, s: str | None) -> bool:
+        return passages.gate(t, passages.match_form(t), set(passages.match_form(s or "").split()), min_words, max_words, min_overlap, min_unique)
 
-def _stop(t: Column) -> Column:
-    return t.isin(*L.STOPWORDS)
+    return F.coalesce(per_row("boolean", judge, text, source), F.lit(False))
 
 
-def valid_keyword(kw: Column) -> Column:
-    """Not only stop words, and not only noise; a single word must be clean."""
+def valid_keyword(keyword: Column) -> Column:
+    """Not only stop words, and not only noise; a single word must be clean. Null isn't valid."""
+    return F.coalesce(per_row("boolean", passages.valid_keyword, keyword), F.lit(False))
 
-    def judge(norm: Column) -> Column:
-        parts = tokens(norm)
-        meant = F.filter(parts, lambda p: ~_stop(p))
-        noisy = F.size(F.filter(meant, noise_token))
-        long = (F.length(F.replace(F.regexp_replace(kw, f"^{WS}+|{WS}+$", ""), F.lit(" "), F.lit(""))) >= 2) & (F.length(F.replace(norm, F.lit(" "), F.lit(""))) >= 3)
-        return long & (F.size(meant) > 0) & (noisy < F.size(meant)) & ~((F.size(parts) == 1) & (noisy > 0))
 
-    return F.coalesce(let(match_form(kw), judge), F.lit(False))
+def is_low_info(text: Column) -> Column:
+    """Whether a text is empty or filler in its match form. Null counts as empty."""
+    return per_row("boolean", lambda t: passages.low_info(passages.match_form(t)), F.coalesce(text, F.lit("")))

@@ -4,12 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset: a new local one on a single machine, else an error.
+
+    On several machines every executor would write to a disk of its own.
+    """
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="lectorium-")
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that spark.checkpoint.dir names; a local one is set only where it is unset."""
+    """A checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lectorium-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -106,7 +106,7 @@ e AS (SELECT doc_id, unnest(p) AS sentence, generate_subscripts(p, 1) AS i FROM
 f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY i) AS r FROM k WHERE key <> '')
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS sentence_idx, sentence FROM f WHERE r = 1""")
 def sentence_distinct(spark, d):
-    return chunking.exploded(_documents(spark, d), ["doc_id"], text.distinct_sentences(text.sentences(F.col("text"))), "sentence_idx", "sentence")
+    return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.distinct_sentences(F.col("text")), "sentence_idx", "sentence")
 
 
 @query(f"""WITH n AS (SELECT doc_id, {sql.tokens(sql.match('text'))} AS t {_DOC})
@@ -191,15 +191,26 @@ def txt_blocks(spark, d):
     return segments.txt_blocks(segments.valid_segments(_segments(spark, d)))
 
 
-@query()
+_CUE = f"{sql.timestamp('cue_start', '.')} || ' --> ' || {sql.timestamp('cue_end', '.')} || chr(10) || cue_text || chr(10) || chr(10)"
+
+
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, {_PARTS}
+SELECT media_id, CAST(floor(seg_idx / {segments.BLOCK}) AS INT) AS block, string_agg({_CUE}, '' ORDER BY seg_idx, cue_idx) AS body FROM cues GROUP BY ALL""")
 def vtt_blocks(spark, d):
     return segments.vtt_blocks(segments.cues(segments.valid_segments(_segments(spark, d))))
 
 
-@query()
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, valid AS (SELECT media_id, seg_idx, start_sec, end_sec, trim(clean, {sql.text(text.WS_SET)}) AS text FROM judged WHERE verdict = 'keep'),
+w AS (SELECT *, CASE WHEN length(text) <= 80 THEN {{'done': [text], 'cur': ''}} ELSE list_reduce({sql.words('text')}, lambda a, x:
+  CASE WHEN length(a.cur) + 1 + length(x) <= 80 THEN {{'done': a.done, 'cur': CASE WHEN a.cur = '' THEN x ELSE a.cur || ' ' || x END}} ELSE {{'done': list_append(a.done, a.cur), 'cur': x}} END, {{'done': []::VARCHAR[], 'cur': ''}}) END AS acc FROM valid),
+p AS (SELECT *, CASE WHEN acc.cur <> '' THEN list_append(acc.done, acc.cur) ELSE acc.done END AS parts FROM w),
+e AS (SELECT *, len(parts) AS n, unnest(parts) AS cue_text, generate_subscripts(parts, 1) - 1 AS cue_idx FROM p)
+SELECT media_id, seg_idx, cue_idx, round(CASE WHEN n = 1 THEN start_sec ELSE start_sec + cue_idx * ((end_sec - start_sec) / n) END, 6) AS cue_start,
+round(CASE WHEN n = 1 THEN end_sec ELSE start_sec + (cue_idx + 1) * ((end_sec - start_sec) / n) END, 6) AS cue_end, cue_text FROM e WHERE trim(cue_text) <> ''""")
 def cue_split_first(spark, d):
     """Cues of the first version: wrapped at 80 characters."""
-    return segments.cues(segments.valid_segments(_segments(spark, d)), first_version=True)
+    c = segments.cues(segments.valid_segments(_segments(spark, d)), first_version=True)
+    return c.withColumn("cue_start", F.round("cue_start", 6)).withColumn("cue_end", F.round("cue_end", 6))
 
 
 @query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED},
@@ -215,12 +226,14 @@ rep AS (SELECT *, {sql.punctuation('clean')} AS refined FROM o)"""
 
 
 @query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, {_REPLY}
-SELECT media_id, seg_idx, length(refined) BETWEEN 3 AND 300 AS is_refined FROM rep""")
+SELECT media_id, seg_idx, length(refined) BETWEEN 3 AND 300 AS is_refined, CASE WHEN length(refined) BETWEEN 3 AND 300 THEN
+array_to_string(list_filter({sql.words('refined')}, lambda x, k: NOT (k > 2 AND lower({sql.words('refined')}[k]) = lower({sql.words('refined')}[k - 1]) AND lower({sql.words('refined')}[k - 1]) = lower({sql.words('refined')}[k - 2]))), ' ')
+ELSE clean END AS text FROM rep""")
 def refine_join(spark, d):
     """Segments with replies of the stand-in refiner, which only tidies punctuation."""
     valid = kept(segments.valid_segments(_segments(spark, d)))
     replies = pipelines.punctuation_refiner(segments.with_ordinal(valid))
-    return segments.apply_refinements(valid, replies).select("media_id", "seg_idx", "is_refined")
+    return segments.apply_refinements(valid, replies).select("media_id", "seg_idx", "is_refined", "text")
 
 
 @query(f"""WITH {_KB} SELECT id_, CASE WHEN metadata.subject IS NULL OR metadata.subject = '' THEN 'Đây là bài giảng học thuật tiếng Việt. Nội dung mang tính học thuật, chuyên ngành.'
@@ -263,7 +276,7 @@ def chunk_transcript(spark, d):
     return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.transcript_chunks(F.col("text"), 90, 140, 7), "chunk_idx", "chunk_text")
 
 
-@query()
+@query(_folded(f"SELECT doc_id, text {_DOC}", "doc_id", 1400, 900, 70, "chunk_idx", "chunk_text", False))
 def chunk_transcript_full(spark, d):
     """Overlapping chunks at the usual sizes."""
     return chunking.exploded(_documents(spark, d), ["doc_id"], chunking.transcript_chunks(F.col("text")), "chunk_idx", "chunk_text")
@@ -338,28 +351,58 @@ def source_quote(spark, d):
     return docs.select("doc_id", nodes.best_quote(F.element_at("sents", -1), F.col("text")).alias("quote"))
 
 
-@query(f"""WITH {_NODE}, k AS (SELECT id, metadata.subject AS subject, {sql.match("coalesce(text, '')")} AS key, {sql.match("coalesce(metadata.topic, '')")} AS top FROM n WHERE metadata.subject IS NOT NULL),
-f AS (SELECT id, subject, key, list_distinct({sql.tokens('key')}) AS t, list_distinct(list_filter({sql.tokens('top')}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)})) AS p, replace(key, ' ', '') AS s FROM k WHERE key <> ''),
+#: Classes of nodes that are equal in text and topic words, and the links between them.
+_LINKS = f"""k AS (SELECT id, coalesce(metadata.subject, '_root') AS subject, {sql.match("coalesce(text, '')")} AS key, {sql.match("coalesce(metadata.topic, '')")} AS top FROM n),
+every AS (SELECT id, subject, key, list_sort(list_distinct(list_filter({sql.tokens('top')}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)}))) AS p FROM k WHERE key <> ''),
+c AS (SELECT subject, key, p, min(id) AS id FROM every GROUP BY ALL),
+f AS (SELECT *, list_distinct({sql.tokens('key')}) AS t, replace(key, ' ', '') AS s FROM c),
 p AS (SELECT a.subject, a.id AS i, b.id AS j, {sql.jaccard('a.t', 'b.t')} AS similarity, a.p AS pa, b.p AS pb, a.s AS sa, b.s AS sb FROM f a JOIN f b ON a.subject = b.subject AND a.id < b.id AND {sql.jaccard('a.t', 'b.t')} >= 0.5),
-g AS (SELECT *, list_distinct(list_transform(generate_series(1, greatest(length(sa) - 3, 1)), lambda x: substring(sa, x, 4))) AS ga, list_distinct(list_transform(generate_series(1, greatest(length(sb) - 3, 1)), lambda x: substring(sb, x, 4))) AS gb FROM p)
-SELECT subject, i, j, round(similarity, 9) AS similarity FROM g WHERE similarity >= 0.76 OR (similarity >= 0.65 AND {sql.jaccard('ga', 'gb')} >= 0.82) OR (len(pa) > 0 AND len(pb) > 0 AND {sql.jaccard('pa', 'pb')} >= 0.80)""")
+g AS (SELECT *, list_distinct(list_transform(generate_series(1, greatest(length(sa) - 3, 1)), lambda x: substring(sa, x, 4))) AS ga, list_distinct(list_transform(generate_series(1, greatest(length(sb) - 3, 1)), lambda x: substring(sb, x, 4))) AS gb FROM p),
+links AS (SELECT subject, i, j, round(similarity, 9) AS similarity FROM g WHERE similarity >= 0.76 OR (similarity >= 0.65 AND {sql.jaccard('ga', 'gb')} >= 0.82) OR (len(pa) > 0 AND len(pb) > 0 AND {sql.jaccard('pa', 'pb')} >= 0.80)),
+before AS (SELECT f.subject, f.id, coalesce(list(l.i) FILTER (l.i IS NOT NULL), []) AS nb FROM f LEFT JOIN links l ON l.subject = f.subject AND l.j = f.id GROUP BY ALL),
+folded AS (SELECT subject, list_reduce(list({{'id': id, 'nb': nb}} ORDER BY id), lambda a, x: CASE WHEN list_has_any(a, x.nb) THEN a ELSE list_append(a, x.id) END, []::VARCHAR[]) AS kept FROM before GROUP BY subject)"""
+
+
+def _courses(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes by course; those without a subject belong to '_root'."""
+    return _nodes(spark, d).withColumn("subject", F.coalesce("subject", F.lit("_root")))
+
+
+@query(f"WITH {_NODE}, {_LINKS} SELECT subject, i, j, similarity FROM links")
 def dup_pairs(spark, d):
-    rows = _nodes(spark, d).where(F.col("subject").isNotNull())
-    return nodes.similar_pairs(rows, ["subject"], "id").withColumn("similarity", F.round("similarity", 9))
+    """Pairs of different texts of a course that count as near-duplicates; copies are named by dup_classes."""
+    return nodes.similar_pairs(_courses(spark, d), ["subject"], "id")[0].withColumn("similarity", F.round("similarity", 9))
 
 
-@query()
+@query(f"WITH {_NODE}, {_LINKS} SELECT every.subject, every.id, c.id AS head FROM every JOIN c USING (subject, key, p)")
+def dup_classes(spark, d):
+    """The first of the nodes that are equal in text and topic words, for every node with a word."""
+    return nodes.similar_pairs(_courses(spark, d), ["subject"], "id")[1].select("subject", F.col("o").alias("id"), "head")
+
+
+@query(f"WITH {_NODE}, {_LINKS} SELECT subject, unnest(kept) AS id FROM folded")
 def dedupe_course(spark, d):
     """Nodes that remain in every course, in the order of their ids."""
-    rows = _nodes(spark, d).where(F.col("subject").isNotNull())
-    return nodes.dedupe(rows, ["subject"], "id").select("subject", "id")
+    return nodes.dedupe(_courses(spark, d), ["subject"], "id").select("subject", "id")
 
 
-@query()
+_TOPIC = "list_distinct(list_filter({}, lambda w: w NOT IN " + sql.in_list(L.STOPWORDS) + "))"
+
+
+@query(f"""WITH {_NODE}, r AS (SELECT coalesce(metadata.subject, '_root') AS subject, metadata.file_name AS file_name, CASE WHEN metadata.file_name IS NULL THEN id END AS own_file,
+{{'id': id, 'text': coalesce(text, ''), 'topic': coalesce(metadata.topic, ''), 'category': coalesce(metadata.category, ''), 'q': coalesce(metadata.question_templates, []), 'n': len({sql.words("coalesce(text, '')")}), 't': {_TOPIC.format(sql.tokens(sql.match("coalesce(metadata.topic, '')")))}}} AS x FROM n),
+l AS (SELECT subject, file_name, own_file, list(x ORDER BY x.id) AS xs FROM r GROUP BY ALL),
+m AS (SELECT subject, file_name, CASE WHEN len(xs) <= 3 THEN xs ELSE list_reduce(xs[2:], lambda a, x:
+  CASE WHEN a[-1].category = x.category AND (a[-1].n < 150 OR x.n < 150) AND a[-1].n + x.n <= 400 AND {sql.jaccard('a[-1].t', 'x.t')} >= 0.5
+  THEN list_append(a[:len(a) - 1], {{'id': a[-1].id, 'text': {sql.punctuation("(trim(a[-1].text) || '. ' || trim(x.text))")}, 'topic': a[-1].topic, 'category': a[-1].category,
+    'q': list_filter(list_concat(a[-1].q, x.q), lambda z, k: list_position(list_concat(a[-1].q, x.q), z) = k)[:3], 'n': len({sql.words(sql.punctuation("(trim(a[-1].text) || '. ' || trim(x.text))"))}), 't': a[-1].t}})
+  ELSE list_append(a, x) END, [xs[1]]) END AS ys FROM l), o AS (SELECT subject, file_name, unnest(ys) AS y FROM m)
+SELECT subject, file_name, y.id AS id, y.text AS text, y.topic AS topic, y.category AS category, array_to_string(y.q, ' | ') AS questions FROM o""")
 def merge_short(spark, d):
     """Short nodes of one file merged; a node without a file name is a file of its own."""
-    rows = _nodes(spark, d).where(F.col("subject").isNotNull()).withColumn("own_file", F.when(F.col("file_name").isNull(), F.col("id")))
-    return nodes.merge_short(rows, ["subject", "file_name", "own_file"], "id", 150, 400).drop("own_file")
+    rows = _courses(spark, d).withColumn("own_file", F.when(F.col("file_name").isNull(), F.col("id")))
+    merged = nodes.merge_short(rows, ["subject", "file_name", "own_file"], "id", 150, 400).drop("own_file")
+    return merged.withColumn("questions", F.array_join("question_templates", " | ")).drop("question_templates")
 
 
 @query("""WITH c AS (SELECT coalesce(course, '_root') AS course, coalesce(file_name, CAST(doc_id AS VARCHAR)) AS f, len(list_filter(string_split_regex(text, '[\\s]+'), lambda w: w <> '')) AS w FROM documents WHERE text IS NOT NULL)
@@ -443,7 +486,7 @@ def video_listing(spark, d):
 
 @query(f"""WITH RECURSIVE {_LIST}, r AS (SELECT parent_id, name, CASE WHEN mime_type IN {sql.in_list(L.SHORTCUT_TYPES)} AND target_id IS NOT NULL THEN target_id ELSE id END AS id, CASE WHEN mime_type IN {sql.in_list(L.SHORTCUT_TYPES)} AND target_id IS NOT NULL THEN target_mime ELSE mime_type END AS mime FROM l),
 w AS (SELECT id, name AS path, name, mime, [id] AS seen, 0 AS level, true AS opens FROM r WHERE parent_id IS NULL
-UNION ALL SELECT r.id, w.path || '/' || r.name, r.name, r.mime, list_append(w.seen, r.id), w.level + 1, NOT list_contains(w.seen, r.id) FROM w JOIN r ON r.parent_id = w.id WHERE w.opens AND (w.level = 0 OR coalesce(w.mime, '') IN {sql.in_list(L.FOLDER_TYPES)}) AND w.level < 64)
+UNION ALL SELECT r.id, w.path || '/' || r.name, r.name, r.mime, list_append(w.seen, r.id), w.level + 1, NOT list_contains(w.seen, r.id) FROM w JOIN r ON r.parent_id = w.id WHERE w.opens AND (w.level = 0 OR coalesce(w.mime, '') IN {sql.in_list(L.FOLDER_TYPES)}))
 SELECT DISTINCT id, name, mime AS mime_type, path, level, {_route('name', 'mime')} AS route FROM w WHERE level > 0 AND coalesce(mime, '') NOT IN {sql.in_list(L.FOLDER_TYPES)}""")
 def folder_walk(spark, d):
     return documents.walk(tables.read(spark, d, "drive_files"))
@@ -464,15 +507,13 @@ def resume_antijoin(spark, d):
     return documents.remaining(tables.read(spark, d, "drive_files"), done, "file_name").select("id", "name")
 
 
-@query("SELECT DISTINCT metadata.subject AS subject, replace(lower(trim(regexp_replace(coalesce(metadata.subject, ''), '[^\\p{L}\\p{M}\\p{N}_\\s-]', '', 'g'))), ' ', '') || '_slides.json' AS file FROM knowledge_base_qwen WHERE metadata.subject IS NOT NULL AND regexp_full_match(metadata.subject, '[\\p{L}\\p{N} -]*')")
-def collection_names(spark, d):
-    plain = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.subject").alias("subject")).where(F.col("subject").rlike(r"^[\p{L}\p{N} -]*$") & ~F.col("subject").rlike("\n")).distinct()
-    return plain.select("subject", documents.collection_name(F.coalesce("subject", F.lit("")), F.lit("Slides")).alias("file"))
+_SPACE = text.WS[1:-1]
 
 
-@query()
-def collection_names_all(spark, d):
-    """The collection's file of every subject; collection_names has the plain ones, as its SQL defines."""
+@query(f"""WITH s AS (SELECT DISTINCT metadata.subject AS subject FROM knowledge_base_qwen WHERE metadata.subject IS NOT NULL), k AS (SELECT subject, regexp_replace(subject, '[^\\p{{L}}\\p{{N}}_{_SPACE}-]', '', 'g') AS x FROM s)
+SELECT subject, replace(lower(regexp_replace(regexp_replace(x, '^{text.WS}+', ''), '{text.WS}+$', '')), ' ', '') || '_slides.json' AS file FROM k""")
+def collection_names(spark, d):
+    """The collection's file of every subject."""
     subjects = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.subject").alias("subject")).where(F.col("subject").isNotNull()).distinct()
     return subjects.select("subject", documents.collection_name(F.col("subject"), F.lit("Slides")).alias("file"))
 
@@ -501,7 +542,11 @@ def job_recovery(spark, d):
     return jobs.recover(jobs.latest(table), payloads).select("job_id", "action")
 
 
-@query()
+@query(f"""WITH {sql.SEGMENTS}, {sql.COLLAPSED}, {sql.JUDGED}, s AS (SELECT media_id, count(*) AS total_segments, count(*) FILTER (verdict = 'keep') AS valid_segments, count(*) FILTER (verdict IN ('duration', 'short_text', 'hallucination')) AS filtered_hallucinations FROM judged GROUP BY media_id),
+l AS (SELECT job_id, max({{'o': {{'updated_at': updated_at, 'status': status, 'progress': progress, 'error': error}}, 'media_id': media_id, 'result': result}}) AS r FROM jobs WHERE job_id IS NOT NULL GROUP BY job_id),
+x AS (SELECT r.media_id AS media_id, max({{'at': r.o.updated_at, 'job_id': job_id, 'result': r.result}}) AS b FROM l WHERE r.o.status = 'completed' GROUP BY 1)
+SELECT x.media_id, b.job_id AS job_id, x.media_id || '.vtt' AS vtt_filename, x.media_id || '.txt' AS txt_filename, '/download/' || x.media_id || '.vtt' AS vtt_download_url, coalesce(b.result.source_type, 'direct_file') AS source_type, coalesce(b.result.llm_refined, false) AS llm_refined,
+total_segments, valid_segments, filtered_hallucinations, b.result.stats.detected_language AS detected_language FROM x JOIN s USING (media_id)""")
 def job_results(spark, d):
     return jobs.results(tables.read(spark, d, "jobs"), segments.segment_stats(_segments(spark, d)))
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, normalize_punctuation, once, sentences, word_count
+from ..functions.text import normalize_punctuation, sentences, word_count
 from ..operators import chunking, nodes, quality
 from ..operators.storage import kept
 
+FILE = ["course", "file_name"]
+
 
 def punctuation_refiner(numbered: DataFrame) -> DataFrame:
     """Stand-in for a refining model: replies (media_id, pos, id, text) with tidied punctuation."""
@@ -17,49 +21,59 @@ def punctuation_refiner(numbered: DataFrame) -> DataFrame:
 
 def extractive_nodes(chunks: DataFrame, sentences_per_node: int = 6) -> DataFrame:
     """Stand-in for an extracting model: every six sentences of a chunk are a raw node, its first the topic."""
-    parts = F.filter(
-        F.transform(F.sequence(F.lit(0), F.size("sents") - 1, F.lit(sentences_per_node)), lambda i: F.slice("sents", i + 1, F.lit(sentences_per_node))),
-        lambda p: F.size(p) > 0,
-    )
-    cut = chunks.withColumn("sents", sentences(F.col("chunk_text"))).where(F.size("sents") > 0)
-    cut = once(cut, "read", nodes.read_source(F.col("chunk_text")))
-    raw = cut.select("course", "file_name", "subject", "chunk_idx", "read", F.posexplode(parts).alias("node_idx", "p"))
-    none = F.array().cast("array<string>")
-    return raw.select("course", "file_name", "subject", "chunk_idx", "node_idx", "read", F.array_join("p", " ").alias("text"), F.lit("").alias("topic"), F.lit(None).cast("string").alias("category"), none.alias("keywords"), F.lit(None).cast("boolean").alias("has_code"), none.alias("question_templates"))
-
-
-def transcript_nodes(documents: DataFrame, extractor=extractive_nodes, min_words: int = 900, max_words: int = 1400, overlap: int = 70, threshold: float = 0.76) -> DataFrame:
+    raw = lambda i: F.struct(F.array_join(F.slice("sents", i + 1, F.lit(sentences_per_node)), " ").alias("text"), F.lit("").alias("topic"), F.lit(None).cast("string").alias("category"), F.array().cast("array<string>").alias("keywords"), F.lit(None).cast("boolean").alias("has_code"), F.array().cast("array<string>").alias("question_templates"))
+    starts = F.when(F.size("sents") > 0, F.sequence(F.lit(0), F.size("sents") - 1, F.lit(sentences_per_node))).otherwise(F.array().cast("array<int>"))
+    return chunks.withColumn("sents", sentences(F.col("chunk_text"))).withColumn("nodes", F.transform(starts, raw)).drop("sents")
+
+
+def transcript_nodes(documents: DataFrame, extractor: Callable[[DataFrame], DataFrame] = extractive_nodes, min_words: int = 900, max_words: int = 1400, overlap: int = 70, threshold: float = 0.76, retries: int = 1) -> DataFrame:
     """Nodes of every course: chunk, extract, sanitise, remove near-duplicates and merge in the file, then remove near-duplicates in the course.
 
     documents: doc_id, course, file_name, text. A document without a course belongs to '_root', one
-    without a file name is its own file. extractor maps chunks to raw nodes.
+    without a file name is its own file. extractor adds to chunks a column nodes, an array of
+    nodes.RAW; null means that the chunk failed. All chunks of a file with a failed one are tried
+    again so many times; a file that still fails gives no node. A file's place in the order doesn't
+    depend on its attempts.
     """
     files = documents.select(F.coalesce("course", F.lit("_root")).alias("course"), F.concat_ws("/", F.coalesce("file_name", F.lit("")), F.col("doc_id").cast("string")).alias("file_name"), "text")
-    chunks = files.select("course", "file_name", F.col("course").alias("subject"), F.posexplode(chunking.transcript_chunks(F.col("text"), min_words, max_words, overlap)).alias("chunk_idx", "chunk_text"))
-    low = _file_nodes(chunks, extractor, threshold, threshold)
-    # Files that are long but came to one node or none get a second pass with smaller chunks; its
-    # nodes count only if there are more of them.
-    few = low.groupBy("course", "file_name").agg(F.count("*").alias("n"))
-    poor = kept(files.where(word_count(F.col("text")) >= 500).join(few, ["course", "file_name"], "left").where(F.coalesce("n", F.lit(0)) <= 1))
-    small = poor.select("course", "file_name", F.col("course").alias("subject"), F.posexplode(chunking.transcript_chunks(F.col("text"), max(200, min_words // 3), max(450, max_words // 2), max(50, overlap))).alias("chunk_idx", "chunk_text"))
-    rescued = _file_nodes(small, extractor, min(0.92, threshold + 0.12), min(0.90, threshold + 0.10))
-    more = rescued.groupBy("course", "file_name").agg(F.count("*").alias("m")).join(few, ["course", "file_name"], "left").where(F.col("m") > F.coalesce("n", F.lit(0))).select("course", "file_name")
-    every = low.join(more, ["course", "file_name"], "left_anti").unionByName(rescued.join(more, ["course", "file_name"], "left_semi"))
-    return nodes.dedupe(kept(every), ["course"], "place", threshold=threshold)
-
-
-def _file_nodes(chunks: DataFrame, extractor, first: float, second: float) -> DataFrame:
-    """Nodes of each file: extracted, sanitised, without near-duplicates, short ones merged, without near-duplicates again."""
-    fine = nodes.sanitize(extractor(chunks), provenance=True)
-    place = F.concat_ws("\u0001", "file_name", F.format_string("%08d", "chunk_idx"), F.format_string("%08d", "node_idx"), F.format_string("%08d", "part_idx"))
-    group = ["course", "file_name"]
-    own = nodes.dedupe(kept(fine.withColumn("place", place)), group, "place", threshold=first)
-    own = kept(own)
-    merged = kept(nodes.merge_short(own, group, "place"))
-    if second >= first and merged.count() == own.count():
-        return own  # nothing was merged, and what is left has no pair at this threshold
-    rest = own.drop("text", "topic", "category", "question_templates")
-    return kept(nodes.dedupe(kept(merged.join(rest, [*group, "place"])), group, "place", threshold=second))
+
+    def one_pass(texts: DataFrame, least: int, most: int, shared: int, first: float, second: float) -> tuple[DataFrame, DataFrame | None]:
+        chunks = texts.select("course", "file_name", F.col("course").alias("subject"), F.posexplode(chunking.transcript_chunks(F.col("text"), least, most, shared)).alias("chunk_idx", "chunk_text"))
+        raw, lost = extracted(chunks, extractor, retries)
+        return kept(nodes.file_nodes(nodes.sanitize(raw, provenance=True), FILE, first, second)), lost
+
+    low, lost = one_pass(files, min_words, max_words, overlap, threshold, threshold)
+    # Files that are long but came to one node or none, and didn't fail, get a second pass with
+    # smaller chunks; its nodes count only if there are more of them.
+    few = low.groupBy(*FILE).agg(F.count("*").alias("n"))
+    whole = files if lost is None else files.join(lost, FILE, "left_anti")
+    poor = kept(whole.where(word_count(F.col("text")) >= 500).join(few, FILE, "left").where(F.coalesce("n", F.lit(0)) <= 1))
+    every = low
+    if not poor.isEmpty():
+        rescued, _ = one_pass(poor.drop("n"), max(200, min_words // 3), max(450, max_words // 2), max(50, overlap), min(0.92, threshold + 0.12), min(0.90, threshold + 0.10))
+        more = rescued.groupBy(*FILE).agg(F.count("*").alias("m")).join(few, FILE, "left").where(F.col("m") > F.coalesce("n", F.lit(0))).select(*FILE)
+        every = kept(low.join(more, FILE, "left_anti").unionByName(rescued.join(more, FILE, "left_semi")))
+    place = F.concat_ws("\u0001", "file_name", *(F.format_string("%08d", c) for c in ("chunk_idx", "node_idx", "part_idx")))
+    return nodes.dedupe(every.withColumn("place", place), ["course"], "place", threshold=threshold)
+
+
+def extracted(chunks: DataFrame, extractor: Callable[[DataFrame], DataFrame], retries: int) -> tuple[DataFrame, DataFrame | None]:
+    """Chunks with their raw nodes, of the files none of whose chunks failed in their last attempt, and the other files.
+
+    The stand-in can't fail, so nothing is written between it and what follows.
+    """
+    if extractor is extractive_nodes:
+        return extractor(chunks), None
+    done, todo = None, chunks
+    for attempt in range(retries + 1):
+        tried = kept(extractor(todo))
+        failed = tried.where(F.col("nodes").isNull()).select(*FILE).distinct()
+        good = nodes.keep_error_free(tried, failed, FILE)
+        done = good if done is None else done.unionByName(good)
+        if attempt == retries or failed.isEmpty():
+            break
+        todo = chunks.join(failed, FILE, "left_semi")
+    return done, failed
 
 
 def surviving_passages(documents: DataFrame) -> DataFrame:
@@ -67,9 +81,7 @@ def surviving_passages(documents: DataFrame) -> DataFrame:
     parts = documents.select(F.coalesce("course", F.lit("_root")).alias("course"), "doc_id", F.posexplode(chunking.oversized_parts(F.col("text"), 120)).alias("part_idx", "text"))
     judged = kept(parts.withColumn("reason", quality.drop_reason(F.col("text"))).withColumn("place", F.format_string("%020d/%08d", "doc_id", "part_idx")).withColumn("topic", F.lit("")))
     good = judged.where("reason = 'keep'")
-    once = good.groupBy("course", match_form(F.col("text")).alias("k")).agg(F.min("place").alias("place"))
-    heads = kept(good.join(once.select("course", "place"), ["course", "place"], "left_semi"))
-    left = nodes.dedupe(heads, ["course"], "place")
+    left = nodes.dedupe(good, ["course"], "place")
     counts = judged.where("reason <> 'keep'").groupBy("course", "reason").agg(F.count("*").alias("n"))
     dropped = good.groupBy("course").agg(F.count("*").alias("n")).join(left.groupBy("course").agg(F.count("*").alias("m")), "course", "left").select("course", F.lit("duplicate").alias("reason"), (F.col("n") - F.coalesce("m", F.lit(0))).alias("n"))
     stay = left.groupBy("course").agg(F.count("*").alias("n")).select("course", F.lit("kept").alias("reason"), "n")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.jobs import OPEN
+from ..operators.storage import shared_folder
 
 
 def latest_state(updates: DataFrame) -> DataFrame:
@@ -38,8 +38,7 @@ def run_to_end(spark: SparkSession, path: str, checkpoint: str | None = None) ->
     With a checkpoint folder, a later call goes on where this one ended. Each batch writes the jobs
     it changed; the newest batch of a job counts.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = checkpoint or (f"{shared.rstrip('/')}/jobs-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="lectorium-jobs-"))
+    base = checkpoint or f"{shared_folder(spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
     out = f"{base}/state"
 
     def write(batch: DataFrame, number: int) -> None:

@@ -70,8 +70,15 @@ def made():
 
 def test_pairs_against_brute_force(spark, made):
     df = spark.createDataFrame(made, "course string, id string, text string, topic string").repartition(3)
-    got = {(r["course"], r["i"], r["j"]) for r in nodes.similar_pairs(df, ["course"], "id").collect()}
-    assert got == _brute_pairs([(g, i, a or "", t) for g, i, a, t in made])
+    want = _brute_pairs([(g, i, a or "", t) for g, i, a, t in made])
+    for hot in (nodes.HOT_KEY, 3):  # cut into blocks, and many nodes of one topic
+        pairs, members = nodes.similar_pairs(df, ["course"], "id", hot=hot)
+        head = {(r["course"], r["o"]): r["head"] for r in members.collect()}
+        assert len(head) == sum(bool(a) for _, _, a, _ in made) and all(h <= o for (_, o), h in head.items())
+        got = {(r["course"], r["i"], r["j"]) for r in pairs.collect()}
+        apart = {(g, i, j) for g, i, j in want if head[g, i] != head[g, j]}
+        assert got == {(g, i, j) for g, i, j in apart if head[g, i] == i and head[g, j] == j}
+        assert {(g, *sorted((head[g, i], head[g, j]))) for g, i, j in apart} == got
 
 
 def test_dedupe_against_greedy(spark, made):
@@ -81,8 +88,9 @@ def test_dedupe_against_greedy(spark, made):
     for g, i, a, _ in sorted(made, key=lambda r: r[1]):
         if a and not any((g, x, i) in pairs for h, x in kept if h == g):
             kept.append((g, i))
-    got = nodes.dedupe(df, ["course"], "id")
-    assert {(r["course"], r["id"]) for r in got.collect()} == set(kept)
+    for most, hot in ((nodes.MOST_LINKS, nodes.HOT_KEY), (0, 3)):
+        got = nodes.dedupe(df, ["course"], "id", most_links=most, hot=hot)
+        assert {(r["course"], r["id"]) for r in got.collect()} == set(kept)
     assert got.columns == df.columns
 
 
@@ -105,11 +113,71 @@ def test_merge(spark):
 
 def test_sanitize(spark):
     words = " ".join(f"khái{i}" for i in range(40)) + "."
-    raw = spark.createDataFrame([("c", "f", 0, 0, "s", words, "", None, None, None, None, words), ("c", "f", 0, 1, "s", None, "", None, None, None, None, words), ("c", "f", 0, 2, "s", words, "", None, None, None, None, "khác hẳn")], "course string, file_name string, chunk_idx int, node_idx int, subject string, text string, topic string, category string, keywords array<string>, has_code boolean, question_templates array<string>, source string")
-    got = nodes.sanitize(raw, provenance=True).collect()
+    raw = lambda t: (t, "", None, None, None, None)
+    chunks = spark.createDataFrame([("c", "f", "s", 0, words, [raw(words), raw(None), raw("ngắn"), None]), ("c", "f", "s", 1, None, [raw(words)]), ("c", "f", "s", 2, words, None)], f"course string, file_name string, subject string, chunk_idx int, chunk_text string, nodes array<{nodes.RAW}>")
+    got = nodes.sanitize(chunks, provenance=True).collect()
     assert [(r["node_idx"], r["category"], r["has_code"], r["page"], r["source_coverage"]) for r in got] == [(0, "Theory", False, None, 1.0)]
 
 
+def test_replies(spark):
+    reply = 'Here: [{"text": "a", "metadata": {"topic": "t", "has_code": "yes", "keywords": ["k"]}}, 5, {"text": "b", "has_code": true},]'
+    got = one(spark, reply, nodes.parsed_reply)
+    assert [tuple(r) for r in got] == [("a", "t", None, ["k"], None, None), ("b", None, None, None, True, None)]
+    assert one(spark, "sorry", nodes.parsed_reply) is None
+
+
+def _file(rnd, n=60):
+    return " ".join("Mạng " + " ".join(f"khái{rnd.randrange(900)}" for _ in range(9)) + "." for _ in range(n))
+
+
+def test_failed_files_are_tried_again(spark, tmp_path):
+    from lectorium.plans import pipelines
+
+    rnd = random.Random(6)
+    docs = spark.createDataFrame([(k, "c", f"f{k}", _file(rnd)) for k in range(3)], "doc_id long, course string, file_name string, text string")
+    calls = []
+
+    def flaky(chunks):
+        calls.append(1)
+        bad = F.col("file_name").startswith("f2") | (F.lit(len(calls) == 1) & F.col("file_name").startswith("f1"))
+        return pipelines.extractive_nodes(chunks).withColumn("nodes", F.when(~bad, F.col("nodes")))
+
+    want = {r["file_name"] for r in pipelines.transcript_nodes(docs).collect()}
+    got = lambda n: {r["file_name"] for r in pipelines.transcript_nodes(docs, flaky, retries=n).collect()}
+    assert want == {"f0/0", "f1/1", "f2/2"} and got(1) == {"f0/0", "f1/1"}
+    calls.clear()
+    assert got(0) == {"f0/0"}
+
+
+def test_flow_against_plain_steps(spark):
+    """The whole flow, and the same rules applied one after the other to lists."""
+    from lectorium.functions import passages as P
+    from lectorium.plans import pipelines
+
+    rnd = random.Random(7)
+    base = [_file(rnd, rnd.randint(3, 90)) for _ in range(8)]
+    rows = [(k, rnd.choice(["c", None]), rnd.choice([None, "f"]), (t if k % 3 else t.replace("khái1", "khác1")) + " " + rnd.choice(base)[:900]) for k, t in enumerate(base * 2)] + [(90, "c", "f", None), (91, "c", "f", "")]
+    want = []
+    by_course: dict = {}
+    for doc, course, name, t in rows:
+        course, name = course or "_root", f"{name or ''}/{doc}"
+        found = []
+        for chunk, c in enumerate(P.transcript_chunks(t or "")):
+            sents, source = P.sentences(c), P.Source(c)
+            for n, i in enumerate(range(0, len(sents), 6)):
+                x = P.clean_text(" ".join(sents[i : i + 6]))
+                if P.drop_reason(x) == "keep" and P.gate(x, P.match_form(x), source.tokens):
+                    found.append({"text": x, "topic": P.topic("", x), "category": "Theory", "question_templates": [], "place": (name, chunk, n)})
+        distinct = lambda held: [held[i] for i in P.first_of_alike([P.Keyed(r["text"], r["topic"]) for r in held], 0.76)]
+        by_course.setdefault(course, []).extend(distinct(P.merge_short(distinct(found))))
+    for course, held in by_course.items():
+        held.sort(key=lambda r: r["place"])
+        want += [(course, r["place"][0], r["text"]) for r in distinct(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, course string, file_name string, text string").repartition(3)
+    got = sorted((r["course"], r["file_name"], r["text"]) for r in pipelines.transcript_nodes(docs).collect())
+    assert got == sorted(want) and got
+
+
 @pytest.mark.parametrize(
     ("value", "want"),
     [('[{"a": 1}, 5, {"b": 2},]', ['{"a":1}', '{"b":2}']), ("no array", None), ("```json\n[]\n```", []), ('x [{"a": "[y]"}] z', ['{"a":"[y]"}']), (None, None)],
@@ -159,6 +227,24 @@ def test_walk_and_climb(spark):
     assert documents.walk(listing.limit(0)).count() == 0
 
 
+def test_walk_of_any_depth(spark):
+    folder = "application/x-folder"
+    rows = [(f"d{i}", f"d{i - 1}" if i else None, f"n{i}", folder, False, None, None) for i in range(66)] + [("f", "d65", "a.pdf", None, False, None, None)]
+    got = documents.walk(spark.createDataFrame(rows, LISTING)).collect()
+    assert [(r["id"], r["level"]) for r in got] == [("f", 66)]
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from lectorium.operators import storage
+
+    session = lambda master, named: SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: {"spark.checkpoint.dir": named}))
+    assert storage.shared_folder(session("spark://h:1", "hdfs://x")) == "hdfs://x" and storage.shared_folder(session("local[4]", None))
+    with pytest.raises(ValueError):
+        storage.shared_folder(session("yarn", None))
+
+
 def test_jobs(spark):
     from datetime import datetime
 

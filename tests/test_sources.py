@@ -82,4 +82,4 @@ def test_collection_names_of_all_subjects(spark, tmp_path):
     subjects = ["HP: Giải tích", "Học máy (K65)", "He_dieu_hanh", "Mạng [2].x", " Hai\ndòng \t", "To\u00e1n", "Toa\u0301n", "m² ½", "a\u00a0b\u3000", "C++ & C#", "İSTANBUL", "\x1ca", "???", "", "Vật lý - 1", None, "HP: Giải tích"]
     spark.createDataFrame([((s,),) for s in subjects], "metadata struct<subject: string>").write.parquet(f"{tmp_path}/knowledge_base_qwen.parquet")
     want = {(s, re.sub(r"[^\w\s-]", "", s).strip().lower().replace(" ", "") + "_slides.json") for s in subjects if s is not None}
-    assert sorted(map(tuple, catalogue.QUERIES["collection_names_all"](spark, str(tmp_path)).collect())) == sorted(want)
+    assert sorted(map(tuple, catalogue.QUERIES["collection_names"](spark, str(tmp_path)).collect())) == sorted(want)

@@ -1,8 +1,11 @@
 """Hand-worked cases of the text functions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from lectorium.functions import passages
 from lectorium.functions import text as T
 from lectorium.operators import chunking, quality, segments
 
@@ -81,8 +84,8 @@ def test_drop_reason(run, value, want):
 
 
 def test_noise(run):
-    assert run("x", quality.noise_token) and run("bcd", quality.noise_token)
-    assert not run("tuong", quality.noise_token) and not run("theory", quality.noise_token)
+    assert passages.noise_token("x") and passages.noise_token("bcd")
+    assert not passages.noise_token("tuong") and not passages.noise_token("theory")
     assert run("oi tuong", quality.valid_keyword) and not run("cua", quality.valid_keyword)
 
 
@@ -96,6 +99,45 @@ def test_chunks(run):
     assert run("", lambda x: chunking.transcript_chunks(x, 5, 15, 5)) == []
 
 
+def test_packing_against_a_plain_walk():
+    def walk(sizes, most, least, overlap):
+        out, cur = [], []
+        for i, n in enumerate(sizes):
+            held = sum(sizes[k] for k in cur)
+            if cur and held + n > most and held >= least:
+                out.append((cur[0], cur[-1] + 1))
+                tail = []
+                while overlap and cur and sum(sizes[k] for k in tail) < overlap:
+                    tail.insert(0, cur.pop())
+                cur = tail
+            cur.append(i)
+        return [*out, (cur[0], cur[-1] + 1)] if cur else out
+
+    rnd = random.Random(1)
+    for _ in range(2000):
+        sizes = [rnd.randint(1, 20) for _ in range(rnd.randint(0, 40))]
+        given = (sizes, rnd.randint(20, 60), rnd.choice([0, rnd.randint(0, 60)]), rnd.choice([0, rnd.randint(1, 30)]))
+        assert passages.packed(*given) == walk(*given)
+
+
+def test_plain_forms_are_those_of_the_columns(spark):
+    rnd = random.Random(2)
+    parts = ["Mac Le Nin", "triết học", "clip classroom", "  ", "\u00a0", "\t", "3.14", "!!", "..", "A,b", " ;", "ĐỐI tượng", "é", "maclean", "x=1", "漢字", "\u2028", "?"]
+    texts = ["", *("".join(rnd.choice(parts) + rnd.choice(["", " "]) for _ in range(rnd.randint(1, 9))) for _ in range(300))]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    forms = {"match_form": T.match_form, "normalize_spaces": T.normalize_spaces, "normalize_punctuation": T.normalize_punctuation, "normalize_terms": T.normalize_terms, "sentences": T.sentences, "category": T.category, "contains_code": T.contains_code}
+    for row in df.select("x", *(f(F.col("x")).alias(k) for k, f in forms.items())).collect():
+        for k in forms:
+            assert getattr(passages, k)(row["x"]) == row[k], (k, row["x"])
+
+
+def test_long_texts_take_linear_time(spark):
+    long = " ".join(f"từ{i} khác." for i in range(60_000))
+    assert len(passages.distinct_sentences(passages.sentences(long))) == 60_000 and len(passages.transcript_chunks(long)) > 80
+    assert len(passages.infer_keywords(passages.match_form(long))) == 5
+    assert passages.Source(long).quote(passages.match_form("từ59999 khác")).startswith("từ59997")
+
+
 def test_parts(run):
     assert run("a b c", lambda x: chunking.oversized_parts(x, 3)) == ["a b c"]
     assert run("a b. c d. e f.", lambda x: chunking.oversized_parts(x, 4)) == ["a b. c d.", "e f."]
