@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable
-from functools import cache
+from functools import cache, lru_cache
 from math import sqrt
 
 import numpy as np
@@ -22,7 +22,6 @@ STOPWORDS = frozenset(L.STOPWORDS)
 SOFT, NGRAM, TOPIC_SOFT, TOPIC_LEAST = 0.65, 0.82, 0.50, 0.80
 
 _TERMS = [(re.compile(rf"\b{wrong}\b", re.I), wrong, right) for wrong, right in L.TERMS]
-_ANY_TERM = re.compile("|".join(w for w, _ in L.TERMS), re.I)
 _NOT_KEPT = re.compile(r"[^a-z0-9 \t\n\x0b\f\r]")
 _FILLERS = re.compile(any_of(L.FILLERS))
 _LOW_INFO = re.compile(any_of([*L.FILLERS, *L.LOW_INFO]))
@@ -45,7 +44,8 @@ def normalize_punctuation(x: str) -> str:
 
 
 def normalize_terms(x: str) -> str:
-    if _ANY_TERM.search(x):
+    low = x.lower()
+    if any(wrong in low for _, wrong, _ in _TERMS):
         for pattern, _, right in _TERMS:
             x = pattern.sub(right, x)
     return x
@@ -54,7 +54,8 @@ def normalize_terms(x: str) -> str:
 @cache
 def _accents() -> dict[int, int | None]:
     a, b = accent_map()
-    return {ord(c): ord(b[i]) if i < len(b) else None for i, c in enumerate(a)}
+    same = {i: i for i in range(0x3100)}  # found is faster than missing
+    return same | {ord(c): ord(b[i]) if i < len(b) else None for i, c in enumerate(a)}
 
 
 def match_form(x: str) -> str:
@@ -88,13 +89,19 @@ def distinct_sentences(parts: list[str]) -> list[str]:
     return list(first.values())
 
 
+@lru_cache(1 << 14)
+def _sentence_form(x: str) -> str:
+    """match_form of a sentence, which cleaning and reading a source ask for again."""
+    return match_form(x)
+
+
 def low_info(norm: str) -> bool:
     return not norm or bool(_LOW_INFO.search(norm))
 
 
 def clean_text(x: str) -> str:
     """Terms, then sentences without filler (all, if nothing would be left) and repeats, then punctuation."""
-    keyed = [(match_form(s), s) for s in sentences(normalize_terms(normalize_spaces(x)))]
+    keyed = [(_sentence_form(s), s) for s in sentences(normalize_terms(normalize_spaces(x)))]
     good = [p for p in keyed if not low_info(p[0])] or keyed
     first: dict[str, str] = {}
     for key, s in good:
@@ -244,7 +251,7 @@ class Source:
         self.sents = sentences(text)
         self.places: dict[str, list[int]] = {}
         for i, s in enumerate(self.sents):
-            for w in meant(match_form(s).split()):
+            for w in meant(_sentence_form(s).split()):
                 self.places.setdefault(w, []).append(i)
 
     def coverage(self, norm: str) -> float:
@@ -266,8 +273,11 @@ class Source:
             at = self.places.get(w, ())
             weight = 1.0 / sqrt(len(at) or 1)
             total += weight
-            for i in {i for p in at for i in range(max(0, p - size + 1), min(p, last) + 1)}:
-                scores[i] = scores.get(i, 0.0) + weight
+            done = -1
+            for p in at:
+                for i in range(max(done + 1, p - size + 1), min(p, last) + 1):
+                    scores[i] = scores.get(i, 0.0) + weight
+                done = min(p, last)
         if not scores:
             return ""
         best = min(scores, key=lambda i: (-round(scores[i] / total, 12), i))

@@ -54,6 +54,11 @@ def base_name(url: Column, fallback: Column) -> Column:
     return safe_file_name(named, fallback)
 
 
+def media_type(name: Column) -> Column:
+    """The media type under which an output is handed out."""
+    return F.when(name.endswith(".vtt"), "text/vtt").when(name.endswith(".txt"), "text/plain").otherwise("application/octet-stream")
+
+
 def service_urls(base: Column) -> Column:
     """Addresses to try for a model service."""
     bare = F.rtrim(base, F.lit("/"))

@@ -120,6 +120,12 @@ def subjects(listing: DataFrame) -> DataFrame:
     return state.select("id", F.coalesce("subject", F.lit(L.NO_SUBJECT)).alias("subject"))
 
 
+def without_target(files: DataFrame, present: DataFrame, target_col: str) -> DataFrame:
+    """Files whose target isn't there yet; present has a column target of paths or names."""
+    there = present.select(F.col("target").alias(target_col)).where(F.col("target").isNotNull()).distinct()
+    return files.join(there, target_col, "left_anti")
+
+
 def remaining(listing: DataFrame, done: DataFrame, name_col: str) -> DataFrame:
     """Files whose name isn't among those already extracted."""
     return files_in(listing).join(done.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct(), "name", "left_anti")

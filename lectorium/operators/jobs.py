@@ -16,6 +16,25 @@ def latest(jobs: DataFrame) -> DataFrame:
     return rows.select("job_id", *(F.col("r")[c].alias(c) for c in rest))
 
 
+def merged(updates: DataFrame, deletions: DataFrame | None = None) -> DataFrame:
+    """The state of each job after partial updates, in which a null field is one that isn't set.
+
+    Each field has the value last set. An update counts only for a job that was created, which the
+    first row with a status does, and rows up to a job's deletion (job_id, deleted_at) don't count: a
+    job that isn't created again after it is gone. Rows of one time are told apart by their values.
+    """
+    rows = updates.where(F.col("job_id").isNotNull())
+    if deletions is not None:
+        gone = deletions.groupBy("job_id").agg(F.max("deleted_at").alias("deleted_at"))
+        rows = rows.join(gone, "job_id", "left").where(F.col("deleted_at").isNull() | (F.col("updated_at") > F.col("deleted_at"))).drop("deleted_at")
+    created = rows.where(F.col("status").isNotNull()).groupBy("job_id").agg(F.min("updated_at").alias("created_at"))
+    counted = rows.join(created, "job_id").where(F.col("updated_at") >= F.col("created_at"))
+    fields = [c for c in rows.columns if c not in ("job_id", "updated_at")]
+    last = [F.max(F.when(F.col(c).isNotNull(), F.struct("updated_at", F.col(c).alias("v")))).alias(c) for c in fields]
+    state = counted.groupBy("job_id").agg(F.max("updated_at").alias("updated_at"), *last)
+    return state.select("job_id", *(F.col(c)["v"].alias(c) for c in fields), "updated_at")
+
+
 def metrics(jobs: DataFrame) -> DataFrame:
     counts = latest(jobs).agg(F.count("*").alias("total"), *(F.count_if(F.col("status") == s).alias(s) for s in ("queued", "processing", "completed", "failed")))
     return counts.withColumn("open", F.col("queued") + F.col("processing"))

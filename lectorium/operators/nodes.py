@@ -190,40 +190,46 @@ def _classes(feat: DataFrame, group: list[str]) -> DataFrame:
     return feat.groupBy(*group, "key", "top").agg(F.min("o").alias("o"), *(F.first(c).alias(c) for c in rest))
 
 
-def _postings(own: DataFrame, group: list[str], sets: str, least: float, counts: np.ndarray) -> DataFrame:
-    """(group, o, w): the rarest words of each set, so many that two sets that agree by the least share have one in common."""
-    keys = [own.schema[c] for c in [*group, "o"]]
-    schema = T.StructType([*keys, T.StructField("w", T.LongType())])
+#: What the pairs' cheap filter needs of a node.
+_FACTS = ["n", "f0", "f1", "f2", "f3"]
+
+
+def _postings(own: DataFrame, group: list[str], sets: str, least: float, counts: np.ndarray, facts: list[str]) -> DataFrame:
+    """(group, o, facts, w): the rarest words of each set, so many that two sets that agree by the least share have one in common."""
+    held = [own.schema[c] for c in [*group, "o", *facts]]
+    schema = T.StructType([*held, T.StructField("w", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(len(keys))
+            lists = batch.column(len(held))
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.array([len(x) for x in lists], np.int64)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             rows = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((flat, counts[(flat % np.uint64(BUCKETS)).astype(np.int64)], rows))
             place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             length = sizes - np.ceil(sizes * least - 1e-9).astype(np.int64) + 1
             pick = order[place < length[rows]]
             take = pa.array(rows[pick], pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keys))), pa.array(flat[pick].view(np.int64))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(held))), pa.array(flat[pick].view(np.int64))], names=schema.names)
 
-    return own.select(*group, "o", sets).mapInArrow(run, schema)
+    return own.select(*group, "o", *facts, sets).mapInArrow(run, schema)
 
 
-def _met(postings: DataFrame, keys: list[str], facts: DataFrame, group: list[str], fits: Column, hot: int) -> DataFrame:
-    """(group, i, j): pairs, i before j, that meet at a key and fit.
+def _met(postings: DataFrame, keys: list[str], group: list[str], fits: Column, hot: int) -> DataFrame:
+    """(group, i, j): pairs, i before j, that meet at a key and fit. postings is a checkpoint.
 
     The rows of a key that has more than the hot number are cut into blocks by their node, and each
     pair of blocks meets in a place of its own; pairs of one block meet where it meets itself.
     """
-    often = postings.groupBy(*keys).agg(F.ceil(F.count("*") / hot).cast("int").alias("cuts")).where("cuts > 1")
-    cut = postings.join(often, keys, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-    cut = cut.withColumn("b", F.pmod(F.xxhash64("o"), F.col("cuts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = kept(cut.withColumn("lo", F.least("b", "x")).withColumn("hi", F.greatest("b", "x")).drop("x", "cuts").join(facts, [*group, "o"]))
-    place = [*keys, "lo", "hi"]
-    side = lambda k: rows.select(*place, *(F.col(c).alias(f"{k}_{c}") for c in ("o", "b", "n", "f0", "f1", "f2", "f3")))
-    met = side("i").join(side("j"), place).where((F.col("i_o") < F.col("j_o")) & fits & ((F.col("i_b") != F.col("j_b")) | (F.col("lo") == F.col("hi"))))
+    often = kept(postings.groupBy(*keys).agg(F.ceil(F.count("*") / hot).cast("int").alias("cuts")).where("cuts > 1"))
+    rows, place, apart = postings, list(keys), F.lit(True)
+    if not often.isEmpty():
+        cut = postings.join(often, keys, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+        cut = cut.withColumn("b", F.pmod(F.xxhash64("o"), F.col("cuts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        rows = kept(cut.withColumn("lo", F.least("b", "x")).withColumn("hi", F.greatest("b", "x")).drop("x", "cuts"))
+        place, apart = [*keys, "lo", "hi"], (F.col("i_b") != F.col("j_b")) | (F.col("lo") == F.col("hi"))
+    side = lambda k: rows.select(*place, *(F.col(c).alias(f"{k}_{c}") for c in rows.columns if c in ("o", "b", *_FACTS)))
+    met = side("i").join(side("j"), place).where((F.col("i_o") < F.col("j_o")) & fits & apart)
     return met.select(*group, F.col("i_o").alias("i"), F.col("j_o").alias("j"))
 
 
@@ -248,17 +254,16 @@ def _similar(own: DataFrame, group: list[str], threshold: float, hot: int = HOT_
     counts = np.zeros(BUCKETS, np.int64)
     for r in seen:
         counts[r["bucket"]] = r["count"]
-    facts = own.select(*group, "o", "n", "f0", "f1", "f2", "f3")
     words = min(threshold, passages.SOFT)
-    cand = _met(_postings(own, group, "tok", words, counts), [*group, "w"], facts, group, _can_agree(words), hot)
+    cand = _met(kept(_postings(own, group, "tok", words, counts, _FACTS)), [*group, "w"], group, _can_agree(words), hot)
     topics = own.where(F.size("top") > 0)
-    rare_topic = kept(_postings(topics, group, "top", passages.TOPIC_LEAST, counts))
-    if not rare_topic.isEmpty():
-        often = rare_topic.groupBy(*group, "w").count().where(F.col("count") > hot // 16).drop("count")
-        alone = rare_topic.join(often, [*group, "w"], "left_anti").withColumn("v", F.lit(0).cast("long"))
-        within = _postings(topics, group, "tok", passages.TOPIC_SOFT, counts).withColumnRenamed("w", "v")
-        both = rare_topic.join(often, [*group, "w"], "left_semi").join(within, [*group, "o"])
-        cand = cand.unionByName(_met(alone.unionByName(both), [*group, "w", "v"], facts, group, _can_agree(passages.TOPIC_SOFT), hot))
+    if not topics.isEmpty():
+        rare = kept(_postings(topics, group, "top", passages.TOPIC_LEAST, counts, _FACTS))
+        often = rare.groupBy(*group, "w").count().where(F.col("count") > hot // 16).drop("count")
+        alone = rare.join(often, [*group, "w"], "left_anti").withColumn("v", F.lit(0).cast("long"))
+        within = _postings(topics, group, "tok", passages.TOPIC_SOFT, counts, []).withColumnRenamed("w", "v")
+        both = rare.join(often, [*group, "w"], "left_semi").join(within, [*group, "o"])
+        cand = cand.unionByName(_met(kept(alone.unionByName(both)), [*group, "w", "v"], group, _can_agree(passages.TOPIC_SOFT), hot))
     left = own.select(*group, F.col("o").alias("i"), F.col("key").alias("ki"), F.col("tok").alias("ti"), F.col("top").alias("pi"))
     right = own.select(*group, F.col("o").alias("j"), F.col("key").alias("kj"), F.col("tok").alias("tj"), F.col("top").alias("pj"))
     sim = cand.distinct().join(left, [*group, "i"]).join(right, [*group, "j"])

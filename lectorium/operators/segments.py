@@ -7,8 +7,13 @@ and look-backs run inside blocks of consecutive segments, joined by one summary
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from .. import lexicon as L
@@ -181,6 +186,49 @@ def batch_contexts(segments: DataFrame, batch_size: int = 20, window: int = 5) -
     return found.groupBy("media_id", "batch").agg(F.array_join(F.transform(texts, lambda x: x["text"]), " ").alias("context"))
 
 
+def refined_in_order(segments: DataFrame, refine: Callable[[list[str], str], list[str | None]], batch_size: int = 20, window: int = 5) -> DataFrame:
+    """The segments with refined texts, each batch's context being the texts before it as they are after refinement.
+
+    refine gets a batch's texts and its context ('' for the first), and gives a text or None for
+    each; a text is taken if it has 3 to 300 characters, and is cleaned. A recording is one chain of
+    batches, each of which needs the one before, so it is refined by one task, which holds one batch
+    and its context at a time; batch_contexts is the form that many tasks can share.
+    """
+    rows = segments.select("media_id", "seg_idx", F.coalesce("text", F.lit("")).alias("text"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("is_refined", T.BooleanType())])
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        before: list[str] = []
+
+        def finish() -> pa.RecordBatch:
+            replies = refine([r["text"] for r in held], " ".join(t.strip() for t in before))
+            for row, reply in zip(held, [*replies, *[None] * len(held)]):
+                reply = (reply or "").strip()
+                row["is_refined"] = 3 <= len(reply) <= 300
+                row["text"] = reply if row["is_refined"] else row["text"]
+            before[:] = [*before, *(r["text"] for r in held)][-window:]
+            out = pa.RecordBatch.from_pylist(held, target)
+            held.clear()
+            return out
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (len(held) == batch_size or held[0]["media_id"] != row["media_id"]):
+                    same = held[0]["media_id"] == row["media_id"]
+                    yield finish()
+                    if not same:
+                        before.clear()
+                held.append(row)
+        if held:
+            yield finish()
+
+    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    done = rows.repartition(parts, "media_id").sortWithinPartitions("media_id", "seg_idx").mapInArrow(run, schema)
+    return done.withColumn("text", F.when(F.col("is_refined"), collapse_repeats(F.col("text"))).otherwise(F.col("text")))
+
+
 def apply_refinements(segments: DataFrame, replies: DataFrame) -> DataFrame:
     """Segments with the texts that a refiner gave back.
 

@@ -479,6 +479,21 @@ def file_route(spark, d):
     return documents.files_in(tables.read(spark, d, "drive_files")).select("id", "name", documents.route(F.col("name"), F.col("mime_type")).alias("route"), documents.pdf_name(F.col("name")).alias("pdf"))
 
 
+@query(f"""WITH {_LIST} SELECT id, name, CASE WHEN ends_with(name, '.vtt') THEN 'text/vtt' WHEN ends_with(name, '.txt') THEN 'text/plain' ELSE 'application/octet-stream' END AS media_type,
+left(regexp_replace(regexp_replace(name, '(.)\\.[^.]*$', '\\1'), '[\\\\/*?:"<>|]', '', 'g'), 1000) || '.pdf' AS local_pdf FROM l WHERE coalesce(mime_type, '') NOT IN {sql.in_list(L.FOLDER_TYPES)}""")
+def file_names(spark, d):
+    """The media type of each file, and its name as a local PDF."""
+    return documents.files_in(tables.read(spark, d, "drive_files")).select("id", "name", urls.media_type(F.col("name")).alias("media_type"), documents.local_pdf_name(F.col("name")).alias("local_pdf"))
+
+
+@query(f"WITH {_LIST} SELECT id, regexp_replace(name, '(?i)\\.(?:{_KNOWN})$', '') || '.pdf' AS pdf FROM l WHERE coalesce(mime_type, '') NOT IN {sql.in_list(L.FOLDER_TYPES)} AND regexp_replace(name, '(?i)\\.(?:{_KNOWN})$', '') || '.pdf' NOT IN (SELECT metadata.file_name FROM knowledge_base_qwen WHERE metadata.file_name IS NOT NULL)")
+def targets_left(spark, d):
+    """Files whose PDF isn't among those already extracted."""
+    present = tables.read(spark, d, "knowledge_base_qwen").select(F.col("metadata.file_name").alias("target"))
+    files = documents.files_in(tables.read(spark, d, "drive_files")).select("id", documents.pdf_name(F.col("name")).alias("pdf"))
+    return documents.without_target(files, present, "pdf").select("id", "pdf")
+
+
 @query(f"WITH {_LIST} SELECT id, name, mime_type FROM l WHERE contains(mime_type, 'video/')")
 def video_listing(spark, d):
     return documents.videos(tables.read(spark, d, "drive_files"))
@@ -533,6 +548,21 @@ def job_latest(spark, d):
     return jobs.latest(tables.read(spark, d, "jobs")).select("job_id", "status", "error")
 
 
+@query("""WITH u AS (SELECT DISTINCT job_id, CASE WHEN status = 'processing' AND error IS NULL AND progress IS NOT NULL THEN NULL ELSE status END AS status, progress, error, updated_at FROM jobs WHERE job_id IS NOT NULL),
+g AS (SELECT job_id, min(updated_at) AS deleted_at FROM jobs WHERE status = 'failed' GROUP BY job_id),
+r AS (SELECT u.* FROM u LEFT JOIN g USING (job_id) WHERE g.deleted_at IS NULL OR u.updated_at > g.deleted_at),
+c AS (SELECT job_id, min(updated_at) AS created_at FROM r WHERE status IS NOT NULL GROUP BY job_id)
+SELECT job_id, max({'at': updated_at, 'v': status}) FILTER (status IS NOT NULL).v AS status, max({'at': updated_at, 'v': progress}) FILTER (progress IS NOT NULL).v AS progress, max({'at': updated_at, 'v': error}) FILTER (error IS NOT NULL).v AS error
+FROM r JOIN c USING (job_id) WHERE updated_at >= created_at GROUP BY job_id""")
+def job_updates(spark, d):
+    """Rows of the job table as partial updates (progress alone leaves the status unset), failed jobs as deleted at their first failure."""
+    table = tables.read(spark, d, "jobs")
+    unset = (F.col("status") == "processing") & F.col("error").isNull() & F.col("progress").isNotNull()
+    updates = table.select("job_id", F.when(F.coalesce(~unset, F.lit(True)), F.col("status")).alias("status"), "progress", "error", "updated_at")
+    gone = table.where("status = 'failed' AND job_id IS NOT NULL").groupBy("job_id").agg(F.min("updated_at").alias("deleted_at"))
+    return jobs.merged(updates, gone).select("job_id", "status", "progress", "error")
+
+
 @query(f"WITH {_JOBS} SELECT job_id, CASE WHEN EXISTS (SELECT 1 FROM segments s, jobs k WHERE k.job_id = j.job_id AND s.media_id = k.media_id) THEN 'requeue' ELSE 'fail' END AS action FROM j WHERE r.status IN ('queued', 'processing')")
 def job_recovery(spark, d):
     """Open jobs and what becomes of them; the payload here is the recording's segments."""

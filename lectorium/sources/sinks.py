@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def write_subtitles(blocks: DataFrame, path: str) -> None:
@@ -22,6 +23,18 @@ def write_nodes(nodes: DataFrame, path: str, order: str = "place") -> None:
     nodes.repartitionByRange("course", order).sortWithinPartitions("course", order).write.mode("overwrite").partitionBy("course").json(path)
 
 
+def write_course_arrays(nodes: DataFrame, path: str, order: str = "place") -> None:
+    """One file per course under course=.../, holding one indented JSON array of its nodes in order.
+
+    A course's lines pass through one task one by one; nothing gathers them.
+    """
+    fields = [c for c in nodes.columns if c not in ("course", order)]
+    place = Window.partitionBy("course").orderBy(order)
+    body = F.regexp_replace(F.to_json(F.struct(*fields), {"pretty": "true", "ignoreNullFields": "false"}), "(?m)^", "  ")
+    line = F.concat(F.when(F.row_number().over(place) == 1, "[\n").otherwise(""), body, F.when(F.lead(F.lit(1)).over(place).isNull(), "\n]").otherwise(","))
+    nodes.withColumn("value", line).select("course", "value").write.mode("overwrite").partitionBy("course").text(path)
+
+
 def append_collection(nodes: DataFrame, path: str) -> None:
     """Adds nodes to a collection; earlier files stay as they are, so a failed run loses nothing."""
     nodes.write.mode("append").json(path)

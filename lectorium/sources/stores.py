@@ -25,6 +25,16 @@ def read_job_store(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.col("status").isNotNull())
 
 
+def read_payload_store(spark: SparkSession, path: str) -> DataFrame:
+    """(job_id, video_url, language, request) of a store that is one JSON object by job id; request stays JSON.
+
+    A store that can't be parsed has no rows; a payload without an address stays, with a null one.
+    """
+    text = spark.read.text(path, wholetext=True)
+    each = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("job_id", "e")).where(F.ltrim("e").startswith("{"))
+    return each.select("job_id", *(F.get_json_object("e", f"$.{k}").alias(k) for k in ("video_url", "language", "request")))
+
+
 def read_collection(spark: SparkSession, path: str) -> DataFrame:
     """Nodes of an extracted collection, which is one JSON array; the key id_ becomes id."""
     text = spark.read.text(path, wholetext=True)

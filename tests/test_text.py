@@ -184,3 +184,25 @@ def test_contexts(spark):
     seg = _seg(spark, [("m", i, 0.0, 1.0, f"t{i}") for i in range(45)])
     got = {r["batch"]: r["context"] for r in segments.batch_contexts(seg).collect()}
     assert got == {0: "", 1: "t15 t16 t17 t18 t19", 2: "t35 t36 t37 t38 t39"}
+
+
+def test_refinement_in_order(spark):
+    seg = _seg(spark, [("m", i, 0.0, 1.0, f"t{i}") for i in range(45)] + [("n", i, 0.0, 1.0, f"u{i}") for i in range(3)] + [("o", 0, 0.0, 1.0, None)]).repartition(3)
+    seen = lambda texts, context: [f"{t}' <{context}>" if t != "t1" else None for t in texts]
+    got = {(r["media_id"], r["seg_idx"]): (r["text"], r["is_refined"]) for r in segments.refined_in_order(seg, seen, 20, 2).collect()}
+    assert got["m", 0] == ("t0' <>", True) and got["m", 1] == ("t1", False) and got["m", 20] == ("t20' <t18' <> t19' <>>", True)
+    assert got["m", 40][0] == "t40' <t38' <t18' <> t19' <>> t39' <t18' <> t19' <>>>" and got["n", 2] == ("u2' <>", True) and len(got) == 49
+
+
+def test_partial_updates_and_deletion(spark):
+    from datetime import datetime
+
+    from lectorium.operators import jobs
+
+    day = lambda d: datetime(2025, 1, d)
+    rows = [("a", "queued", None, None, day(1)), ("a", None, "half", None, day(2)), ("a", "completed", None, None, day(3)), ("b", None, "lost", None, day(1)), ("c", "queued", "x", None, day(1)), ("c", None, "late", None, day(4)), ("d", "queued", None, None, day(1)), ("d", "queued", None, None, day(1)), ("d", "queued", "again", None, day(5)), (None, "queued", None, None, day(1))]
+    updates = spark.createDataFrame(rows, "job_id string, status string, progress string, error string, updated_at timestamp")
+    gone = spark.createDataFrame([("c", day(3)), ("d", day(3))], "job_id string, deleted_at timestamp")
+    got = {r["job_id"]: (r["status"], r["progress"]) for r in jobs.merged(updates, gone).collect()}
+    assert got == {"a": ("completed", "half"), "d": ("queued", "again")}
+    assert {r["job_id"]: r["progress"] for r in jobs.merged(updates).collect()} == {"a": "half", "c": "late", "d": "again"}
