@@ -1,19 +1,21 @@
 """Problem 10: template residue, filler and site messages in place of content.
 
-Unfilled placeholders are found with one small grammar for each delimiter; filler and site
-messages with patterns of their wording. A sentence that talks about such things (it names the
-syntax, a tag, a status code as a subject) and everything inside code blocks is discounted.
-A document is residue if most of its characters belong to such sentences.
-
-An Aho-Corasick automaton over the delimiters and strings that the patterns can't match without
-passes over every sentence; the grammars only run where it, or a test for status codes, weak
-delimiters or pseudo-Latin, found something.
+Unfilled placeholders are found with one small grammar for each delimiter. Notices and filler are
+found by what they are made of: a short sentence that joins a thing and what is wrong with it, a
+request and where it leads, something to fill in and a place for it, scripts and a switch. Filler in
+a pseudo-language is told by vocabulary statistics. What stands in code blocks, and a placeholder
+that is named as syntax, is discounted. A document is residue if most of its characters belong to
+such sentences, so that real content with some such lines, or speech that mentions them, is none;
+speech without sentence ends is judged in pieces, so that a mention doesn't take in what is around it.
+
+An Aho-Corasick automaton over strings that the rules can't do without passes over most sentences.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrow_text import slices, spread, table
+from .p8_encode import VOCABULARY, VOCABULARY_DIR, load_ranks
 
 MIN_SHARE = 0.5
 
@@ -55,87 +58,46 @@ _WEAK = re.compile("|".join(WEAK.values()))
 PLACEHOLDER = re.compile("|".join([*STRONG.values(), *WEAK.values()]))
 BLANK = re.compile(r"_{4,}|\.{6,}|…{2,}|\bX{4,}\b|\b(?:TODO|TBD|FIXME)\b")
 
-#: Words that filler in pseudo-Latin is made of.
-FILLER_WORDS = frozenset(
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum "
-    "vero quam nullam porta finis bellum mintu orba veni tupis desit credam rectu ora ventu salivor aleta lentis quor monas".split()
+#: The usual pseudo-Latin of typesetting.
+LOREM = frozenset(
+    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
-
-#: Wording of filler, by language.
-FILLER = re.compile(
-    r"replace (?:this|the) (?:block|text|paragraph|section)|placeholder (?:for|text)|(?:sample|dummy) (?:paragraph|text)|layout purposes|coming soon|goes here\b|your (?:heading|title|text|content) (?:goes )?here|intentionally left (?:blank|empty)|click to (?:add|edit)|write (?:one|two|three|a few)\b.{0,50} here"
-    r"|under construction|to be (?:added|announced|completed) (?:later|soon)"
-    r"|đang (?:được )?cập nhật|sẽ được thay bằng|sẽ hiện ở đây|(?:thêm|nhập|viết|điền) .{0,40}(?:tại|ở|vào) (?:đây|vị trí này)|chèn .{0,40}(?:tại|ở|vào) (?:đây|vị trí này)|chưa có nội dung|sẽ bổ sung sau|(?:đoạn )?văn bản mẫu|để giữ chỗ|bản nháp tự sinh|bấm vào để (?:nhập|thêm|sửa)",
-    re.I,
-)
-#: Wording of error pages and access notices.
-MESSAGE = re.compile(
-    r"error code|^\W*(?:error|code|status)?\W*[45]\d\d\b.{0,40}$|(?:page|file|resource) (?:could )?not (?:be )?(?:found|displayed)|not be displayed|^\W*(?:http )?\d{3} not found|page not found|access (?:to .{1,40} )?(?:is )?(?:denied|forbidden)|no longer (?:shared|available)|has moved or never existed|unable to (?:load|open|display)|went wrong|too many requests|session (?:token|has|is|was)\b.{0,20}(?:missing|expired|stale)|did not answer in time|home page or|use the search box|(?:please )?(?:retry|try again) (?:in|later)|quote .{1,20} to the help ?desk|^\W*request id|tripped over|^\W*(?:oops|sorry|uh-oh|notice)\W*$|^\W*oops|(?:service|server|site) (?:is )?(?:temporarily )?(?:unavailable|down)|(?:sign|log) in (?:again )?to (?:view|continue|see)|(?:bad gateway|gateway timeout|internal server error)"
-    r"|^\W*(?:mã )?lỗi\W*(?:[a-z]-?)?\d+|^\W*mã lỗi|^\W*mã yêu cầu|quay (?:về|lại) trang chủ|vui lòng thử lại|thời điểm ghi nhận|phiên làm việc đã hết|đăng nhập (?:lại )?để|hết hạn chia sẻ|không có quyền (?:mở|xem|truy cập)|bị từ chối\W*$|không tìm thấy (?:trang|tệp|nội dung)|phản hồi rỗng|vượt quá số lượt|đang bảo trì|quay lại sau ít phút|chưa mở cho|yêu cầu của bạn không hợp lệ|đã bị gỡ|không thể (?:kết xuất|hiển thị|tải)|gặp sự cố|tạm thời không khả dụng|báo cho bộ phận kỹ thuật|^\W*(?:rất tiếc|ôi không|thông báo|xin lỗi)\W*$",
-    re.I,
-)
-#: Wording of notices about scripts and cookies.
-SCRIPTS = re.compile(
-    r"(?:enable|turn on|allow|accept|activate|requires?|needs?)\b.{0,30}(?:javascript|scripts?|scripting|cookies?)|(?:javascript|scripts?|scripting|cookies?)\b.{0,60}(?:disabled|turned off|blocked|must be (?:allowed|enabled)|is off|allowed)|browser (?:is being checked|check)|checking your browser"
-    r"|(?:bật|cho phép|cần|chấp nhận)\b.{0,20}(?:javascript|script|cookie|kịch bản)|(?:chặn|tắt)\b.{0,15}(?:javascript|script|kịch bản|cookie)|kiểm tra trình duyệt|không chạy được mã kịch bản",
-    re.I,
-)
-#: Wording of sentences that speak about such things.
-ABOUT = re.compile(
-    r"cú pháp|khuôn mẫu|biến \S{0,20}[$%{]|vỏ lệnh|lập trình viên|nhà thiết kế|sinh viên thử|ví dụ|mã trạng thái|khác mã|thẻ noscript|báo rằng"
-    r"|template (?:language|engine)|syntax|the variable|expanded by|replaced by a value|noscript|lets? (?:authors|designers)|students toggle|classic outcome|tells the client|differs from|refuses work|for example|e\.g\.",
-    re.I,
-)
-
-
-def _strings(nodes) -> tuple[set[str] | None, set[str] | None]:
-    """(all strings that a parsed pattern matches, if few; strings one of which every match holds), in lower case."""
-    run, best, whole = {""}, None, True
-    better = lambda new, old: new if new and min(map(len, new)) > (min(map(len, old)) if old else 1) else old
-    for op, value in nodes:
-        op, every, held = str(op), None, None
-        if op in ("AT", "ASSERT", "ASSERT_NOT"):
-            continue
-        if op == "LITERAL":
-            every = {chr(value).lower()}
-        elif op == "SUBPATTERN":
-            every, held = _strings(value[-1])
-        elif op == "IN" and len(value) <= 8 and all(str(o) == "LITERAL" for o, _ in value):
-            every = {chr(v).lower() for _, v in value}
-        elif op == "BRANCH":
-            parts = [_strings(x) for x in value[1]]
-            every = set().union(*(e for e, _ in parts)) if all(e is not None for e, _ in parts) else None
-            held = set().union(*(h for _, h in parts)) if all(h for _, h in parts) else None
-        elif op == "MAX_REPEAT":
-            least, most, inner = value
-            one, held = _strings(inner)
-            every = one | {""} if one is not None and (least, most) == (0, 1) else None
-            held = None if least == 0 else {x * least for x in one} if one is not None and len(one) == 1 else held
-        if every is not None and len(run) * len(every) <= 64:
-            run = {a + b for a in run for b in every}
-        else:
-            best, whole = better(held, better(run, best)), False
-            run = every if every is not None else {""}
-    return (run if whole else None), better(run, best)
-
-
-def wording(pattern: re.Pattern) -> list[set[str] | None]:
-    """For every alternative: strings in lower case, one of which each of its matches holds; None if it has none."""
-    nodes = list(re._parser.parse(pattern.pattern, pattern.flags))
-    ways = nodes[0][1][1] if len(nodes) == 1 and str(nodes[0][0]) == "BRANCH" else [nodes]
-    return [_strings(x)[1] for x in ways]
-
-
-#: What the automaton looks for: the delimiters, pieces of the wording above, and for every wording strings that it can't do without.
-_PIECES = [*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme"] + (
-    "lorem|ipsum|amet|tupis|aleta|salivor|credam|bellum|placeholder|replace this|replace the|sample p|dummy|layout purposes|coming soon|goes here|intentionally left|click to|here.|under construction|cập nhật|sẽ được thay|sẽ hiện ở|tại đây|ở đây|vào đây|vị trí này|chưa có nội dung|bổ sung sau|văn bản mẫu|giữ chỗ|tự sinh|bấm vào"
-    "|error|not found|displayed|denied|forbidden|no longer|has moved|unable to|went wrong|too many requests|session|in time|home page|search box|retry|try again|help desk|request id|oops|sorry|unavailable|sign in|log in|gateway|notice"
-    "|lỗi|mã yêu cầu|trang chủ|thử lại|ghi nhận|đăng nhập|hết hạn|quyền|từ chối|không tìm thấy|phản hồi rỗng|số lượt|bảo trì|ít phút|chưa mở|không hợp lệ|bị gỡ|kết xuất|sự cố|khả dụng|kỹ thuật|rất tiếc|ôi không|thông báo"
-    "|script|cookie|trình duyệt|browser|kịch bản"
-).split("|")
-KEYS = sorted({*_PIECES, *(x for p in (FILLER, MESSAGE, SCRIPTS, BLANK) for k in wording(p) if k for x in k)})
-#: The one wording without a string of its own: a status code.
-_STATUS = re.compile(r"(?:\b|error|code|status)[45]\d\d\b", re.I)
+#: Words of English and of unaccented Vietnamese that hold sentences together; pseudo-language has none.
+FUNCTION_WORDS = frozenset("the a an of and is are was were to that by with on for if from be as at it or has have this these what why how when which can will you we i they he la va cua cac duoc khi cho nay de neu vao mot nhung trong voi khong co se da bi tu den".split())
+
+#: What a notice speaks of, what is wrong with it, what visitors are asked to do and to
+#: what, and what authors are asked to fill in. A notice joins two of these within one short sentence.
+THINGS = "page|pages|requests|network|response|upstream|cache|library|database|phản hồi|bộ nhớ đệm|mạng|số lượt|lượt tải|cơ sở dữ liệu|thư viện|site|website|server|service|system|file|document|resource|content|content you|address|url|link|request|session|token|account|connection|gateway|course|lesson|lecture|slides|video|viewer|player|preview|item|access|permission|something|nothing|đường dẫn|địa chỉ|trang|tệp|tập tin|máy chủ|dịch vụ|hệ thống|phiên|phiên làm việc|liên kết|tài liệu|tài nguyên|nội dung|yêu cầu|tài khoản|kết nối|khóa học|bài giảng|bài học|lượt truy cập|truy cập|quyền|mục này|chúng tôi|bạn".split("|")
+FAILURES = "not found|not be found|cannot be found|can't be found|couldn't find|could not find|does not exist|doesn't exist|never existed|not available|unavailable|not available yet|no longer|not be displayed|not be shown|not be loaded|not be opened|not be rendered|not be reached|cannot be shown|cannot be displayed|cannot be opened|cannot be reached|unable to|failed to|went wrong|gone wrong|an error|internal error|internal server error|bad gateway|gateway timeout|timed out|time out|in time|too many|denied|forbidden|not allowed|not authorized|unauthorized|not have permission|do not have access|expired|stale|missing|has moved|been moved|removed|deleted|under maintenance|maintenance|overloaded|is down|temporarily|rejected|invalid|tripped over|has been suspended|không tìm thấy|không tồn tại|không còn|không khả dụng|không truy cập được|không phản hồi|không thể mở|không thể tải|không thể hiển thị|không thể kết xuất|không thể truy cập|không thể kết nối|không thể xử lý|không có quyền|không được phép|không hợp lệ|bị từ chối|từ chối|bị chặn|hết hạn|hết hiệu lực|hết phiên|đã hết|gặp sự cố|sự cố|gặp lỗi|có lỗi|đã xảy ra lỗi|bảo trì|quá tải|tạm ngừng|tạm thời|bị gỡ|đã bị xóa|đã gỡ|đã chuyển|chưa mở|chưa sẵn sàng|chưa được chia sẻ|vượt quá|quá nhiều|rỗng".split("|")
+REQUESTS = "please|try again|retry|refresh|reload|return|go back|go to|use the|contact|report|quote|sign in|log in|login|wait|come back|vui lòng|xin hãy|hãy|thử lại|tải lại|làm mới|quay lại|quay về|trở về|liên hệ|báo cho|đăng nhập|chờ|đợi|gửi kèm".split("|")
+PLACES = "again|later|minutes|seconds|moment|home page|homepage|search|search box|support|help desk|helpdesk|administrator|admin|webmaster|browser|page|account|your instructor|view|continue|trang chủ|tìm kiếm|kỹ thuật|hỗ trợ|quản trị|trình duyệt|tài khoản|ít phút|sau vài|sau ít|lần sau|thử lại|tải lại trang|lại sau|phút nữa|giây nữa|để xem|để tiếp tục".split("|")
+FILLS = "replace|insert|add|enter|type|write|click|edit|your|sample|placeholder|dummy|example text|blank|empty|draft|goes here|go here|to be|coming soon|will appear|will be|not yet|under construction|layout|nhập|thêm|chèn|viết|điền|bấm|nhấn|thay|bản nháp|mẫu|giữ chỗ|đang|sẽ|chưa có|để trống|ghi chú".split("|")
+FILLED = "here|text|paragraph|block|title|heading|headline|caption|content|section|slide|image|picture|figure|biography|description|generated|unedited|edited|soon|later|now|purposes|announced|completed|added|updated|sentences|copy|đây|vị trí này|chỗ này|nội dung|tiêu đề|đoạn văn|đoạn|văn bản|hình|hình ảnh|mô tả|tiểu sử|cập nhật|bổ sung|thay bằng|hiện ở|soạn|biên tập|tự sinh|tự động|hoàn thiện|trang chiếu|mục này|phần này".split("|")
+SCRIPTING = "javascript|script|scripts|scripting|cookie|cookies|kịch bản".split("|")
+SWITCHES = "enable|enabled|disable|disabled|turn on|turned on|turn off|turned off|off|on|allow|allowed|accept|activate|block|blocked|require|requires|required|need|needs|must|bật|tắt|chặn|cho phép|cần|chấp nhận|yêu cầu|không chạy".split("|")
+BROWSER, CHECKS = "browser|trình duyệt".split("|"), "check|checks|checked|checking|verify|verifies|verifying|verification|kiểm tra|xác minh|xác nhận".split("|")
+#: Words that name a piece of syntax, and so what follows them is spoken about and not filled in.
+METALANGUAGE = "syntax|variable|expression|parameter|placeholder syntax|tag|tags|macro|template language|template engine|status code|cú pháp|biến|biểu thức|tham số|thẻ|khuôn mẫu|mã trạng thái|ký hiệu".split("|")
+#: Short lines that notices begin with, and lines that give a number to an error or a request.
+_CALLS = re.compile(r"^\W*(?:oops|uh-oh|sorry|notice|warning|error|rất tiếc|ôi không|thông báo|xin lỗi|lỗi)\W*$", re.I)
+_NUMBERED = re.compile(r"^\W*(?:(?:http|error|code|status|request|reference|incident|ref|ticket|id|mã|lỗi|yêu cầu|tham chiếu|thời điểm|ghi nhận|time|timestamp)\W+){0,4}(?:id\W*)?(?:[a-z]{1,3}-)?[0-9a-f:./T-]*\d[\w:./-]*(?:\W+(?:not found|forbidden|unauthorized|bad request|bad gateway|internal server error|service unavailable|gateway timeout|error|lỗi))?\W*$", re.I)
+_VALUE = re.compile(r"^\W*(?:\w+ ){0,3}\w+\s*:\s*\S*\d\S*(?: \S+){0,2}$")
+_CODE_GIVEN = re.compile(r"(?<![\d.,:])[45]\d\d(?![\d:]|[.,]\d)")
+_LABELLED = re.compile(r"\b(?:error|code|status|request|reference|incident|id|mã|lỗi|yêu cầu|(?<![\d.,:])[45]\d\d(?![\d:]|[.,]\d)|thời điểm)\b", re.I)
+
+#: Most words of a notice; a longer stretch without a sentence end is judged in pieces of so many words.
+SHORT, LONG, PIECE = 18, 30, 12
+
+
+def _any(words: list[str]) -> re.Pattern:
+    return re.compile(r"(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + r")(?!\w)")
+
+
+_PAIRS = [("script", _any(SCRIPTING), _any(SWITCHES)), ("script", _any(BROWSER), _any(CHECKS)), ("message", _any(THINGS), _any(FAILURES)), ("message", _any(REQUESTS), _any(PLACES)), ("filler", _any(FILLS), _any(FILLED))]
+_ABOUT = re.compile(_any(METALANGUAGE).pattern + r"[^\w{<\[$%#@«]*(?:\w+[^\w{<\[$%#@«]+){0,2}$", re.I)
+#: Strings one of which every notice, blank and strong placeholder holds.
+KEYS = sorted({*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme", *SCRIPTING, *CHECKS, *FAILURES, *REQUESTS, *FILLS})
+_STATUS = re.compile(r"\d")
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+|\n|$)")
 _CODE = re.compile(r"```.*?```|<code>.*?</code>|<pre>.*?</pre>|^[ \t]*(?:def |int |for |return |if |\})[^\n]*(?:\n[ \t]+\S[^\n]*)*", re.S | re.M)
@@ -150,22 +112,69 @@ def sentences(text: str) -> list[str]:
     return [s.strip() for s in _SENTENCE.findall(_LEADER.sub(" ", text)) if s.strip()]
 
 
-def _pseudo_latin(sentence: str) -> bool:
-    words = sentence.lower().rstrip(".!?").split()
-    return len(words) >= 2 and words[0] in FILLER_WORDS and sum(w.strip(",;:") in FILLER_WORDS for w in words) >= 0.8 * len(words)
+def pieces(sentence: str) -> list[str]:
+    """The sentence; one that is too long to be a single statement in pieces of some words."""
+    words = sentence.split()
+    if len(words) <= LONG:
+        return [sentence]
+    return [" ".join(words[i : i + PIECE]) for i in range(0, len(words), PIECE)]
+
+
+_VIETNAMESE = re.compile(r"(?:ngh|ch|gh|gi|kh|ng|nh|ph|qu|th|tr|[bcdghklmnprstvx])?(?:uye|uya|oai|oay|uay|uoi|ieu|yeu|uou|ia|ie|iu|oa|oe|oo|oi|ua|ue|ui|uo|uu|uy|ye|ai|ao|au|ay|eo|eu|[aeiouy])(?:ch|ng|nh|[cmnpt])?")
+_LATIN = re.compile(r"[a-z]+")
+
+
+@cache
+def known_words(path: str) -> frozenset[str]:
+    """Words that a public vocabulary holds as one token each."""
+    return frozenset(t[1:].decode() for t in load_ranks(path) if len(t) > 3 and t[:1] == b" " and t[1:].isalpha() and t[1:].isascii())
+
+
+def pseudo_language(sentence: str, path: str | None = None) -> bool:
+    """Whether a sentence consists of letter strings that only look like words.
+
+    No word holds it together, it isn't unaccented Vietnamese, and hardly any of its words outside
+    the usual filler is known to a public vocabulary.
+    """
+    if not sentence.isascii():
+        return False
+    words = [w.strip(".,;:!?\"'()").lower() for w in sentence.split()]
+    if len(words) < 2 or sum(len(w) <= 16 and _LATIN.fullmatch(w) is not None for w in words) < 0.9 * len(words):
+        return False
+    lorem = sum(w in LOREM for w in words)
+    rest = [w for w in words if w not in LOREM]
+    if any(w in FUNCTION_WORDS for w in rest):
+        return False
+    if lorem >= 0.8 * len(words):
+        return True
+    known = known_words(path or f"{VOCABULARY_DIR}/{VOCABULARY}")
+    strange = sum(w not in known and not _VIETNAMESE.fullmatch(w) for w in rest)
+    # Names stand in titles as well: filler runs on in one case after its first word.
+    plain = sentence.isupper() or sum(w[:1].islower() for w in sentence.split()[1:]) >= 0.8 * (len(words) - 1)
+    return plain and (strange >= 0.5 * len(words) or (lorem > 0 and strange + lorem >= 0.7 * len(words)))
 
 
 def residue_kind(sentence: str) -> str | None:
-    """placeholder, blank, filler, message or script; None for content and for talk about residue."""
+    """placeholder, blank, filler, message or script; None for content and for talk about syntax."""
     found = PLACEHOLDER.search(sentence)
-    if found or FILLER.search(sentence) or SCRIPTS.search(sentence) or MESSAGE.search(sentence):
-        if ABOUT.search(sentence):
-            return None
-        return "placeholder" if found else "filler" if FILLER.search(sentence) else "script" if SCRIPTS.search(sentence) else "message"
-    if _pseudo_latin(sentence):
+    if found:
+        return None if _ABOUT.search(sentence[: found.start()].lower()) else "placeholder"
+    low = sentence.lower()
+    n = len(low.split())
+    if n <= SHORT:
+        if _CALLS.match(low) or (n <= 8 and _LABELLED.search(low) and (_NUMBERED.match(low) or _VALUE.match(low) or _CODE_GIVEN.search(low))):
+            return "message"
+        if not _any_metalanguage.search(low):
+            for kind, one, other in _PAIRS:
+                # Two different words: one that stands on both lists isn't both.
+                if (a := one.search(low)) and any(b.end() <= a.start() or b.start() >= a.end() for b in other.finditer(low)):
+                    return kind
+    if pseudo_language(sentence):
         return "filler"
-    words = sentence.split()
-    return "blank" if BLANK.search(sentence) and len(words) <= 12 else None
+    return "blank" if BLANK.search(sentence) and n <= 12 else None
+
+
+_any_metalanguage = _any(METALANGUAGE)
 
 
 def _solid(text: str) -> int:
@@ -173,19 +182,19 @@ def _solid(text: str) -> int:
 
 
 def suspect(sentence: str, keys) -> bool:
-    """Whether a pattern may match; residue_kind is None where this is false."""
-    return bool(next(keys.iter(sentence.lower()), None) or _WEAK.search(sentence) or _STATUS.search(sentence) or _pseudo_latin(sentence))
+    """Whether a rule may hold; residue_kind is None where this is false."""
+    return bool(next(keys.iter(sentence.lower()), None) or _WEAK.search(sentence) or _STATUS.search(sentence) or _CALLS.match(sentence) or pseudo_language(sentence))
 
 
 def residue(text: str, keys, least: float = 0.0) -> tuple[float, str | None, int]:
     """Share of non-space characters in residue sentences, the most frequent kind, placeholders.
 
-    keys is the automaton; the patterns are tried on the sentences it finds something in. Where
-    even all of these together stay below the least share, the result is 0 at once.
+    keys is the automaton; the rules are tried on the sentences it finds something in. Where even
+    all of these together stay below the least share, the result is 0 at once.
     """
     kinds: dict[str, int] = {}
     code = {line.strip() for block in _CODE.findall(text) for line in block.split("\n")}
-    parts = sentences(text)
+    parts = [p for s in sentences(text) for p in ([s] if s in code else pieces(s))]
     sizes = list(map(_solid, parts))
     total = sum(sizes)
     tried = [(s, n) for s, n in zip(parts, sizes) if s not in code and suspect(s, keys)]
