@@ -93,7 +93,8 @@ def _any(words: list[str]) -> re.Pattern:
     return re.compile(r"(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + r")(?!\w)")
 
 
-_PAIRS = [("script", _any(SCRIPTING), _any(SWITCHES)), ("script", _any(BROWSER), _any(CHECKS)), ("message", _any(THINGS), _any(FAILURES)), ("message", _any(REQUESTS), _any(PLACES)), ("filler", _any(FILLS), _any(FILLED))]
+_FAILURE = _any(FAILURES)
+_PAIRS = [("script", _any(SCRIPTING), _any(SWITCHES)), ("script", _any(BROWSER), _any(CHECKS)), ("message", _any(THINGS), _FAILURE), ("message", _any(REQUESTS), _any(PLACES)), ("filler", _any(FILLS), _any(FILLED))]
 _ABOUT = re.compile(_any(METALANGUAGE).pattern + r"[^\w{<\[$%#@«]*(?:\w+[^\w{<\[$%#@«]+){0,2}$", re.I)
 #: Strings one of which every notice, blank and strong placeholder holds.
 KEYS = sorted({*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme", *SCRIPTING, *CHECKS, *FAILURES, *REQUESTS, *FILLS})
@@ -159,14 +160,16 @@ def residue_kind(sentence: str) -> str | None:
     found = PLACEHOLDER.search(sentence)
     if found:
         return None if _ABOUT.search(sentence[: found.start()].lower()) else "placeholder"
-    low = sentence.lower()
+    low = _ADDRESS.sub(" ", sentence.lower())
     n = len(low.split())
-    if n <= SHORT:
+    if 0 < n <= SHORT:
         if _CALLS.match(low) or (n <= 8 and _LABELLED.search(low) and (_NUMBERED.match(low) or _VALUE.match(low) or _CODE_GIVEN.search(low))):
             return "message"
         if not _any_metalanguage.search(low):
             for kind, one, other in _PAIRS:
                 # Two different words: one that stands on both lists isn't both.
+                if kind == "message" and n <= 5 and other is _FAILURE and other.search(low):
+                    return kind
                 if (a := one.search(low)) and any(b.end() <= a.start() or b.start() >= a.end() for b in other.finditer(low)):
                     return kind
     if pseudo_language(sentence):
@@ -175,6 +178,8 @@ def residue_kind(sentence: str) -> str | None:
 
 
 _any_metalanguage = _any(METALANGUAGE)
+#: Addresses and paths, whose words say nothing.
+_ADDRESS = re.compile(r"\S+://\S+|www\.\S+|\S+@\S+|\S*\w/\w+/\S*")
 
 
 def _solid(text: str) -> int:
