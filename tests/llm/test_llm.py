@@ -85,9 +85,9 @@ def test_p3_clean(spark):
     assert got["2"]["clean"] is None and got["3"]["clean"] == "" and got["4"]["clean"] == PROSE and got["4"]["n_html"] == 0
 
 
-def near(spark, texts, threshold=0.7):
+def near(spark, texts, threshold=0.7, **more):
     df = spark.createDataFrame([(f"n{i:03d}", t, i) for i, t in enumerate(texts)], "id string, text string, k1 int").repartition(3)
-    members, pairs = p4_near.near_classes(df, "id", "text", threshold)
+    members, pairs = p4_near.near_classes(df, "id", "text", threshold, **more)
     own = {r["id"]: (r["k1"], r["k2"]) for r in members.collect()}
     linked = {frozenset([(r["k1"], r["k2"]), (r["j1"], r["j2"])]) for r in pairs.collect()}
     return {(a, b) for a in own for b in own if a < b and (own[a] == own[b] or frozenset([own[a], own[b]]) in linked)}
@@ -104,6 +104,22 @@ def test_p4_against_brute_force(spark):
     sets = [{fold(w) for w in word_runs(t or "")} for t in texts]
     want = {(f"n{i:03d}", f"n{j:03d}") for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and a and b and len(a & b) >= 0.7 * len(a | b)}
     assert near(spark, texts) == want
+    assert near(spark, texts, leaf_pairs=64, shard=8) == want  # a deep tree, and leaves cut into shards
+
+
+def test_p4_tree_places_partners_in_reach():
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rnd.sample(words, rnd.randint(1, 30))) for _ in range(300)]
+    tree = p4_near.Tree(texts, 300, 0.7, leaf_pairs=900)
+    hashes, bounds = p4_near.word_sets(texts, p4_near.Memo(p4_near._hash))
+    leaf, visits = tree.places(hashes, bounds)
+    sets = [set(t.split()) for t in texts]
+    assert tree.leaves > 3 and len(set(leaf)) > 3
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if len(b) <= len(a) and len(a & b) >= 0.7 * len(a | b):
+                assert i in visits[leaf[j]]
 
 
 def test_p4_empty(spark):
