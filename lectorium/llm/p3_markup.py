@@ -1,10 +1,14 @@
 """Problem 3: markup left in page texts, and clean text that keeps structure.
 
-A text is read as containers, each with a generalised tag-class path (tag names and classes,
-without numbers and ids). Every page scores its containers; the scores are voted on per host
-(the source file that the pages come from) in Spark; then each text is extracted again, without
-the containers whose path lost the vote. Headings, lists, code, tables, quotes and formulas are
-kept whatever the vote; it decides on templates, categories, references and plain containers.
+A text is read as containers and pieces, each with a generalised tag-class path (tag names and
+classes, without numbers and ids; the kind, for other markup). Every page gives its ballots, which
+are added up per host (the source file that the pages come from) in Spark. For finding markup, a
+page speaks for a path with every piece of it, and against it with one that stands in a line of
+program code, where the signs of some kinds mean something else: a page is affected if it holds a
+piece of a path that won on its host. For clean text, containers are scored by what they hold; each
+text is extracted again, without the containers whose path lost. Headings, lists, code, tables,
+quotes and formulas are kept whatever the vote; it decides on templates, categories, references and
+plain containers.
 """
 
 from __future__ import annotations
@@ -17,7 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..operators.storage import kept
 from .arrow_text import slices, spread, table
 
 #: Names of HTML elements.
@@ -63,6 +69,9 @@ _PIECE = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PIECES.items()), re.S |
 #: Any of the characters without which no piece can begin.
 _POSSIBLE = re.compile(r"[<&\\$\[{'=#*_~`|>-]|\{\||^\s*\+\s", re.M)
 
+#: Hosts and losing paths up to which the outcome of the vote is sent to the tasks.
+MOST_BROADCAST_PATHS = 200_000
+
 _SINGLE = re.compile(r"<(/?)([abiqsu])>")
 _CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*["']?([\w -]+)""")
 _NAME = re.compile(r"</?\s*(\w+)")
@@ -306,6 +315,66 @@ def votes(df: DataFrame, text_col: str, host_col: str) -> DataFrame:
     return lost.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("losing"))
 
 
+#: Kinds whose signs also stand in program code, and what a line of code looks like.
+_UNSURE = frozenset("md_emphasis md_strong md_list md_quote md_rule tex_script tex_inline md_setext wiki_heading wiki_table".split())
+_CODE_LINE = re.compile(r"[;{}]\s*$|\w\([^()]*\)\s*[:;{]?\s*$|[=!<>]=|\+\+|->|::|^\s*(?:def|for|if|elif|while|return|int|float|import|print|class|public|private|void|var|let|const|#include)\b")
+
+
+def ballots(text: str) -> dict[str, int]:
+    """The paths of a page's pieces, each with the pieces that speak for it less those that speak against it."""
+    out: dict[str, int] = {}
+    stack: list[str] = []
+    for kind, begin, end in pieces(text):
+        path, value = kind, 1
+        if kind == "html_tag":
+            raw = text[begin:end]
+            step = _path(raw)
+            path = "html:" + ">".join([*stack[-3:], step])
+            if raw.startswith("</"):
+                name = step.split(".")[0]
+                while stack and stack.pop().split(".")[0] != name:
+                    pass
+            elif not raw.endswith("/>") and step.split(".")[0] in _BLOCK:
+                stack.append(step)
+        elif kind in _UNSURE:
+            stop = text.find("\n", end)
+            around = text[text.rfind("\n", 0, begin) + 1 : begin] + " " + text[end : stop if stop >= 0 else len(text)]
+            value = -1 if _CODE_LINE.search(around) else 1
+        out[path] = out.get(path, 0) + value
+    return out
+
+
+def marked(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """(id, host, paths array<struct<path, votes>>) of each text that holds a piece of markup.
+
+    Null and empty texts have no row; a null host counts as one host; repeated rows stay repeated;
+    other columns are ignored; texts are read once and whole, and don't leave their task.
+    """
+    paths = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("votes", T.LongType())]))
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("host", T.StringType()), T.StructField("paths", paths)])
+    kind = to_arrow_type(paths)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            at, found = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if text and (own := ballots(text)):
+                    at.append(i)
+                    found.append([{"path": k, "votes": v} for k, v in own.items()])
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), pa.array(found, kind)], names=schema.names)
+
+    return spread(df.select(F.col(id_col), F.col(text_col), F.coalesce(host_col, F.lit("")))).mapInArrow(run, schema)
+
+
+def affected(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """(id) of the pages that hold a piece of a path that won on their host; one row each."""
+    each = kept(marked(df, id_col, text_col, host_col)).select("id", "host", F.explode("paths").alias("p")).select("id", "host", "p.path", "p.votes")
+    # Added up before the shuffle; one row per path of a host is left, whatever the pages.
+    won = each.groupBy("host", "path").agg(F.sum("votes").alias("total")).where("total > 0").select("host", "path")
+    return each.join(won, ["host", "path"], "left_semi").select(F.col("id").alias(id_col)).distinct()
+
+
 def cleaned(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """(id, clean, n_html, n_md, n_wiki, n_tex, dropped array<string>) of every row.
 
@@ -313,9 +382,12 @@ def cleaned(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
     columns of df other than these three are ignored, whatever their names; texts are read whole.
     """
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(host_col, F.lit("")).alias("host"))
-    # One small row per host: broadcast by its size where that is known to be small, else a join
-    # in which a host that holds many rows is split by AQE.
-    joined = source.join(votes(source, "text", "host"), "host", "left").select("id", "text", "losing")
+    # One row per host with a losing path. Sent to the tasks if it is small, so that texts stay where
+    # they are; else joined, where AQE splits a host that holds many rows.
+    losing = kept(votes(source, "text", "host"))
+    size = losing.agg(F.count("*"), F.sum(F.size("losing"))).first()
+    losing = F.broadcast(losing) if size[0] + (size[1] or 0) <= MOST_BROADCAST_PATHS else losing
+    joined = source.join(losing, "host", "left").select("id", "text", "losing")
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("clean", T.StringType()), *(T.StructField(f"n_{k}", T.IntegerType()) for k in ("html", "md", "wiki", "tex")), T.StructField("dropped", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +409,7 @@ def cleaned(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = table(spark, sf_dir, "knowledge_base_qwen")
-    return nodes.select("id_", "text", F.regexp_replace("metadata.file_name", r"(?i)_(?:bai|chuong|lec|slide)?\d+.*$", "").alias("host"))
+    return nodes.select("id_", "text", F.regexp_replace("metadata.file_name", r"(?:[\s_.-]+\p{L}*\d+\p{L}*)*(?:\.\p{L}\w*)?$", "").alias("host"))
 
 
 def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,8 +418,7 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cleaned(_pages(spark, sf_dir), "id_", "text", "host").where(F.col("n_html") + F.col("n_md") + F.col("n_wiki") + F.col("n_tex") > 0)
-    return found.select("id_").distinct()
+    return affected(_pages(spark, sf_dir), "id_", "text", "host")
 
 
 def p3_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,15 @@ def test_p3_clean(spark):
     assert got["2"]["clean"] is None and got["3"]["clean"] == "" and got["4"]["clean"] == PROSE and got["4"]["n_html"] == 0
 
 
+def test_p3_found_by_the_vote(spark):
+    code = "y = f(x) *a* g(b);"
+    rows = [("1", code, "h"), ("2", code + "\n" + code, "h"), ("3", "một *từ* thôi", "h"), ("4", "một *từ* thôi", "i"), ("5", "một *từ* thôi", "i"), ("6", code, "i"), ("7", "<p>x</p>", "h"), ("7", "<p>x</p>", "h"), ("8", None, "h"), ("9", "", None), ("10", "<b>x</b>", None), ("11", PROSE, "h")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "id_ string, text string, host string, path string").repartition(3)
+    got = sorted(r["id_"] for r in p3_markup.affected(df, "id_", "text", "host").collect())
+    assert got == ["10", "4", "5", "6", "7"]  # emphasis lost on h, where mostly code speaks of it, and won on i
+    assert p3_markup.affected(df.limit(0), "id_", "text", "host").count() == 0
+
+
 def near(spark, texts, threshold=0.7, **more):
     df = spark.createDataFrame([(f"n{i:03d}", t, i) for i, t in enumerate(texts)], "id string, text string, k1 int").repartition(3)
     members, pairs = p4_near.near_classes(df, "id", "text", threshold, **more)
