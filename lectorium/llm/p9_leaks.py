@@ -6,7 +6,9 @@ slots: the passage stands there verbatim. Slots that differ, but each item value
 document value and the other way round: the question was re-parameterised.
 
 A word's type depends on the word alone (folded: no case, no accents), never on its context, so
-equal passages always have equal templates and no verbatim passage is lost.
+equal passages always have equal templates and no verbatim passage is lost. A word that no item has
+as a literal is a name only if it is written like one: where slots differ, both sides must begin with
+a capital, and at least one number, unit or name of the window must differ consistently.
 """
 
 from __future__ import annotations
@@ -77,23 +79,32 @@ def _begins_sentence(text: str, words: list[str], i: int) -> bool:
     return at < 0 or text[at - 1 : at] in ".!?"
 
 
-def compare(item: list[str], doc: list[str], codes: np.ndarray) -> str | None:
-    """What a window that has the item's template is: verbatim, reparameterised or nothing."""
+def compare(item: list[str], doc: list[str], codes: np.ndarray, item_caps: str, doc_caps: str) -> str | None:
+    """What a window that has the item's template is: verbatim, reparameterised or nothing.
+
+    item and doc are folded words; the caps say by '1' which of them begin with a capital.
+    """
     if item == doc:
         return "verbatim"
     if int((codes >= FIRST_WORD).sum()) < MIN_LITERAL:
         return None
     there: dict = {}
     back: dict = {}
-    for a, b, c in zip(item, doc, codes):
+    for a, b, c, up, doc_up in zip(item, doc, codes, item_caps, doc_caps):
         if c >= FIRST_WORD:
             if a != b:
                 return None
         elif there.setdefault((c, a), b) != b or back.setdefault((c, b), a) != a:
             return None
+        elif c == NAME and a != b and (up, doc_up) != ("1", "1"):
+            return None
     return "reparameterised"
 
 
+def capitals(words: list[str]) -> str:
+    return "".join("1" if w[:1].isupper() else "0" for w in words)
+
+
 def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, most_broadcast: int = MOST_BROADCAST_WINDOWS) -> DataFrame:
     """(doc id, item id, kind, n_windows): every document and item that share a window of twelve words.
 
@@ -113,13 +124,14 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
     template = Template([t for _, t in rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows: dict[int, list[tuple[object, list[str]]]] = {}
+        windows: dict[int, list[tuple[object, list[str], str]]] = {}
         for key, text in rows:
             own = word_runs(text)
             hashes = window_hashes(np.array([template.code(w) for w in own], np.int64))
+            caps = capitals(own)
             own = [fold(w) for w in own]
             for i, h in enumerate(hashes.tolist()):
-                windows.setdefault(h, []).append((key, own[i : i + WINDOW]))
+                windows.setdefault(h, []).append((key, own[i : i + WINDOW], caps[i : i + WINDOW]))
         known = np.array(sorted(windows), np.uint64)
         code = Memo(template.code)
         for batch in slices(batches):
@@ -136,9 +148,9 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
             rows_of = np.searchsorted(np.array(starts), hits, "right") - 1
             found: dict = {}
             for at, row in zip(hits, rows_of):
-                doc = [fold(w) for w in words[at : at + WINDOW]]
-                for key, own in windows[int(hashes[at])]:
-                    kind = compare(own, doc, codes[at : at + WINDOW])
+                doc, doc_caps = [fold(w) for w in words[at : at + WINDOW]], capitals(words[at : at + WINDOW])
+                for key, own, caps in windows[int(hashes[at])]:
+                    kind = compare(own, doc, codes[at : at + WINDOW], caps, doc_caps)
                     if kind:
                         n, best = found.get((int(row), key), (0, ""))
                         found[int(row), key] = (n + 1, max(best, kind))
@@ -180,7 +192,7 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
         texts = df.select(F.col(key).alias("id"), F.col(df.columns[1]).alias("text")).where(F.col("text").isNotNull()).distinct().withColumn("key", F.md5("text"))
         each = texts.select("key", "text").dropDuplicates(["key"]).mapInArrow(words_of("word", lambda t: {fold(w) for w in word_runs(t)}), "key string, word string")
         known = each.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["word", "salt"]).groupBy("key").agg(F.collect_list("word").alias("literal"))
-        out = T.StructType([T.StructField("h", T.LongType()), T.StructField(name, df.schema[key].dataType), T.StructField(f"{name}_key", T.StringType()), T.StructField(f"{name}_words", T.StringType()), T.StructField(f"{name}_types", T.StringType())])
+        out = T.StructType([T.StructField("h", T.LongType()), T.StructField(name, df.schema[key].dataType), T.StructField(f"{name}_key", T.StringType()), T.StructField(f"{name}_words", T.StringType()), T.StructField(f"{name}_types", T.StringType()), T.StructField(f"{name}_caps", T.StringType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import xxhash
@@ -188,9 +200,10 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
             folded = Memo(fold)
             number = Memo(lambda w: (xxhash.xxh3_64_intdigest(w) >> 2) + FIRST_WORD)
             for batch in slices(batches, 64):
-                h, at, runs, types = [], [], [], []
+                h, at, runs, types, caps = [], [], [], [], []
                 for i, (text, known) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                    words, literal = [folded[w] for w in word_runs(text)], set(known or ())
+                    written = word_runs(text)
+                    words, literal, upper = [folded[w] for w in written], set(known or ()), capitals(written)
                     kinds = [FIRST_WORD if w in literal else slot(w) for w in words]
                     plain = np.array([number[w] for w in words], np.int64)
                     kind = np.array(kinds, np.int64)
@@ -204,17 +217,18 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
                     runs += [" ".join(words[j : j + WINDOW]) for j in range(size)]
                     line = "".join(map(str, kinds))
                     types += [line[j : j + WINDOW] for j in range(size)]
+                    caps += [upper[j : j + WINDOW] for j in range(size)]
                 take = pa.array(at, pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(runs, pa.string()), pa.array(types, pa.string())], names=out.names)
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(runs, pa.string()), pa.array(types, pa.string()), pa.array(caps, pa.string())], names=out.names)
 
         windows = texts.join(known, "key", "left").select("id", "key", "text", "literal").mapInArrow(run, out)
         return windows.groupBy(*out.names).agg(F.count("*").alias(f"{name}_n"))
 
     @F.pandas_udf("string")
-    def kind(item: pd.Series, doc: pd.Series, types: pd.Series) -> pd.Series:
-        return pd.Series([compare(a.split(" "), b.split(" "), np.array(list(map(int, c)))) for a, b, c in zip(item, doc, types)], dtype=object)
+    def kind(item: pd.Series, doc: pd.Series, types: pd.Series, item_caps: pd.Series, doc_caps: pd.Series) -> pd.Series:
+        return pd.Series([compare(a.split(" "), b.split(" "), np.array(list(map(int, c))), *caps) for a, b, c, *caps in zip(item, doc, types, item_caps, doc_caps)], dtype=object)
 
-    joined = side(source, doc_id, "d").join(side(items, "item", "i"), "h").withColumn("kind", kind("i_words", "d_words", "d_types")).where(F.col("kind").isNotNull())
+    joined = side(source, doc_id, "d").join(side(items, "item", "i"), "h").withColumn("kind", kind("i_words", "d_words", "d_types", "i_caps", "d_caps")).where(F.col("kind").isNotNull())
     by_text = joined.groupBy(F.col("d").alias(doc_id), "d_key", F.col("i").alias(item_id)).agg(F.max("kind").alias("kind"), F.sum(F.col("d_n") * F.col("i_n")).alias("n_windows"))
     return by_text.groupBy(doc_id, item_id).agg(F.max("kind").alias("kind"), F.max("n_windows").alias("n_windows"))
 

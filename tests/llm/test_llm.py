@@ -334,6 +334,22 @@ def test_p9_both_ways_agree(spark):
     assert ways[0] == ways[1] and {(0, 1, "reparameterised")} <= {r[:3] for r in ways[0]}
 
 
+def test_p9_planted_and_similar(spark):
+    """Items of one kind, planted with other numbers and names, beside texts that only share their wording."""
+    rnd = random.Random(13)
+    name = lambda: "".join(rnd.choice(["Ka", "Zo", "Mir", "Del", "Tu"]) for _ in range(3))
+    frames = ["Một kho tại {a} chứa {x} kg gạo, kho tại {b} chứa {y} kg, hỏi sau {z} giờ kho nào còn nhiều gạo hơn nếu mỗi giờ bán hai bao", "A pump in {a} fills {x} litres per minute while the pump in {b} fills {y} litres, find how long both need for {z} tanks of the same size"]
+    made = lambda f: f.format(a=name(), b=name(), x=rnd.randint(2, 99), y=rnd.randint(100, 999), z=rnd.randint(1000, 9999))
+    items = [(i, made(frames[i % 2])) for i in range(6)]
+    planted = [made(frames[k % 2]) for k in range(30)]
+    other = {"kho": "nhà", "hơn": "kém", "bán": "mua", "pump": "pipe", "both": "each", "tanks": "jars"}
+    similar = [" ".join(other.get(w, w) for w in t.split()) if k % 3 else " ".join(w for i, w in enumerate(t.split()) if i % 4) for k, t in enumerate(made(frames[k % 2]) for k in range(30))]
+    frame = docs(spark, [*planted, *similar])
+    got = p9_leaks.leaks(frame, "doc_id", "text", spark.createDataFrame(items, "item_id long, text string"), "item_id", "text").collect()
+    found = {r["doc_id"] for r in got}
+    assert len(found & set(range(30))) >= 27 and len(found - set(range(30))) <= 3
+
+
 def test_p10(spark):
     texts = [
         "Chào mừng {{ten}} đến với học phần <TIÊU ĐỀ>.\nNội dung tóm tắt: @@topic@@.",
