@@ -334,17 +334,57 @@ def questions_valid(spark, d):
     return rows.select("id", F.posexplode(nodes.validate_questions(F.col("question_templates"), F.col("text"))).alias("place", "question"))
 
 
-@query()
+def _ranked(ts: str, by_first: bool) -> str:
+    """Distinct terms by falling frequency; ties by first place, or by the alphabet."""
+    at = f"list_position({ts}, x)" if by_first else "0"
+    return f"list_transform(list_sort(list_transform(list_distinct({ts}), lambda x: {{'n': -len(list_filter({ts}, lambda y: y = x)), 'at': {at}, 't': x}})), lambda z: z.t)"
+
+
+def _inferred(t: str, most: int) -> str:
+    pairs = f"list_transform(generate_series(1, len({t}) - 1), lambda i: {t}[i] || ' ' || {t}[i + 1])"
+    terms = f"list_concat({_ranked(pairs, True)}, {_ranked(f'list_filter({t}, lambda w: length(w) >= 3)', False)})"
+    return f"list_reduce({terms}, lambda a, x: CASE WHEN len(a.p) < {most} AND NOT list_has_any(a.seen, string_split(x, ' ')) THEN {{'p': list_append(a.p, x), 'seen': list_concat(a.seen, string_split(x, ' '))}} ELSE a END, {{'p': []::VARCHAR[], 'seen': []::VARCHAR[]}}).p"
+
+
+def _fit(k: str) -> str:
+    """Whether a keyword is valid."""
+    parts = sql.tokens(sql.match(k))
+    own = f"list_filter({parts}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)})"
+    syllable = f"(?:{L.SYLLABLE_STARTS})?(?:{L.SYLLABLE_CORES})(?:{L.SYLLABLE_ENDS})?"
+    noise = f"(length(w) <= 1 OR NOT regexp_matches(w, '[{L.VOWELS}]') OR (length(w) <= 6 AND NOT (length(w) >= 3 AND substring(w, 1, 3) IN {sql.in_list(L.ENGLISH_STARTS)}) AND NOT regexp_full_match(w, '{syllable}')))"
+    noisy = f"len(list_filter({own}, lambda w: {noise}))"
+    return f"(length(replace({k}, ' ', '')) >= 2 AND length(replace({sql.match(k)}, ' ', '')) >= 3 AND len({own}) > 0 AND {noisy} < len({own}) AND NOT (len({parts}) = 1 AND {noisy} > 0))"
+
+
+_TERMS = "list_filter({}, lambda t: length(t) >= 2 AND t NOT IN " + sql.in_list(L.STOPWORDS) + " AND NOT regexp_matches(t, '^[0-9]+$'))"
+_TOP_UP = "CASE WHEN len({h}) >= 3 THEN {h} ELSE list_concat({h}, list_filter({m}, lambda k: NOT list_contains({h}, k))[:greatest({n} - len({h}), 0)]) END"
+
+
+@query(f"""WITH {_NODE}, m AS (SELECT id, {sql.match('text')} AS norm, metadata.keywords AS kw, {_TERMS.format(sql.tokens(sql.match('text')))} AS t, {_TERMS.format(sql.tokens(sql.match("coalesce(metadata.topic, '')")))} AS tt FROM n WHERE text IS NOT NULL),
+i AS (SELECT id, norm, coalesce({_inferred('t', 5)}, []) AS own, coalesce({_inferred('tt', 3)}, []) AS top, list_transform(coalesce(kw, []), lambda k: {sql.spaces("coalesce(k, 'None')")}) AS given FROM m),
+g AS (SELECT *, list_filter(given, lambda k, j: k <> '' AND list_position(given, k) = j AND contains(norm, {sql.match('k')}) AND {_fit('k')}) AS h1 FROM i),
+h AS (SELECT *, {_TOP_UP.format(h='h1', m='own', n=5)} AS h2 FROM g), f AS (SELECT *, {_TOP_UP.format(h='h2', m='top', n=3)} AS h3 FROM h)
+SELECT id, array_to_string(own, ' | ') AS inferred, array_to_string(list_filter(list_transform(h3, lambda k: {sql.terms('k')}), lambda k: {_fit('k')})[:5], ' | ') AS keywords FROM f""")
 def keywords(spark, d):
     """Keywords of every node: given ones that are valid, topped up from the text and the topic."""
     rows = _nodes(spark, d).where(F.col("text").isNotNull())
-    return rows.select("id", nodes.infer_keywords(F.col("text")).alias("inferred"), nodes.validate_keywords(F.col("keywords"), F.col("text"), F.coalesce("topic", F.lit(""))).alias("keywords"))
+    joined = lambda c: F.array_join(c, " | ")
+    return rows.select("id", joined(nodes.infer_keywords(F.col("text"))).alias("inferred"), joined(nodes.validate_keywords(F.col("keywords"), F.col("text"), F.coalesce("topic", F.lit("")))).alias("keywords"))
 
 
-_QUOTE_W = f"list_filter({{}}, lambda w: w NOT IN {sql.in_list(L.STOPWORDS)})"
+_MEANT = "list_distinct(list_filter({}, lambda w: w NOT IN " + sql.in_list(L.STOPWORDS) + "))"
 
 
-@query()
+@query(f"""WITH s AS (SELECT doc_id, {sql.sentences('text')} AS p {_DOC}), d AS (SELECT doc_id, p, len(p) AS n, least(3, len(p)) AS size FROM s WHERE len(p) > 0),
+e AS (SELECT doc_id, n, size, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM d),
+k AS (SELECT doc_id, i, n, size, unnest({_MEANT.format(sql.tokens(sql.match('x')))}) AS w FROM e),
+o AS (SELECT doc_id, unnest({_MEANT.format(sql.tokens(sql.match('p[-1]')))}) AS w FROM d),
+v AS (SELECT o.doc_id, o.w, 1 / sqrt(greatest(count(k.i), 1)) AS weight FROM o LEFT JOIN k ON k.doc_id = o.doc_id AND k.w = o.w GROUP BY o.doc_id, o.w),
+t AS (SELECT doc_id, sum(weight) AS total FROM v GROUP BY doc_id),
+r AS (SELECT DISTINCT v.doc_id, v.w, v.weight, unnest(generate_series(greatest(1, k.i - size + 1), least(k.i, n - size + 1))) AS i FROM v JOIN k ON k.doc_id = v.doc_id AND k.w = v.w),
+c AS (SELECT r.doc_id, r.i, round(sum(r.weight) / any_value(t.total), 12) AS score FROM r JOIN t ON t.doc_id = r.doc_id GROUP BY r.doc_id, r.i),
+b AS (SELECT doc_id, i, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS place FROM c) WHERE place = 1)
+SELECT d.doc_id AS doc_id, CASE WHEN coalesce(b.score, 0) < 0.1 THEN '' ELSE substring({sql.spaces("array_to_string(d.p[b.i:b.i + d.size - 1], ' ')")}, 1, 700) END AS quote FROM d LEFT JOIN b ON b.doc_id = d.doc_id""")
 def source_quote(spark, d):
     """For every document: the run of sentences that best supports its last sentence."""
     docs = _documents(spark, d).withColumn("sents", text.sentences(F.col("text"))).where(F.size("sents") > 0)
@@ -594,6 +634,24 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     return pipelines.surviving_passages(_documents(spark, d))
 
 
-@query()
+def _survivors() -> str:
+    parts = "list_filter(CASE WHEN len(acc.cur) > 0 THEN list_append(acc.done, array_to_string(list_transform(acc.cur, lambda q: q.s), ' ')) ELSE acc.done END, lambda c: c <> '')"
+    return f"""WITH a AS (SELECT coalesce(course, '_root') AS course, doc_id, text, {_fold('text', 120, None, 0)} AS acc {_DOC}),
+b AS (SELECT course, doc_id, CASE WHEN len({sql.words('text')}) <= 120 THEN [text] ELSE {parts} END AS p FROM a),
+m AS (SELECT course, printf('%020d/%08d', doc_id, generate_subscripts(p, 1) - 1) AS place, unnest(p) AS text FROM b),
+n AS (SELECT *, {sql.match('text')} AS norm FROM m), j AS (SELECT *, {sql.tokens('norm')} AS t FROM n), judged AS (SELECT *, {_REASON} AS reason FROM j),
+c AS (SELECT course, norm, min(place) AS place FROM judged WHERE reason = 'keep' GROUP BY ALL),
+f AS (SELECT *, list_distinct({sql.tokens('norm')}) AS t, replace(norm, ' ', '') AS s FROM c),
+p AS (SELECT a.course, a.place AS i, b.place AS j, {sql.jaccard('a.t', 'b.t')} AS similarity, a.s AS sa, b.s AS sb FROM f a JOIN f b ON a.course = b.course AND a.place < b.place AND len(b.t) >= 0.6 * len(a.t) AND len(a.t) >= 0.6 * len(b.t) AND {sql.jaccard('a.t', 'b.t')} >= 0.65),
+g AS (SELECT *, list_distinct(list_transform(generate_series(1, greatest(length(sa) - 3, 1)), lambda x: substring(sa, x, 4))) AS ga, list_distinct(list_transform(generate_series(1, greatest(length(sb) - 3, 1)), lambda x: substring(sb, x, 4))) AS gb FROM p),
+links AS (SELECT course, i, j FROM g WHERE similarity >= 0.76 OR {sql.jaccard('ga', 'gb')} >= 0.82),
+before AS (SELECT f.course, f.place, coalesce(list(l.i) FILTER (l.i IS NOT NULL), []) AS nb FROM f LEFT JOIN links l ON l.course = f.course AND l.j = f.place GROUP BY ALL),
+folded AS (SELECT course, len(list_reduce(list({{'id': place, 'nb': nb}} ORDER BY place), lambda a, x: CASE WHEN list_has_any(a, x.nb) THEN a ELSE list_append(a, x.id) END, []::VARCHAR[])) AS kept FROM before GROUP BY course),
+all_kept AS (SELECT course, count(*) AS n FROM judged WHERE reason = 'keep' GROUP BY course)
+SELECT course, reason, count(*) AS n FROM judged WHERE reason <> 'keep' GROUP BY ALL
+UNION ALL SELECT course, 'duplicate', n - kept FROM all_kept JOIN folded USING (course) WHERE n > kept UNION ALL SELECT course, 'kept', kept FROM folded"""
+
+
+@query(_survivors())
 def surviving_passages(spark, d):
     return flagship(spark, d)
