@@ -457,12 +457,6 @@ def course_files(spark, d):
     return tables.read(spark, d, "documents").select(F.coalesce("course", F.lit("_root")).alias("course")).distinct().withColumn("path", documents.course_file(F.col("course")))
 
 
-@query()
-def nodes_e2e(spark, d):
-    """Transcripts to nodes, with the extractive stand-in for the model."""
-    return pipelines.transcript_nodes(_documents(spark, d)).select("course", "file_name", "id", "text", "topic", "category", "keywords", "has_code", "source_coverage")
-
-
 # ---- JSON
 
 _BROKEN = """b AS (SELECT id, '```json' || chr(10) || '[{"id": "' || id || '", "page": 1, "ok": true}, {"id": "' || substring(id, 1, 5) AS reply, 'Here: [{"id": "' || id || '",}, 5, {"ok": "yes"},] done' AS loose FROM (SELECT DISTINCT id FROM nodes))"""
@@ -629,6 +623,67 @@ def job_stream(spark, d):
     return run_to_end(spark, f"{d}/jobs.parquet").select("job_id", "status")
 
 
+_LOW = f"regexp_matches(z.k, {sql.any_pattern([*L.FILLERS, *L.LOW_INFO])})"
+_GRAMS = "list_distinct(list_transform(generate_series(1, greatest(length(replace({0}, ' ', '')) - 3, 1)), lambda i: substring(replace({0}, ' ', ''), i, 4)))"
+_CODE = """(regexp_matches(text, '(^|[^\\p{L}\\p{N}_])(def|class|return|for\\s+[\\p{L}\\p{N}_]+\\s+in|if\\s+[\\p{L}\\p{N}_]+|import)($|[^\\p{L}\\p{N}_])')
+OR (regexp_matches(text, '[{}<>]=?|==|!=') AND regexp_matches(text, '(^|[^\\p{L}\\p{N}_])[A-Za-z_][\\p{L}\\p{N}_]*\\s*\\(')))"""
+
+
+def _like(y: str, x: str, threshold: float) -> str:
+    same = sql.jaccard(f"{y}.t", f"{x}.t")
+    return f"({same} >= {threshold} OR ({same} >= 0.5 AND len({y}.top) > 0 AND len({x}.top) > 0 AND {sql.jaccard(f'{y}.top', f'{x}.top')} >= 0.8) OR ({same} >= 0.65 AND {sql.jaccard(f'{y}.g', f'{x}.g')} >= 0.82))"
+
+
+def _keyed(text: str, topic: str) -> str:
+    """What the near-duplicate rule needs of a node, as fields of a struct."""
+    norm = sql.match(text)
+    return f"'t': list_distinct({sql.tokens(norm)}), 'top': {_TOPIC.format(sql.tokens(sql.match(topic)))}, 'g': list_transform([{norm}], lambda nn: {_GRAMS.format('nn')})[1]"
+
+
+def _alike_gone(xs: str, threshold: float) -> str:
+    return f"list_reduce({xs}[2:], lambda a, x: CASE WHEN len(list_filter(a, lambda y: {_like('y', 'x', threshold)})) > 0 THEN a ELSE list_append(a, x) END, [{xs}[1]])"
+
+
+def _file_pass(p: str, source: str, least: int, most: int, shared: int, first: float, second: float) -> str:
+    """Tables p_file (course, f, xs): the nodes of each file of a source."""
+    joined = "array_to_string(list_transform(acc.cur, lambda q: q.s), ' ')"
+    chunks = f"list_filter(CASE WHEN len(acc.cur) > 0 THEN list_append(acc.done, {joined}) ELSE acc.done END, lambda c: c <> '')"
+    text = sql.punctuation("array_to_string(list_transform(list_filter(base, lambda z, i: z.k <> '' AND list_position(list_transform(base, lambda y: y.k), z.k) = i), lambda z: z.s), ' ')")
+    merged = sql.punctuation("(trim(a[-1].text) || '. ' || trim(x.text))")
+    return f"""{p}_a AS (SELECT course, f, {_fold('text', most, least, shared)} AS acc FROM {source}),
+{p}_b AS (SELECT course, f, {chunks} AS c FROM {p}_a), {p}_c AS (SELECT course, f, generate_subscripts(c, 1) - 1 AS chunk, unnest(c) AS c FROM {p}_b),
+{p}_d AS (SELECT course, f, chunk, {sql.sentences('c')} AS p, list_distinct({sql.tokens(sql.match('c'))}) AS src FROM {p}_c),
+{p}_e AS (SELECT *, unnest(generate_series(0, len(p) - 1, 6)) AS k FROM {p}_d WHERE len(p) > 0),
+{p}_r AS MATERIALIZED (SELECT course, f, chunk, k // 6 AS node, src, {sql.terms(sql.spaces("array_to_string(p[k + 1:k + 6], ' ')"))} AS raw FROM {p}_e), {p}_s AS MATERIALIZED (SELECT * EXCLUDE (raw), {sql.sentences('raw')} AS sents FROM {p}_r),
+{p}_f AS MATERIALIZED (SELECT * EXCLUDE (sents), list_transform(sents, lambda s: {{'s': s, 'k': {sql.match('s')}}}) AS q FROM {p}_s),
+{p}_g AS MATERIALIZED (SELECT * EXCLUDE (q), CASE WHEN len(list_filter(q, lambda z: z.k <> '' AND NOT {_LOW})) > 0 THEN list_filter(q, lambda z: z.k <> '' AND NOT {_LOW}) ELSE q END AS base FROM {p}_f),
+{p}_h AS MATERIALIZED (SELECT * EXCLUDE (base), {text} AS text FROM {p}_g), {p}_i AS MATERIALIZED (SELECT *, {sql.match('text')} AS norm FROM {p}_h), {p}_j AS (SELECT *, {sql.tokens('norm')} AS t FROM {p}_i),
+{p}_k AS (SELECT *, {_REASON} AS reason, {sql.containment('list_distinct(t)', 'src')} AS cover FROM {p}_j),
+{p}_l AS MATERIALIZED (SELECT *, substring({sql.sentences('text')}[1], 1, 120) AS topic FROM {p}_k WHERE reason = 'keep' AND len({sql.words('text')}) BETWEEN 28 AND 500 AND len(list_distinct(t)) >= 0.30 * len(t) AND cover >= 0.52),
+{p}_m AS MATERIALIZED (SELECT course, f, list({{'chunk': chunk, 'node': node, 'text': text, 'topic': topic, 'cover': cover, 'code': {_CODE}, 'norm': norm, 'n': len({sql.words('text')}), {_keyed('text', 'topic')}}} ORDER BY chunk, node) AS xs FROM {p}_l GROUP BY course, f),
+{p}_n AS MATERIALIZED (SELECT course, f, {_alike_gone('xs', first)} AS xs FROM {p}_m),
+{p}_o AS MATERIALIZED (SELECT course, f, CASE WHEN len(xs) <= 3 THEN xs ELSE list_reduce(xs[2:], lambda a, x: CASE WHEN (a[-1].n < 28 OR x.n < 28) AND a[-1].n + x.n <= 220 AND {sql.jaccard('a[-1].top', 'x.top')} >= 0.5
+  THEN list_append(a[:len(a) - 1], {{'chunk': a[-1].chunk, 'node': a[-1].node, 'text': {merged}, 'topic': a[-1].topic, 'cover': a[-1].cover, 'code': a[-1].code, 'norm': a[-1].norm, 'n': len({sql.words(merged)}), {_keyed(merged, 'a[-1].topic')}}}) ELSE list_append(a, x) END, [xs[1]]) END AS xs FROM {p}_n),
+{p}_file AS MATERIALIZED (SELECT course, f, {_alike_gone('xs', second)} AS xs FROM {p}_o)"""
+
+
+@query(f"""WITH src AS (SELECT coalesce(course, '_root') AS course, coalesce(file_name, '') || '/' || CAST(doc_id AS VARCHAR) AS f, text {_DOC}), {_file_pass('low', 'src', 900, 1400, 70, 0.76, 0.76)},
+poor AS (SELECT src.* FROM src LEFT JOIN low_file l ON l.course = src.course AND l.f = src.f WHERE len({sql.words('src.text')}) >= 500 AND coalesce(len(l.xs), 0) <= 1), {_file_pass('more', 'poor', 300, 700, 70, 0.88, 0.86)},
+picked AS (SELECT coalesce(l.course, m.course) AS course, coalesce(l.f, m.f) AS f, CASE WHEN coalesce(len(m.xs), 0) > coalesce(len(l.xs), 0) THEN m.xs ELSE l.xs END AS xs FROM low_file l FULL JOIN more_file m ON m.course = l.course AND m.f = l.f),
+nodes_of AS (SELECT course, f, unnest(xs) AS x FROM picked), placed AS MATERIALIZED (SELECT course, f, x, f || chr(1) || printf('%08d', x.chunk) || chr(1) || printf('%08d', x.node) AS place FROM nodes_of),
+pair AS (SELECT a.course, a.place AS i, b.place AS j FROM placed a JOIN placed b ON a.course = b.course AND a.place < b.place AND len(b.x.t) >= 0.5 * len(a.x.t) AND len(a.x.t) >= 0.5 * len(b.x.t) AND {_like('a.x', 'b.x', 0.76)}),
+before AS (SELECT q.course, q.place, coalesce(list(l.i) FILTER (l.i IS NOT NULL), []) AS nb FROM placed q LEFT JOIN pair l ON l.course = q.course AND l.j = q.place GROUP BY ALL),
+folded AS (SELECT course, list_reduce(list({{'id': place, 'nb': nb}} ORDER BY place), lambda a, z: CASE WHEN list_has_any(a, z.nb) THEN a ELSE list_append(a, z.id) END, []::VARCHAR[]) AS kept FROM before GROUP BY course),
+stay AS (SELECT course, unnest(kept) AS place FROM folded),
+done AS (SELECT q.course, q.f, q.x.chunk AS chunk, q.x.node AS node, q.x.text AS text, q.x.topic AS topic, q.x.code AS code, q.x.cover AS cover, {_TERMS.format(sql.tokens('q.x.norm'))} AS t, {_TERMS.format(sql.tokens(sql.match('q.x.topic')))} AS tt FROM placed q JOIN stay ON stay.course = q.course AND stay.place = q.place),
+h AS (SELECT *, coalesce({_inferred('t', 5)}, []) AS h2, coalesce({_inferred('tt', 3)}, []) AS top FROM done), k AS (SELECT *, {_TOP_UP.format(h='h2', m='top', n=3)} AS h3 FROM h)
+SELECT course, f AS file_name, sha256(course || chr(1) || f || chr(1) || chunk || chr(1) || node || chr(1) || '0') AS id, text, topic, 'Theory' AS category, array_to_string(list_filter(list_transform(h3, lambda k: {sql.terms('k')}), lambda k: {_fit('k')})[:5], ' | ') AS keywords, code AS has_code, round(cover, 3) AS source_coverage FROM k""")
+def nodes_e2e(spark, d):
+    """Transcripts to nodes, with the extractive stand-in for the model."""
+    found = pipelines.transcript_nodes(_documents(spark, d))
+    return found.select("course", "file_name", "id", "text", "topic", "category", F.array_join("keywords", " | ").alias("keywords"), "has_code", F.round("source_coverage", 3).alias("source_coverage"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """By course and reason: passages of transcripts that are dropped or kept, and those left after near-duplicates."""
     return pipelines.surviving_passages(_documents(spark, d))
