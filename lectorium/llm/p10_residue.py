@@ -8,7 +8,7 @@ that is named as syntax, is discounted. A document is residue if most of its cha
 such sentences, so that real content with some such lines, or speech that mentions them, is none;
 speech without sentence ends is judged in pieces, so that a mention doesn't take in what is around it.
 
-An Aho-Corasick automaton over strings that the rules can't do without passes over most sentences.
+An Aho-Corasick automaton finds the words of all sorts in one walk over a sentence.
 """
 
 from __future__ import annotations
@@ -89,16 +89,41 @@ _LABELLED = re.compile(r"\b(?:error|code|status|request|reference|incident|id|m
 SHORT, LONG, PIECE = 18, 30, 12
 
 
-def _any(words: list[str]) -> re.Pattern:
-    return re.compile(r"(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + r")(?!\w)")
+#: The two sorts of words that a notice joins, by its kind, in the order in which they are tried.
+_PAIRS = [("script", SCRIPTING, SWITCHES), ("script", BROWSER, CHECKS), ("message", THINGS, FAILURES), ("message", REQUESTS, PLACES), ("filler", FILLS, FILLED)]
+_SORTS = [*(sort for _, *two in _PAIRS for sort in two), METALANGUAGE]
+_BITS = [(kind, 1 << 2 * i, 2 << 2 * i) for i, (kind, *_) in enumerate(_PAIRS)]
+_META_BIT, _FAILURE_BIT = 1 << 2 * len(_PAIRS), 2 << 2 * 2
+_MARKS = re.compile(r"[{<\[$%#@«_]")
+_ABOUT = re.compile(r"(?<!\w)(?:" + "|".join(sorted(METALANGUAGE, key=len, reverse=True)) + r")(?!\w)[^\w{<\[$%#@«]*(?:\w+[^\w{<\[$%#@«]+){0,2}$", re.I)
+
+
+@cache
+def automaton():
+    """One automaton over the words of all sorts; each is found with its length and the sorts it belongs to."""
+    import ahocorasick
+
+    sorts: dict[str, int] = {}
+    for i, words in enumerate(_SORTS):
+        for w in words:
+            sorts[w] = sorts.get(w, 0) | 1 << i
+    a = ahocorasick.Automaton()
+    for w, bits in sorts.items():
+        a.add_word(w, (len(w), bits))
+    a.make_automaton()
+    return a
+
+
+def words_of_sorts(low: str) -> list[tuple[int, int, int]]:
+    """(begin, end, sorts) of the whole words of any sort in a text in lower case."""
+    out = []
+    for last, (n, bits) in automaton().iter(low):
+        begin, end = last - n + 1, last + 1
+        if (begin == 0 or not (low[begin - 1].isalnum() or low[begin - 1] == "_")) and (end == len(low) or not (low[end].isalnum() or low[end] == "_")):
+            out.append((begin, end, bits))
+    return out
 
 
-_FAILURE = _any(FAILURES)
-_PAIRS = [("script", _any(SCRIPTING), _any(SWITCHES)), ("script", _any(BROWSER), _any(CHECKS)), ("message", _any(THINGS), _FAILURE), ("message", _any(REQUESTS), _any(PLACES)), ("filler", _any(FILLS), _any(FILLED))]
-_ABOUT = re.compile(_any(METALANGUAGE).pattern + r"[^\w{<\[$%#@«]*(?:\w+[^\w{<\[$%#@«]+){0,2}$", re.I)
-#: Strings one of which every notice, blank and strong placeholder holds.
-KEYS = sorted({*STRONG, "____", "......", "……", "xxxx", "todo", "tbd", "fixme", *SCRIPTING, *CHECKS, *FAILURES, *REQUESTS, *FILLS})
-_STATUS = re.compile(r"\d")
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+|\n|$)")
 _CODE = re.compile(r"```.*?```|<code>.*?</code>|<pre>.*?</pre>|^[ \t]*(?:def |int |for |return |if |\})[^\n]*(?:\n[ \t]+\S[^\n]*)*", re.S | re.M)
@@ -139,13 +164,13 @@ def pseudo_language(sentence: str, path: str | None = None) -> bool:
     """
     if not sentence.isascii():
         return False
-    words = [w.strip(".,;:!?\"'()").lower() for w in sentence.split()]
-    if len(words) < 2 or sum(len(w) <= 16 and _LATIN.fullmatch(w) is not None for w in words) < 0.9 * len(words):
+    words = [w.strip(".,;:!?\"'()") for w in sentence.lower().split()]
+    if len(words) < 2 or not FUNCTION_WORDS.isdisjoint(words):
+        return False
+    if sum(len(w) <= 16 and _LATIN.fullmatch(w) is not None for w in words) < 0.9 * len(words):
         return False
     lorem = sum(w in LOREM for w in words)
     rest = [w for w in words if w not in LOREM]
-    if any(w in FUNCTION_WORDS for w in rest):
-        return False
     if lorem >= 0.8 * len(words):
         return True
     known = known_words(path or f"{VOCABULARY_DIR}/{VOCABULARY}")
@@ -157,72 +182,65 @@ def pseudo_language(sentence: str, path: str | None = None) -> bool:
 
 def residue_kind(sentence: str) -> str | None:
     """placeholder, blank, filler, message or script; None for content and for talk about syntax."""
-    found = PLACEHOLDER.search(sentence)
-    if found:
+    if _MARKS.search(sentence) and (found := PLACEHOLDER.search(sentence)):
         return None if _ABOUT.search(sentence[: found.start()].lower()) else "placeholder"
-    low = _ADDRESS.sub(" ", sentence.lower())
-    n = len(low.split())
-    if 0 < n <= SHORT:
-        if _CALLS.match(low) or (n <= 8 and _LABELLED.search(low) and (_NUMBERED.match(low) or _VALUE.match(low) or _CODE_GIVEN.search(low))):
-            return "message"
-        if not _any_metalanguage.search(low):
-            for kind, one, other in _PAIRS:
-                # Two different words: one that stands on both lists isn't both.
-                if kind == "message" and n <= 5 and other is _FAILURE and other.search(low):
-                    return kind
-                if (a := one.search(low)) and any(b.end() <= a.start() or b.start() >= a.end() for b in other.finditer(low)):
-                    return kind
+    n = sentence.count(" ") + 1
+    if n <= 2 * SHORT:
+        low = sentence.lower()
+        if "/" in low or "@" in low or "www." in low:
+            low = _ADDRESS.sub(" ", low)
+        n = len(low.split())
+        if 0 < n <= SHORT:
+            if n <= 8 and (_CALLS.match(low) or (_DIGIT.search(low) and _LABELLED.search(low) and (_NUMBERED.match(low) or _VALUE.match(low) or _CODE_GIVEN.search(low)))):
+                return "message"
+            if kind := notice(low, n):
+                return kind
     if pseudo_language(sentence):
         return "filler"
-    return "blank" if BLANK.search(sentence) and n <= 12 else None
-
-
-_any_metalanguage = _any(METALANGUAGE)
+    return "blank" if n <= 12 and BLANK.search(sentence) else None
+
+
+def notice(low: str, n: int) -> str | None:
+    """The kind of a notice of n words in lower case; None where it names syntax or joins nothing."""
+    hits = words_of_sorts(low)
+    sorts = 0
+    for _, _, bits in hits:
+        sorts |= bits
+    if not sorts or sorts & _META_BIT:
+        return None
+    for kind, one, other in _BITS:
+        if other == _FAILURE_BIT and n <= 5 and sorts & other:
+            return kind
+        # Two different words: one that stands on both lists isn't both.
+        if sorts & one and sorts & other and any(x & one and y & other and (b <= c or d <= a) for a, b, x in hits for c, d, y in hits):
+            return kind
+    return None
+
+
+_DIGIT = re.compile(r"\d")
 #: Addresses and paths, whose words say nothing.
 _ADDRESS = re.compile(r"\S+://\S+|www\.\S+|\S+@\S+|\S*\w/\w+/\S*")
 
 
 def _solid(text: str) -> int:
-    return len(_SPACE.sub("", text))
-
-
-def suspect(sentence: str, keys) -> bool:
-    """Whether a rule may hold; residue_kind is None where this is false."""
-    return bool(next(keys.iter(sentence.lower()), None) or _WEAK.search(sentence) or _STATUS.search(sentence) or _CALLS.match(sentence) or pseudo_language(sentence))
-
+    return len("".join(text.split()))
 
-def residue(text: str, keys, least: float = 0.0) -> tuple[float, str | None, int]:
-    """Share of non-space characters in residue sentences, the most frequent kind, placeholders.
 
-    keys is the automaton; the rules are tried on the sentences it finds something in. Where even
-    all of these together stay below the least share, the result is 0 at once.
-    """
+def residue(text: str) -> tuple[float, str | None, int]:
+    """Share of non-space characters in residue sentences, the most frequent kind, placeholders."""
     kinds: dict[str, int] = {}
     code = {line.strip() for block in _CODE.findall(text) for line in block.split("\n")}
     parts = [p for s in sentences(text) for p in ([s] if s in code else pieces(s))]
     sizes = list(map(_solid, parts))
     total = sum(sizes)
-    tried = [(s, n) for s, n in zip(parts, sizes) if s not in code and suspect(s, keys)]
-    if not total or sum(n for _, n in tried) < least * total:
-        return 0.0, None, 0
-    for s, n in tried:
-        if kind := residue_kind(s):
+    for s, n in zip(parts, sizes):
+        if s not in code and (kind := residue_kind(s)):
             kinds[kind] = kinds.get(kind, 0) + n
     if not kinds:
         return 0.0, None, 0
     return sum(kinds.values()) / total, max(kinds, key=lambda k: (kinds[k], k)), len(PLACEHOLDER.findall(text))
 
 
-def automaton():
-    import ahocorasick
-
-    a = ahocorasick.Automaton()
-    for k in KEYS:
-        a.add_word(k, True)
-    a.make_automaton()
-    return a
-
-
 def residue_of(df: DataFrame, id_col: str, text_col: str, least: float = 0.0) -> DataFrame:
     """(id, share, kind, n_placeholders) of each text that holds residue, from a share of least on.
 
@@ -232,12 +250,11 @@ def residue_of(df: DataFrame, id_col: str, text_col: str, least: float = 0.0) ->
     schema = T.StructType([df.schema[id_col], T.StructField("share", T.DoubleType()), T.StructField("kind", T.StringType()), T.StructField("n_placeholders", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = automaton()
         for batch in slices(batches):
             at, rows = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 if text:
-                    share, kind, n = residue(text, keys, least)
+                    share, kind, n = residue(text)
                     if kind and share >= least:
                         at.append(i)
                         rows.append((share, kind, n))

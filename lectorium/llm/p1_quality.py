@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.storage import kept
 from .arrow_text import Memo, slices, spread, table
-from .p10_residue import automaton, residue_kind, suspect
+from .p10_residue import residue_kind
 
 MIN_SHARE = 0.5
 #: Score from which a unit lies in the tail, and the weight of each statistic's z in it.
@@ -86,13 +86,18 @@ _CELL = re.compile(r"\||\t|(?<=\S) {2,}(?=\S)|[;,](?=\S)")
 
 def _marks(text: str, words: int) -> float:
     """How much a line looks like an entry, a row or a record."""
-    cells = len(_CELL.findall(text))
-    return 0.5 * bool(_BULLET.match(text)) + 2.0 * bool(_LEADER.search(text)) + (min(cells, 6) / 2 if cells >= 2 else 0.0) + (words <= 8 and bool(_RECORD.match(text)))
+    out = 0.5 * bool(_BULLET.match(text))
+    if "…" in text or text.count(".") >= 4:
+        out += 2.0 * bool(_LEADER.search(text))
+    if "," in text or "|" in text or "  " in text or ";" in text or "\t" in text:
+        cells = len(_CELL.findall(text))
+        out += min(cells, 6) / 2 if cells >= 2 else 0.0
+    return out + (words <= 8 and (":" in text or "=" in text) and bool(_RECORD.match(text)))
 
 
 def _alien(text: str, size: int) -> float:
     """Share of links, bare times and wrongly decoded characters."""
-    n = size if _TIMES.match(text) else 0
+    n = size if text[:8].strip()[:1] in "0123456789[(<-–" and _TIMES.match(text) else 0
     if "http" in text or "www." in text or "@" in text:
         n += sum(map(len, _LINK.findall(text)))
     if not text.isascii():
@@ -137,7 +142,6 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = automaton()
         strange = Memo(_odd)
         for batch in slices(batches, 512):
             rows = []
@@ -153,7 +157,7 @@ def measured(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     marks, alien = _marks(part, n), _alien(part, size)
                     # Residue is only looked for where a unit might be in the tail.
                     plain = n >= 4 and common >= 0.25 * n and letters >= 0.85 * size and not marks and not alien
-                    residue = not plain and not _LEADER.search(part) and suspect(part, keys) and residue_kind(part) is not None
+                    residue = not plain and marks < 2 and residue_kind(part) is not None
                     counts.append((n, common, not _END.search(part), letters))
                     values.append((size, letters / size, sum(map(strange.__getitem__, tokens)) / len(tokens), marks, alien, _sentence_form(part, n), residue))
                 c = np.array(counts, np.int64)
