@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.storage import kept
 from .arrow_text import Memo, fold, slices, spread, table, word_runs
 
 WINDOW = 12
@@ -32,6 +33,8 @@ MOST_BROADCAST_WINDOWS = 1_000_000
 
 #: Places that a word's row is sent to where texts are joined with the literal words.
 SALTS = 32
+#: Bits of the filter of item windows that documents are read against before the join (16 MB, whatever the list).
+FILTER_BITS = 1 << 27
 
 #: Units of measure, folded.
 UNITS = frozenset("kg g mg km m cm mm nm l ml s ms h v w kw hz khz mhz gb mb kb giay phut gio met lit gam kilogam seconds second minutes minute hours hour metres metre meters meter litres liters grams percent dong vnd usd".split())
@@ -164,6 +167,34 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
     return found.groupBy(doc_id, item_id).agg(F.max("kind").alias("kind"), F.max("n_windows").alias("n_windows"))
 
 
+def _bits_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each window hash in the filter."""
+    u = h.view(np.uint64)
+    return (u % np.uint64(FILTER_BITS)).astype(np.int64), ((u >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def window_filter(windows: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column h: bytes of fixed number, put together from one part of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            for at in _bits_of(batch.column(0).to_numpy()):
+                bits[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["b"])
+
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in windows.select("h").coalesce(8).mapInArrow(run, "b binary").toLocalIterator():
+        out |= np.frombuffer(row["b"], np.uint8)
+    return out
+
+
+def may_hold(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each hash; never false for one that it was made of."""
+    one, two = _bits_of(h)
+    return (bits[one >> 3] >> (7 - (one & 7)) & 1).astype(bool) & (bits[two >> 3] >> (7 - (two & 7)) & 1).astype(bool)
+
+
 def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id: str, schema: T.StructType) -> DataFrame:
     """The same rows as by broadcast, both sides being joined by hash.
 
@@ -188,7 +219,7 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
     # Frequent words are in almost every text, so each goes to SALTS places.
     salted = vocabulary.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    def side(df: DataFrame, key: str, name: str) -> DataFrame:
+    def side(df: DataFrame, key: str, name: str, bits: np.ndarray | None = None) -> DataFrame:
         texts = df.select(F.col(key).alias("id"), F.col(df.columns[1]).alias("text")).where(F.col("text").isNotNull()).distinct().withColumn("key", F.md5("text"))
         each = texts.select("key", "text").dropDuplicates(["key"]).mapInArrow(words_of("word", lambda t: {fold(w) for w in word_runs(t)}), "key string, word string")
         known = each.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["word", "salt"]).groupBy("key").agg(F.collect_list("word").alias("literal"))
@@ -212,12 +243,14 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
                     if not size:
                         continue
                     count = np.convolve(kind == FIRST_WORD, np.ones(WINDOW, np.int64), "valid")
-                    h += np.where(count < MIN_LITERAL, by_words, by_template).astype(np.int64).tolist()
-                    at += [i] * size
-                    runs += [" ".join(words[j : j + WINDOW]) for j in range(size)]
+                    own = np.where(count < MIN_LITERAL, by_words, by_template).view(np.int64)
+                    places = range(size) if bits is None else np.flatnonzero(may_hold(bits, own)).tolist()
+                    h += own[list(places)].tolist()
+                    at += [i] * len(places)
+                    runs += [" ".join(words[j : j + WINDOW]) for j in places]
                     line = "".join(map(str, kinds))
-                    types += [line[j : j + WINDOW] for j in range(size)]
-                    caps += [upper[j : j + WINDOW] for j in range(size)]
+                    types += [line[j : j + WINDOW] for j in places]
+                    caps += [upper[j : j + WINDOW] for j in places]
                 take = pa.array(at, pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(0).take(take), batch.column(1).take(take), pa.array(runs, pa.string()), pa.array(types, pa.string()), pa.array(caps, pa.string())], names=out.names)
 
@@ -228,7 +261,9 @@ def _leaks_by_shuffle(source: DataFrame, doc_id: str, items: DataFrame, item_id:
     def kind(item: pd.Series, doc: pd.Series, types: pd.Series, item_caps: pd.Series, doc_caps: pd.Series) -> pd.Series:
         return pd.Series([compare(a.split(" "), b.split(" "), np.array(list(map(int, c))), *caps) for a, b, c, *caps in zip(item, doc, types, item_caps, doc_caps)], dtype=object)
 
-    joined = side(source, doc_id, "d").join(side(items, "item", "i"), "h").withColumn("kind", kind("i_words", "d_words", "d_types", "i_caps", "d_caps")).where(F.col("kind").isNotNull())
+    # Only windows that some item may have leave the task that read them.
+    of_items = kept(side(items, "item", "i"))
+    joined = side(source, doc_id, "d", window_filter(of_items)).join(of_items, "h").withColumn("kind", kind("i_words", "d_words", "d_types", "i_caps", "d_caps")).where(F.col("kind").isNotNull())
     by_text = joined.groupBy(F.col("d").alias(doc_id), "d_key", F.col("i").alias(item_id)).agg(F.max("kind").alias("kind"), F.sum(F.col("d_n") * F.col("i_n")).alias("n_windows"))
     return by_text.groupBy(doc_id, item_id).agg(F.max("kind").alias("kind"), F.max("n_windows").alias("n_windows"))
 
