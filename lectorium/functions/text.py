@@ -102,6 +102,11 @@ def tokens(norm: Column) -> Column:
     return F.filter(F.split(norm, " "), lambda w: w != "")
 
 
+def keyword_tokens(norm: Column) -> Column:
+    """Tokens of two letters or more that aren't stop words or numbers."""
+    return F.filter(tokens(norm), lambda t: (F.length(t) >= 2) & ~t.isin(*L.STOPWORDS) & ~t.rlike("^[0-9]+$"))
+
+
 def token_set(norm: Column) -> Column:
     return F.array_distinct(tokens(norm))
 

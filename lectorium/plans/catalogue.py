@@ -126,14 +126,14 @@ def char_ngrams(spark, d):
 
 
 @query(f"""WITH n AS (SELECT doc_id, list_filter({sql.tokens(sql.match('text'))}, lambda t: length(t) >= 2 AND t NOT IN {sql.in_list(L.STOPWORDS)} AND NOT regexp_matches(t, '^[0-9]+$')) AS t {_DOC}),
-b AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1])) AS bigram FROM n WHERE len(t) > 1),
-c AS (SELECT doc_id, bigram, count(*) AS n FROM b GROUP BY ALL)
-SELECT doc_id, bigram, n, r FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, bigram) AS r FROM c) WHERE r <= 5""")
+b AS (SELECT doc_id, list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1]) AS p FROM n WHERE len(t) > 1),
+e AS (SELECT doc_id, unnest(p) AS bigram, generate_subscripts(p, 1) AS i FROM b), c AS (SELECT doc_id, bigram, count(*) AS n, min(i) AS first FROM e GROUP BY doc_id, bigram)
+SELECT doc_id, bigram, n, r FROM (SELECT doc_id, bigram, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS r FROM c) WHERE r <= 5""")
 def bigram_top(spark, d):
-    """The five most frequent pairs of words of each document."""
-    pairs = _documents(spark, d).select("doc_id", F.explode(text.let(nodes.keyword_tokens(text.match_form(F.col("text"))), text.bigrams)).alias("bigram"))
-    ranked = F.row_number().over(tables.window(["doc_id"], [F.col("n").desc(), F.col("bigram")]))
-    return pairs.groupBy("doc_id", "bigram").agg(F.count("*").alias("n")).withColumn("r", ranked).where("r <= 5")
+    """The five most frequent pairs of words of each document; ties by first place."""
+    pairs = _documents(spark, d).select("doc_id", F.posexplode(text.let(text.keyword_tokens(text.match_form(F.col("text"))), text.bigrams)).alias("at", "bigram"))
+    ranked = F.row_number().over(tables.window(["doc_id"], [F.col("n").desc(), F.col("first")]))
+    return pairs.groupBy("doc_id", "bigram").agg(F.count("*").alias("n"), F.min("at").alias("first")).withColumn("r", ranked).where("r <= 5").drop("first")
 
 
 # ---- segments
