@@ -255,7 +255,8 @@ def _similar(own: DataFrame, group: list[str], threshold: float, hot: int = HOT_
     for r in seen:
         counts[r["bucket"]] = r["count"]
     words = min(threshold, passages.SOFT)
-    cand = _met(kept(_postings(own, group, "tok", words, counts, _FACTS)), [*group, "w"], group, _can_agree(words), hot)
+    # What two nodes may meet at: a rare word of their texts, or one of their topics with nothing or a rare word.
+    meet = _postings(own, group, "tok", words, counts, _FACTS).select(*group, "o", *_FACTS, "w", F.lit(0).cast("long").alias("v"), F.lit(False).alias("by_topic"))
     topics = own.where(F.size("top") > 0)
     if not topics.isEmpty():
         rare = kept(_postings(topics, group, "top", passages.TOPIC_LEAST, counts, _FACTS))
@@ -263,7 +264,9 @@ def _similar(own: DataFrame, group: list[str], threshold: float, hot: int = HOT_
         alone = rare.join(often, [*group, "w"], "left_anti").withColumn("v", F.lit(0).cast("long"))
         within = _postings(topics, group, "tok", passages.TOPIC_SOFT, counts, []).withColumnRenamed("w", "v")
         both = rare.join(often, [*group, "w"], "left_semi").join(within, [*group, "o"])
-        cand = cand.unionByName(_met(kept(alone.unionByName(both)), [*group, "w", "v"], group, _can_agree(passages.TOPIC_SOFT), hot))
+        meet = meet.unionByName(alone.unionByName(both).withColumn("by_topic", F.lit(True)))
+    fits = F.when(F.col("by_topic"), _can_agree(passages.TOPIC_SOFT)).otherwise(_can_agree(words))
+    cand = _met(kept(meet), [*group, "w", "v", "by_topic"], group, fits, hot)
     left = own.select(*group, F.col("o").alias("i"), F.col("key").alias("ki"), F.col("tok").alias("ti"), F.col("top").alias("pi"))
     right = own.select(*group, F.col("o").alias("j"), F.col("key").alias("kj"), F.col("tok").alias("tj"), F.col("top").alias("pj"))
     sim = cand.distinct().join(left, [*group, "i"]).join(right, [*group, "j"])

@@ -23,6 +23,11 @@ def gate(text: Column, source: Column, min_words: int = 28, max_words: int = 500
     return F.coalesce(per_row("boolean", judge, text, source), F.lit(False))
 
 
+def coverage(text: Column, source: Column) -> Column:
+    """Share of a text's different words that are in its source; null for a null text."""
+    return per_row("double", lambda t, s: passages.containment(set(passages.match_form(t).split()), set(passages.match_form(s or "").split())), text, source)
+
+
 def valid_keyword(keyword: Column) -> Column:
     """Not only stop words, and not only noise; a single word must be clean. Null isn't valid."""
     return F.coalesce(per_row("boolean", passages.valid_keyword, keyword), F.lit(False))

@@ -307,8 +307,7 @@ SELECT id, coalesce(len({sql.words('text')}) BETWEEN 28 AND 500 AND len(list_dis
 round({sql.containment('list_distinct(t)', 'list_distinct(s)')}, 3) AS coverage FROM m""")
 def quality_gate(spark, d):
     rows = _nodes(spark, d).where(F.col("text").isNotNull()).withColumn("source_quote", F.coalesce("source_quote", F.lit("")))
-    cover = text.containment(text.token_set(text.match_form(F.col("text"))), text.token_set(text.match_form(F.col("source_quote"))))
-    return rows.select("id", quality.gate(F.col("text"), F.col("source_quote")).alias("passes"), F.round(cover, 3).alias("coverage"))
+    return rows.select("id", quality.gate(F.col("text"), F.col("source_quote")).alias("passes"), F.round(quality.coverage(F.col("text"), F.col("source_quote")), 3).alias("coverage"))
 
 
 @query(f"""WITH {_NODE} SELECT id, CASE WHEN trim(coalesce(metadata.category, '')) IN {sql.in_list(L.ALLOWED_CATEGORIES)} THEN trim(metadata.category)
