@@ -131,6 +131,21 @@ def test_p4_tree_places_partners_in_reach():
                 assert i in visits[leaf[j]]
 
 
+def test_p4_many_copies(spark, tmp_path, monkeypatch):
+    """Classes of many copies are met in several lots, with the same pairs."""
+    monkeypatch.setattr(p4_near, "COPIES", 3)
+    base = [f"từ{i}" for i in range(20)]
+    texts = [" ".join(base)] * 11 + [" ".join(reversed(base[2:]))] * 8 + ["khác hẳn mọi câu"] * 5 + [None, ""]
+    rows = [(f"n{i:02d}", t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows + rows[:4], "id string, text string").repartition(3).write.parquet(f"{tmp_path}/nodes.parquet")
+    sets = {i: set(t.split()) for i, t in rows if t}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])}
+    got = [tuple(r) for r in p4_near.p4_found(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(r)[:2] for r in p4_near.p4_pairs(spark, str(tmp_path)).collect()} == {("n00", "n11")}
+    assert {(r["id"], r["class_id"], r["n_links"]) for r in p4_near.p4_classes(spark, str(tmp_path)).collect()} >= {("n10", "n00", 1), ("n18", "n11", 1), ("n23", "n19", 0)}
+
+
 def test_p4_empty(spark):
     assert near(spark, []) == set() and near(spark, ["a b c"]) == set() and near(spark, ["a b", "b a"]) == {("n000", "n001")}
 
