@@ -1,8 +1,9 @@
 """Problem 2: repetition inside a single text, through tokeniser fertility.
 
 Each text is described by what a public vocabulary makes of it: characters per token, the share
-of tokens that are lone bytes, and the entropy of its tokens. A rejection band on the entropy
-picks the texts that can be repetitive; the share of words in repeats is then counted exactly.
+of tokens that are lone bytes, and the entropy of its tokens. The share of words in repeats is
+counted exactly. Where only repetitive texts are asked for, a rejection band on the entropy picks
+those that can be.
 
 The band is derived, not fitted, so that it loses no case: if half of the n words lie in
 repeats, every token of those words also stands in the other half, so there are at most T - S
@@ -30,6 +31,8 @@ from .p8_encode import VOCABULARY_DIR, encoder
 #: A vocabulary of many languages: its tokens are close to the words of each, so that the band is tight.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MIN_SHARE = 0.5
+#: What rounding may add to an entropy.
+SLACK = 1e-9
 _LINE_EDGE = re.compile(r"(?m)^[^\w\n]*\d+(?=[^\w\n]*(?:\s|$))|(?<=\s)\d+[^\w\n]*$|\b\d+(?=[.)]\s)")
 _ACCENT = re.compile("[ạảãầấậẩẫằắặẳẵẹẻẽềếệểễỉịĩọỏõồốộổỗơờớợởỡụủũưừứựửữỳỵỷỹđ]", re.I)
 
@@ -50,9 +53,12 @@ def repeated_share(words: list[str]) -> float:
     """Share of words in stretches of two or more words that occur earlier in the same text."""
     if len(words) < 2:
         return 0.0
+    pairs = list(zip(words, words[1:]))
+    if len(set(pairs)) == len(pairs):
+        return 0.0
     seen: set[tuple[str, str]] = set()
     covered = bytearray(len(words))
-    for i, pair in enumerate(zip(words, words[1:])):
+    for i, pair in enumerate(pairs):
         if pair in seen:
             covered[i] = covered[i + 1] = 1
         else:
@@ -63,9 +69,10 @@ def repeated_share(words: list[str]) -> float:
 def fertility(df: DataFrame, keys: list[str], text_col: str, path: str | None = None, suspects_only: bool = False) -> DataFrame:
     """keys, script, n_words, chars_per_token, byte_share, entropy, band, repeated_share of each text.
 
-    repeated_share is null for a text that the band rejects; with suspects_only these aren't
-    returned. Null and blank texts and texts without a word have no row. Rows that are repeated
-    stay repeated; other columns are ignored. Long texts are counted whole.
+    Every text has a row. One without a word (null and blank ones too) has 0 words, a share of 0
+    and no other measures. With suspects_only the texts that the band rejects and those without
+    a word aren't returned. Rows that are repeated stay repeated; other columns are ignored. Long
+    texts are counted whole.
     """
     path = path or f"{VOCABULARY_DIR}/{VOCABULARY}"
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -82,6 +89,9 @@ def fertility(df: DataFrame, keys: list[str], text_col: str, path: str | None =
                 words = counted_words(text) if text else []
                 n = len(words)
                 if not n:
+                    if not suspects_only:
+                        at.append(i)
+                        rows.append((None, 0, None, None, None, None, 0.0))
                     continue
                 tokens = list(map(ids_of.__getitem__, words))
                 sizes = sorted(map(len, tokens))
@@ -89,11 +99,10 @@ def fertility(df: DataFrame, keys: list[str], text_col: str, path: str | None =
                 counts = Counter(chain.from_iterable(tokens))
                 entropy = log2(total) - sum(plogp[c] if c < 4096 else c * log2(c) for c in counts.values()) / total
                 band = log2(max(1, total - sum(sizes[: (n + 1) // 2])))
-                suspect = entropy <= band + 1e-9
-                if suspect or not suspects_only:
+                if not suspects_only or entropy <= band + SLACK:
                     at.append(i)
                     script = "vi" if _ACCENT.search(text) else "latin" if text.isascii() else "other"
-                    rows.append((script, n, sum(map(len, words)) / total, sum(c for t, c in counts.items() if t in lone) / total, entropy, band, repeated_share(words) if suspect else None))
+                    rows.append((script, n, sum(map(len, words)) / total, sum(c for t, c in counts.items() if t in lone) / total, entropy, band, repeated_share(words)))
             columns = list(zip(*rows)) if rows else [()] * 7
             kinds = [pa.string(), pa.int32()] + [pa.float64()] * 5
             own = [batch.column(j).take(pa.array(at, pa.int32())) for j in range(len(keys))]
@@ -116,10 +125,10 @@ def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By script: quantiles of the measures over all texts, and how many fall below the band."""
-    measures = fertility(table(spark, sf_dir, "segments"), KEYS, "text")
+    """By script: quantiles of the measures over all texts with words, and how many fall below the band."""
+    measures = fertility(table(spark, sf_dir, "segments"), KEYS, "text").where("n_words > 0")
     quantiles = [F.percentile_approx(c, [0.01, 0.05, 0.5, 0.95, 0.99], 1000).alias(f"q_{c}") for c in ("chars_per_token", "byte_share", "entropy")]
-    return measures.groupBy("script").agg(F.count("*").alias("n"), F.count("repeated_share").alias("n_in_band"), *quantiles)
+    return measures.groupBy("script").agg(F.count("*").alias("n"), F.count_if(F.col("entropy") <= F.col("band") + SLACK).alias("n_in_band"), *quantiles)
 
 
 QUERIES = {"p2_found": p2_found, "p2_shares": p2_shares, "p2_bands": p2_bands}

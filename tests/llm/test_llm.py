@@ -67,6 +67,20 @@ def test_p2_band_loses_nothing(spark):
     assert got == want and want
 
 
+def test_p2_shares_of_every_segment(spark, tmp_path):
+    words = "the model learns from many old pages while her small team keeps every second note about water and light under one open roof near our house".split()
+    texts = [" ".join(words), " ".join(words + words[:6]), "mở. mở. mở. mở", "một", "...", " \n", "", None]
+    rows = [("m", k, t) for k, t in enumerate(texts)]
+    spark.createDataFrame([*rows, rows[1], rows[-1]], "media_id string, seg_idx int, text string").write.parquet(f"{tmp_path}/segments.parquet")
+    got = {r["seg_idx"]: r for r in p2_repetition.p2_shares(spark, str(tmp_path)).collect()}
+    want = {k: p2_repetition.repeated_share(p2_repetition.counted_words(t or "")) for _, k, t in rows}
+    assert {k: r["repeated_share"] for k, r in got.items()} == want and 0 < want[1] < 0.5
+    assert got[1]["entropy"] > got[1]["band"] and [got[k]["n_words"] for k in range(4, 8)] == [0] * 4 and got[7]["entropy"] is None
+    bands = p2_repetition.p2_bands(spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in bands) == 5 and sum(r["n_in_band"] for r in bands) == 2
+    assert [tuple(r) for r in p2_repetition.p2_found(spark, str(tmp_path)).collect()] == [("m", 2)]
+
+
 @pytest.mark.parametrize("text", ["<p>x</p>", "a &nbsp; b", "# Tiêu đề", "**đậm** nhé", "một *từ* thôi", "- mục\n- hai", "[x](https://a.b)", "`mã`", "~~cũ~~", "> trích", "| a | b |\n|---|---|", "[[Trang|tên]]", "{{Hộp|a=1}}", "'''đậm'''", "== Mục ==", "=== Mục ==", r"\textbf{x}", r"$x^2 + y$", r"$$\frac{a}{b}$$", r"\begin{a}", r"\sum_{i=1}^{n} x_{i}", "```\nx\n```", "__đậm__", "một<br/>hai"])
 def test_p3_markup(text):
     assert p3_markup.pieces(text)
