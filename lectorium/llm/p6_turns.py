@@ -2,9 +2,10 @@
 
 Segments of a recording are swept in their order. Labels, time stamps, sound notes and hesitation
 sounds are read off each segment on its own; what a label stands for is then carried on across
-segments. Turns split where the speaker changes, and, for the text of turns, at pauses longer than
-the recording's own calibration; words that a rolling caption repeats (the longest suffix of one
-segment that is a prefix of the next) are taken out.
+segments. Words that a rolling caption repeats (the longest suffix of one segment that is a prefix
+of the next, said by the same speakers) are taken out, so that labels shown again begin no turn;
+after a pause longer than the recording's own calibration nothing counts as repeated. Turns split
+where the speaker changes, and, for the text of turns, at such pauses.
 
 A recording may hold any share of the rows. Its segments are cut into blocks of consecutive
 numbers; windows run inside blocks only, and what one block hands to the next comes from one
@@ -32,6 +33,8 @@ BLOCK = 2048
 MOST_SPEAKERS = 10_000
 #: Seconds below which a pause never splits a turn, and the quantile of gaps that calibrates it.
 LEAST_PAUSE, PAUSE_QUANTILE, PAUSE_FACTOR = 1.5, 0.95, 2.0
+#: Words that a caption must repeat, so that they count as repeated.
+LEAST_REPEATED = 2
 #: Spans after which the text of a turn goes on in a further row at the next block's end, so that rows stay bounded.
 PIECE = 16_384
 
@@ -110,6 +113,11 @@ def _says_something(text: str) -> bool:
     return bool(_SPEECH.search(_HESITATION.sub(" ", _TIME.sub(" ", _NOTE.sub(" ", text)))))
 
 
+def spoken_words(words: str) -> list[str]:
+    """The words of a text that speech() gave, in lower case, without bare signs."""
+    return [w.lower() for w in words.split() if _SPEECH.search(w)]
+
+
 def labels_in(text: str, labels: Labels) -> list[tuple[int, int, int, str]]:
     return labels.find(text) if _TRIGGER.search(text) else []
 
@@ -130,17 +138,20 @@ def spans(text: str, found: list[tuple[int, int, int, str]]) -> list[tuple[str |
 
 
 def read_segments(df: DataFrame, speakers: DataFrame, with_text: bool = False, most_speakers: int | None = None) -> DataFrame:
-    """(media_id, block, seg_idx, pos, speaker, speaks[, words, start_sec, end_sec]): one row per span.
+    """(media_id, block, seg_idx, pos, speaker, speaks, before, n, said, start_sec, end_sec[, words]): one row per span.
 
-    Spans without speech are kept only where they hold a label. Null and blank texts have none. A list
+    Spans without speech are kept only where they hold a label. Null and blank texts have none. n are
+    the words of the span and before those of its segment before it; said, on the first span with
+    speech, is what all of a segment with labels says. Without text n is 0 where there is no label. A list
     of more speakers than one grammar takes is cut into grammars; each reads the segments, and what
     they found is put together by segment, with the same rows.
     """
     most = most_speakers or MOST_SPEAKERS
     listed = speakers.select("speaker_id", "label", "aliases").distinct()
     grammars = max(1, -(-listed.count() // most))
-    times = ["start_sec", "end_sec"] if with_text else []
-    schema = "media_id string, block int, seg_idx int, pos int, speaker string, speaks boolean" + (", words string, start_sec double, end_sec double" if with_text else "")
+    times = ["start_sec", "end_sec"]
+    said_type = pa.list_(pa.struct([("who", pa.string()), ("words", pa.string())]))
+    schema = "media_id string, block int, seg_idx int, pos int, speaker string, speaks boolean, before int, n int, said array<struct<who string, words string>>, start_sec double, end_sec double" + (", words string" if with_text else "")
     # Segments delivered twice are equal but for the time of delivery: their spans are equal as well.
     texts = spread(df.select("media_id", F.col("seg_idx").cast("int").alias("seg_idx"), "text", *times).where(F.col("media_id").isNotNull() & F.col("seg_idx").isNotNull() & (F.trim("text") != "")))
 
@@ -155,25 +166,38 @@ def read_segments(df: DataFrame, speakers: DataFrame, with_text: bool = False, m
         for batch in slices(batches, 8192):
             plain = consistent(batch.column(2))[0].to_pylist()
             given = None if labels else batch.column(batch.num_columns - 1).to_pylist()
-            at, pos, speaker, speaks, words = [], [], [], [], []
+            at, pos, speaker, speaks, before, n, said, words = [], [], [], [], [], [], [], []
             for i, text in enumerate(plain):
                 found = labels_in(text, labels) if labels else [(f["begin"], f["name"], f["end"], f["who"]) for f in given[i] or ()]
-                for p, (who, said) in enumerate(spans(text, found)):
-                    says = _says_something(said)
+                parts, told, heard, first = spans(text, found), [], 0, None
+                for p, (who, part) in enumerate(parts):
+                    says = _says_something(part)
                     if says or who:
+                        own = speech(part) if with_text or says and len(parts) > 1 else ""
+                        if says and first is None:
+                            first = len(at)
                         at.append(i)
                         pos.append(p)
                         speaker.append(who)
                         speaks.append(says)
+                        before.append(heard)
+                        n.append(len(spoken_words(own)))
+                        said.append(None)
+                        heard += n[-1]
+                        if says:
+                            told.append((who, own))
                         if with_text:
-                            words.append(speech(said))
+                            words.append(own)
+                if first is not None and len(parts) > 1:
+                    said[first] = [{"who": who, "words": own} for who, own in told]
             take = pa.array(at, pa.int32())
             index = batch.column(1).cast(pa.int32()).take(take)
             columns = [batch.column(0).take(take), pa.compute.divide(index, pa.scalar(BLOCK, pa.int32())), index, pa.array(pos, pa.int32()), pa.array(speaker, pa.string()), pa.array(speaks, pa.bool_())]
-            names = ["media_id", "block", "seg_idx", "pos", "speaker", "speaks"]
+            columns += [pa.array(before, pa.int32()), pa.array(n, pa.int32()), pa.array(said, said_type), batch.column(3).take(take), batch.column(4).take(take)]
+            names = ["media_id", "block", "seg_idx", "pos", "speaker", "speaks", "before", "n", "said", *times]
             if with_text:
-                columns += [pa.array(words, pa.string()), batch.column(3).take(take), batch.column(4).take(take)]
-                names += ["words", *times]
+                columns.append(pa.array(words, pa.string()))
+                names.append("words")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     if grammars == 1:
@@ -207,15 +231,72 @@ def _carried(rows: DataFrame, value: Column, order: list[str], name: str) -> Dat
 
 
 def resolved(spans_df: DataFrame) -> DataFrame:
-    """The spans that hold speech of a known speaker, with the speaker carried on and starts: whether a turn begins."""
+    """The spans that hold speech of a known speaker, with the speaker carried on and starts: whether a turn begins.
+
+    Besides, gap and prior: the time since the span before and its words (with words only); usual: the
+    pause that calibrates the recording; cut and removed: how many words of the segment and of the span
+    repeat the segment before. A span of which all words are repeated stays in the turn that goes on.
+    """
+    from ..operators.storage import kept
+
+    with_text = "words" in spans_df.columns
+    text = ["words"] if with_text else []
     order = ["seg_idx", "pos"]
     inside = Window.partitionBy("media_id", "block").orderBy(*order)
+    earlier, so_far = (inside.rowsBetween(Window.unboundedPreceding, end) for end in (-1, 0))
     carry = _carried(spans_df, F.col("speaker"), order, "carry")
-    filled = spans_df.join(carry, ["media_id", "block"]).withColumn("speaker", F.coalesce(F.last("speaker", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "carry")).drop("carry")
-    spoken = filled.where(F.col("speaks") & F.col("speaker").isNotNull()).drop("speaks")
-    carry = _carried(spoken, F.col("speaker"), order, "carry")
-    before = F.coalesce(F.lag("speaker").over(inside), "carry")
-    return spoken.join(carry, ["media_id", "block"]).withColumn("starts", F.coalesce(before != F.col("speaker"), F.lit(True))).drop("carry")
+    filled = spans_df.join(carry, ["media_id", "block"]).withColumn("speaker", F.coalesce(F.last("speaker", ignorenulls=True).over(so_far), "carry")).drop("carry")
+
+    # A segment is known to all of its spans, so that the span before tells what the segment before said.
+    begins = F.col("before") == 0
+    spoken = filled.where("speaks").drop("speaks").withColumn("own", F.last(F.when(begins, F.struct("said", F.col("speaker").alias("by"))), ignorenulls=True).over(so_far)).drop("said")
+    span = F.struct("own", "speaker", "end_sec", *text)
+    left = F.coalesce(F.lag(span).over(inside), "carry")
+    spoken = spoken.join(_carried(spoken, span, order, "carry"), ["media_id", "block"]).withColumn("left", left).drop("carry")
+    gap = F.when(F.col("left.speaker").isNotNull(), F.col("start_sec") - F.col("left.end_sec"))
+    # Where the segment before has no label, all of its words are of one speaker: no label can be repeated.
+    rolls = begins & F.col("left.own.said").isNotNull()
+    said = F.coalesce("own.said", F.array(F.struct(F.lit(None).cast("string").alias("who"), F.col("words")))) if with_text else F.col("own.said")
+    cut = _repeats(F.when(rolls, F.col("left.own.said")), F.when(rolls, F.col("left.own.by")), F.when(rolls, said))
+    # Without text the times are done with once gap is known.
+    more = [*text, "start_sec", "end_sec", F.col("left.words").alias("prior")] if with_text else []
+    spoken = kept(spoken.select("media_id", "block", *order, "speaker", "before", "n", gap.alias("gap"), cut.alias("cut"), *more))
+
+    pauses = spoken.where("speaker IS NOT NULL AND gap > 0").groupBy("media_id").agg(F.percentile_approx("gap", PAUSE_QUANTILE, 1000).alias("usual"))
+    spoken = spoken.join(pauses, "media_id", "left")
+    rolling = F.when(begins, F.when(_pause(), 0).otherwise(F.col("cut")))
+    spoken = spoken.withColumn("cut", F.last(rolling, ignorenulls=True).over(so_far)).where(F.col("speaker").isNotNull())
+    spoken = spoken.withColumn("removed", F.least("n", F.greatest(F.col("cut") - F.col("before"), F.lit(0))))
+    fresh = F.when(_anew(), F.col("speaker"))
+    goes_on = F.coalesce(F.last(fresh, ignorenulls=True).over(earlier), "carry")
+    spoken = spoken.join(_carried(spoken, fresh, order, "carry"), ["media_id", "block"]).withColumn("goes_on", goes_on).drop("carry")
+    return spoken.withColumn("starts", F.coalesce(fresh != F.col("goes_on"), fresh.isNotNull())).withColumn("speaker", F.coalesce(fresh, "goes_on")).drop("goes_on").where(F.col("speaker").isNotNull())
+
+
+def _pause() -> Column:
+    """Whether a pause stands before a span; null times never make one."""
+    return F.coalesce(F.col("gap") > F.greatest(F.lit(LEAST_PAUSE), PAUSE_FACTOR * F.col("usual")), F.lit(False))
+
+
+def _anew() -> Column:
+    """Whether a span says anything that the segment before didn't."""
+    return (F.col("removed") == 0) | (F.col("removed") < F.col("n"))
+
+
+def _repeats(before: Column, by: Column, after: Column) -> Column:
+    """repeated() of each row; 0 where one of the segments is null."""
+
+    def tagged(said, first):
+        return [(w, part["who"] or first) for part in said for w in spoken_words(part["words"])]
+
+    @F.arrow_udf("int")
+    def count(before: pa.Array, by: pa.Array, after: pa.Array) -> pa.Array:
+        out = [0] * len(before)
+        for i in pa.compute.indices_nonzero(pa.compute.and_(before.is_valid(), after.is_valid())).to_pylist():
+            out[i] = repeated(tagged(before[i].as_py(), by[i].as_py()), tagged(after[i].as_py(), None))
+        return pa.array(out, pa.int32())
+
+    return count(before, by, after)
 
 
 def turn_starts(df: DataFrame, speakers: DataFrame) -> DataFrame:
@@ -228,8 +309,28 @@ def turn_starts(df: DataFrame, speakers: DataFrame) -> DataFrame:
 
 def overlap(before: list[str], after: list[str]) -> int:
     """Length of the longest suffix of before that is a prefix of after (by Knuth-Morris-Pratt)."""
+    return next(_overlaps(before, after), 0)
+
+
+def repeated(before: list[tuple[str, str | None]], after: list[tuple[str, str | None]]) -> int:
+    """How many words a segment repeats of the one before, two at least, both as (word, speaker).
+
+    Speakers agree as well; words that stand before any label of the later segment can be anyone's.
+    """
+    open_words = next((i for i, (_, who) in enumerate(after) if who), len(after))
+    speakers = [[who for _, who in side] for side in (before, after)]
+    for k in _overlaps([w for w, _ in before], [w for w, _ in after]):
+        if k < LEAST_REPEATED:
+            break
+        if speakers[0][len(before) - k + open_words :] == speakers[1][open_words:k]:
+            return k
+    return 0
+
+
+def _overlaps(before: list[str], after: list[str]) -> Iterator[int]:
+    """Lengths of the suffixes of before that are prefixes of after, longest first."""
     if not before or not after:
-        return 0
+        return
     joined = [*after[: len(before)], None, *before]
     fail = [0] * len(joined)
     for i in range(1, len(joined)):
@@ -237,7 +338,10 @@ def overlap(before: list[str], after: list[str]) -> int:
         while k and joined[i] != joined[k]:
             k = fail[k - 1]
         fail[i] = k + (joined[i] == joined[k])
-    return fail[-1]
+    k = fail[-1]
+    while k:
+        yield k
+        k = fail[k - 1]
 
 
 def turns(df: DataFrame, speakers: DataFrame, piece: int = PIECE) -> DataFrame:
@@ -251,33 +355,25 @@ def turns(df: DataFrame, speakers: DataFrame, piece: int = PIECE) -> DataFrame:
     from ..operators.storage import kept
 
     rows = read_segments(df.dropDuplicates(["media_id", "seg_idx"]), speakers, with_text=True)
-    spoken = kept(resolved(kept(rows)))
+    spoken = resolved(kept(rows))
     order = Window.partitionBy("media_id", "block").orderBy("seg_idx", "pos")
 
-    def after_last(df: DataFrame, value: str, name: str) -> DataFrame:
-        """df with the value of the span before, from the blocks before where a block begins."""
-        boxed = F.struct(value)
-        carry = _carried(df, boxed, ["seg_idx", "pos"], "carry")
-        return df.join(carry, ["media_id", "block"]).withColumn(name, F.coalesce(F.lag(boxed).over(order), "carry")[value]).drop("carry")
-
-    def gaps(df: DataFrame) -> DataFrame:
-        return after_last(df, "end_sec", "left").withColumn("gap", F.col("start_sec") - F.col("left")).drop("left")
-
-    pauses = gaps(spoken.select("media_id", "block", "seg_idx", "pos", "start_sec", "end_sec")).where("gap > 0").groupBy("media_id").agg(F.percentile_approx("gap", PAUSE_QUANTILE, 1000).alias("usual"))
-    spoken = after_last(gaps(spoken), "words", "prior")
-
     @F.pandas_udf("string")
-    def fresh(words, prior):
-        def one(w, p):
+    def fresh(words, prior, removed):
+        def one(w, p, k):
             own = w.split()
+            if k:
+                spoken = [i for i, x in enumerate(own) if _SPEECH.search(x)]
+                return " ".join(own[spoken[k] :] if k < len(spoken) else [])
             cut = overlap([x.lower() for x in p.split()[-len(own) :]], [x.lower() for x in own]) if p and own else 0
-            return " ".join(own[cut:] if cut >= 2 else own)
+            return " ".join(own[cut:] if cut >= LEAST_REPEATED else own)
 
-        return words.combine(prior.fillna(""), one)
+        return words.combine(prior.fillna(""), lambda w, p: (w, p)).combine(removed, lambda wp, k: one(*wp, k))
 
-    split = F.col("starts") | (F.col("gap") > F.greatest(F.lit(LEAST_PAUSE), PAUSE_FACTOR * F.col("usual")))
-    marked = spoken.join(pauses, "media_id", "left").withColumn("split", F.coalesce(split, F.col("starts")).cast("int"))
-    marked = marked.withColumn("turn", F.sum("split").over(order)).withColumn("words", fresh("words", F.when(F.col("split") == 0, F.col("prior"))))
+    marked = spoken.withColumn("split", (F.col("starts") | (_pause() & _anew())).cast("int"))
+    # What a segment repeats is taken out once: what remains is not compared again with the span before.
+    compared = (F.col("split") == 0) & ((F.col("cut") == 0) | (F.col("before") > F.col("cut")))
+    marked = marked.withColumn("turn", F.sum("split").over(order)).withColumn("words", fresh("words", F.when(compared, F.col("prior")), "removed"))
     parts = F.array_sort(F.collect_list(F.struct("seg_idx", "pos", "words", "start_sec", "end_sec")))
     inside = marked.groupBy("media_id", "block", "turn", "speaker").agg(parts.alias("p"), F.max("split").alias("begins"))
     text = F.array_join(F.filter(F.transform("p", lambda x: x["words"]), lambda w: w != ""), " ")

@@ -270,6 +270,48 @@ def test_p6_turns_over_blocks(spark, monkeypatch):
     assert [(r[1], r[3], len(r[-1].split())) for r in found(piece=8) if r[0] == "n"] == [(0, 0, 8), (0, 1, 8), (0, 2, 8), (0, 3, 1)]
 
 
+CAPTIONS = "media_id string, seg_idx int, start_sec double, end_sec double, text string"
+
+
+def test_p6_captions_repeat_labels(spark, monkeypatch):
+    rnd = random.Random(21)
+    who = spark.createDataFrame(SPEAKERS, "speaker_id string, label string, aliases array<string>")
+    rows, starts, words = [], set(), {}
+    # Captions of "m" begin with a label, those of "n" only where the speaker changes.
+    for media in "mn":
+        by, shown, before = ["GV"], 0, 0
+        while len(by) < 600:
+            by += [rnd.choice([n for n in ("GV", "TA", "SV1") if n != by[-1]])] * rnd.randint(1, 6)
+        changes = [j == 0 or by[j] != by[j - 1] for j in range(len(by))]
+        for i in range(70):
+            begin = shown - rnd.choice([0, *range(2, before + 1)]) if before > 1 else shown
+            end = shown + rnd.randint(1, 8)
+            text = " ".join(f"{by[j]}: từ{j}" if changes[j] or j == begin and media == "m" else f"từ{j}" for j in range(begin, end))
+            rows.append((media, i, i * 1.0, i + 0.9, text))
+            starts |= {(media, i, by[j]) for j in range(shown, end) if changes[j]}
+            shown, before = end, end - begin
+        words[media] = [(by[j], f"từ{j}") for j in range(shown)]
+    seg = spark.createDataFrame(rows, CAPTIONS).repartition(3)
+    for block in (2048, 4):
+        monkeypatch.setattr(p6_turns, "BLOCK", block)
+        assert {tuple(r) for r in p6_turns.turn_starts(seg, who).collect()} == starts
+        turns = sorted(p6_turns.turns(seg, who).collect(), key=lambda r: (r["seg_idx"], r["pos"]))
+        assert {m: [(r["speaker_id"], w) for r in turns if r["media_id"] == m for w in r["text"].split()] for m in "mn"} == words
+
+
+def test_p6_captions_after_a_pause(spark):
+    who = spark.createDataFrame(SPEAKERS, "speaker_id string, label string, aliases array<string>")
+    both = "SV1: có ai đó GV: vâng thưa em"
+    rows = [("near", 0, 0.0, 1.0, both), ("near", 1, 1.2, 2.0, both), ("far", 0, 0.0, 1.0, both), ("far", 1, 61.0, 62.0, both), ("none", 0, None, None, both), ("none", 1, None, None, both + " ạ")]
+    # Others who say the same repeat no caption, nor does a single word.
+    rows += [("echo", 0, 0.0, 1.0, both), ("echo", 1, 1.2, 2.0, "TA: vâng thưa em SV1: dạ"), ("one", 0, 0.0, 1.0, "GV: mời TA: vâng"), ("one", 1, 1.2, 2.0, "GV: vâng")]
+    rows += [("far", i, 60.0 + i * 1.3, 61.0 + i * 1.3, "tiếp") for i in range(2, 60)]
+    got = {tuple(r) for r in p6_turns.turn_starts(spark.createDataFrame(rows, CAPTIONS), who).collect()}
+    at = lambda m: {r[1:] for r in got if r[0] == m}
+    assert at("near") == at("none") == {(0, "SV1"), (0, "GV")} and at("far") == {(0, "SV1"), (0, "GV"), (1, "SV1"), (1, "GV")}
+    assert at("echo") == {(0, "SV1"), (0, "GV"), (1, "TA"), (1, "SV1")} and at("one") == {(0, "GV"), (0, "TA"), (1, "GV")}
+
+
 def test_p6_grammars_agree(spark):
     rnd = random.Random(12)
     people = [(f"S{i:02d}", f"Sinh viên {i}", [f"SV{i}", f"Student {i}"] if i % 2 else None) for i in range(1, 16)] + SPEAKERS[:2]
@@ -282,6 +324,9 @@ def test_p6_grammars_agree(spark):
 
 def test_p6_overlap():
     assert p6_turns.overlap("a b c".split(), "b c d".split()) == 2 and p6_turns.overlap(["a"], []) == 0 and p6_turns.overlap("a b".split(), "c".split()) == 0
+    say = lambda t: [(w[0], w[1:] or None) for w in t.split()]
+    assert p6_turns.repeated(say("a1 b2 c2"), say("a1 b2 c2 d2")) == 3 and p6_turns.repeated(say("a1 b2 c2"), say("a b2 c2 d1")) == 3
+    assert p6_turns.repeated(say("a1 b2 c2"), say("b1 c1")) == 0 and p6_turns.repeated(say("a2 a1 a1"), say("a1 a1 a1")) == 2 and p6_turns.repeated(say("a1"), say("a1")) == 0
 
 
 @pytest.mark.parametrize(
