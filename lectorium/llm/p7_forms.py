@@ -13,6 +13,7 @@ mathematical signs, symbols and words of other scripts stay.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -261,6 +262,23 @@ def consistent(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return from_code_points(out, ends), t.changed
 
 
+def consistent_texts(column: pa.Array) -> list[str]:
+    """The texts in the consistent form. Only those with a character that may not belong to it are worked on."""
+    texts = column.fill_null("").to_pylist()
+    search = _suspects().search
+    if at := [i for i, text in enumerate(texts) if search(text)]:
+        for i, text in zip(at, consistent(column.take(pa.array(at, pa.int32())))[0].to_pylist()):
+            texts[i] = text
+    return texts
+
+
+@cache
+def _suspects() -> re.Pattern:
+    """Every special character; all beyond the basic plane count as such, so that one look-up per character is enough."""
+    points = np.flatnonzero(tables().special[:0x10000])
+    return re.compile("[" + "".join(rf"\u{x:04x}" for x in points) + "\U00010000-\U0010ffff]")
+
+
 def normalised(df: DataFrame, keys: list[str], text_col: str, changed_only: bool = False) -> DataFrame:
     """keys, text in the consistent form, changed.
 

@@ -322,6 +322,38 @@ def test_p6_grammars_agree(spark):
     assert ways[0] == ways[1] and len(ways[0]) > 150
 
 
+class Counted:
+    """A pattern that counts its substitutions."""
+
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def sub(self, by, text):
+        self.calls += 1
+        return self.pattern.sub(by, text)
+
+
+def test_p6_plain_speech_needs_no_substitution(monkeypatch):
+    counted = [Counted(getattr(p6_turns, name)) for name in ("_NOTE", "_TIME", "_HESITATION")]
+    for name, pattern in zip(("_NOTE", "_TIME", "_HESITATION"), counted):
+        monkeypatch.setattr(p6_turns, name, pattern)
+    assert all(map(p6_turns._says_something, ["chúng ta xét trường hợp thứ hai", "00:05 ừm, the matrix [Music] is regular"])) and not sum(p.calls for p in counted)
+    assert not any(map(p6_turns._says_something, ["[vỗ tay]", "(tiếng ồn) ừ thì hmm 00:12", "Uh huh, 1h20m05s <noise>", ""])) and sum(p.calls for p in counted) == 12
+
+
+def test_p6_shortcuts_agree():
+    rnd = random.Random(31)
+    bits = ["ừ thì", "uh huh", "uh", "HUH", "12:30", "1h20m3s", "abcd", "abc", "hmm", *"()[]{}<>♪*_- :.\nxhms1", "**", "-->", "=>", " – ", "²²²²", "ſſſſ", "SV1", "GV", "ệ", "tạ\u200bi", "wһо", "ｔ", "\U0001d427", "\U0001f4bb", "\ufeff", "\u00a0", "学习"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))) for _ in range(20_000)]
+    full = lambda t: bool(p6_turns._SPEECH.search(p6_turns._HESITATION.sub(" ", p6_turns._TIME.sub(" ", p6_turns._NOTE.sub(" ", t)))))
+    assert [t for t in texts if p6_turns._says_something(t) != full(t)] == []
+    labels = p6_turns.Labels(SPEAKERS)
+    assert [t for t in texts if p6_turns.labels_in(t, labels) != (labels.find(t) if p6_turns._TRIGGER.search(t) else [])] == []
+    column = pa.array([None, *texts, None], pa.string())
+    for part in (column, column[7:900], column[:0], pa.array(["không", "plain"])):
+        assert p7_forms.consistent_texts(part) == p7_forms.consistent(part)[0].to_pylist()
+
+
 def test_p6_overlap():
     assert p6_turns.overlap("a b c".split(), "b c d".split()) == 2 and p6_turns.overlap(["a"], []) == 0 and p6_turns.overlap("a b".split(), "c".split()) == 0
     say = lambda t: [(w[0], w[1:] or None) for w in t.split()]
