@@ -10,15 +10,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import json_text, passages
 from ..functions.arrow import in_order, mapped, per_row
 from ..functions.text import char_ngrams, jaccard, once
-from .storage import kept
+from .storage import among, kept, pressed, without
 
 #: What a model gives for one node.
 RAW = "struct<text:string,topic:string,category:string,keywords:array<string>,has_code:boolean,question_templates:array<string>>"
@@ -26,6 +28,10 @@ _FINISHED = "text string, topic string, category string, keywords array<string>,
 
 #: Rows of one key that are compared with each other in one place; more are split into blocks.
 HOT_KEY = 4096
+#: Nodes of one group whose fingerprints are compared in one place; more are split into blocks.
+BLOCK = 1 << 14
+#: Rows and columns of fingerprints that are compared at once, so that they stay in a core's cache.
+TILE = 64, 1024
 #: Links of one group that are decided in one task; a group with more is decided in rounds.
 MOST_LINKS = 500_000
 #: Buckets in which words are counted to put them into an order from rare to frequent.
@@ -68,6 +74,34 @@ def parsed_reply(reply: Column) -> Column:
     return F.transform(json_text.elements(reply), node).cast(f"array<{RAW}>")
 
 
+def finisher(names: list[str], min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30, provenance: bool = False) -> Callable[[dict], list[dict]]:
+    """The rule of sanitize for the row of one chunk. names: the columns that its nodes keep."""
+
+    def finish(row: dict) -> list[dict]:
+        out: list[dict] = []
+        raw = row["nodes"] or []
+        source = passages.Source(row["chunk_text"]) if raw else None
+        passes = lambda t, norm: passages.drop_reason(t, norm) == "keep" and passages.gate(t, norm, source.tokens, min_words, max_words, min_overlap, min_unique)
+        for node_idx, r in enumerate(raw):
+            text = passages.clean_text((r and r["text"]) or "")
+            norm = passages.text_form(text)
+            if not passes(text, norm):
+                continue
+            topic = passages.topic(r["topic"], text)
+            code = passages.contains_code(text) if r["has_code"] is None else r["has_code"]
+            shared = {k: row[k] for k in names} | {"node_idx": node_idx, "topic": topic, "category": passages.category(r["category"]), "has_code": code}
+            shared |= {"keywords": passages.validate_keywords(r["keywords"], norm, topic or ""), "question_templates": passages.validate_questions(r["question_templates"], norm)}
+            parts = passages.oversized_parts(text, max_words)
+            for part_idx, part in enumerate(parts):
+                own = norm if len(parts) == 1 else passages.match_form(part)
+                if len(parts) == 1 or passes(part, own):
+                    from_source = {"source_coverage": source.coverage(own), "source_quote": source.quote(own)} if provenance else {}
+                    out.append(shared | {"part_idx": part_idx, "text": part} | from_source)
+        return out
+
+    return finish
+
+
 def sanitize(extracted: DataFrame, min_words: int = 28, max_words: int = 500, min_overlap: float = 0.52, min_unique: float = 0.30, provenance: bool = False) -> DataFrame:
     """Raw nodes to finished ones, one row each.
 
@@ -80,32 +114,12 @@ def sanitize(extracted: DataFrame, min_words: int = 28, max_words: int = 500, mi
     added = T.StructType.fromDDL("node_idx int, part_idx int, " + _FINISHED + (", source_coverage double, source_quote string" if provenance else ""))
     names = [f.name for f in place]
 
-    def make() -> Callable[[dict], list[dict]]:
-        def finish(row: dict) -> list[dict]:
-            out: list[dict] = []
-            raw = row["nodes"] or []
-            source = passages.Source(row["chunk_text"]) if raw else None
-            passes = lambda t, norm: passages.drop_reason(t, norm) == "keep" and passages.gate(t, norm, source.tokens, min_words, max_words, min_overlap, min_unique)
-            for node_idx, r in enumerate(raw):
-                text = passages.clean_text((r and r["text"]) or "")
-                norm = passages.match_form(text)
-                if not passes(text, norm):
-                    continue
-                topic = passages.topic(r["topic"], text)
-                code = passages.contains_code(text) if r["has_code"] is None else r["has_code"]
-                shared = {k: row[k] for k in names} | {"node_idx": node_idx, "topic": topic, "category": passages.category(r["category"]), "has_code": code}
-                shared |= {"keywords": passages.validate_keywords(r["keywords"], norm, topic or ""), "question_templates": passages.validate_questions(r["question_templates"], norm)}
-                parts = passages.oversized_parts(text, max_words)
-                for part_idx, part in enumerate(parts):
-                    own = norm if len(parts) == 1 else passages.match_form(part)
-                    if len(parts) == 1 or passes(part, own):
-                        from_source = {"source_coverage": source.coverage(own), "source_quote": source.quote(own)} if provenance else {}
-                        out.append(shared | {"part_idx": part_idx, "text": part} | from_source)
-            return out
-
-        return finish
-
-    finished = mapped(extracted.select(*names, "chunk_text", "nodes"), T.StructType([*place, *added.fields]), make)
+    finished = mapped(extracted.select(*names, "chunk_text", "nodes"), T.StructType([*place, *added.fields]), lambda: finisher(names, min_words, max_words, min_overlap, min_unique, provenance))
+    return named(finished)
+
+
+def named(finished: DataFrame) -> DataFrame:
+    """Finished nodes with their id, a hash of their place."""
     key = F.concat_ws("\u0001", *(F.col(c).cast("string") for c in ("course", "file_name", "chunk_idx", "node_idx", "part_idx")))
     return finished.withColumn("page", F.lit(None).cast("int")).withColumn("id", F.sha2(key, 256))
 
@@ -116,13 +130,18 @@ def file_nodes(finished: DataFrame, group: list[str], first: float, second: floa
     A file's nodes come from a text that was one row, so they fit into a task.
     """
 
-    def rule(rows: list[dict]) -> list[dict]:
-        def distinct(held: list[dict], threshold: float) -> list[dict]:
-            return [held[i] for i in passages.first_of_alike([passages.Keyed(r["text"], r["topic"]) for r in held], threshold)]
+    return in_order(finished, group, ["chunk_idx", "node_idx", "part_idx"], finished.schema, lambda rows: file_rule(rows, first, second))
+
+
+def file_rule(rows: list[dict], first: float, second: float) -> list[dict]:
+    """What file_nodes leaves of one file's nodes, in order."""
 
-        return distinct(passages.merge_short(distinct(rows, first)), second)
+    def distinct(held: list[dict], threshold: float) -> list[dict]:
+        if len(held) == 1:
+            return held if passages.text_form(held[0]["text"] or "") else []
+        return [held[i] for i in passages.first_of_alike([passages.Keyed(r["text"], r["topic"]) for r in held], threshold)]
 
-    return in_order(finished, group, ["chunk_idx", "node_idx", "part_idx"], finished.schema, rule)
+    return distinct(passages.merge_short(distinct(rows, first)), second)
 
 
 def merge_short(nodes: DataFrame, group: list[str], order: str, min_words: int = 28, max_words: int = 220) -> DataFrame:
@@ -267,9 +286,15 @@ def _similar(own: DataFrame, group: list[str], threshold: float, hot: int = HOT_
         meet = meet.unionByName(alone.unionByName(both).withColumn("by_topic", F.lit(True)))
     fits = F.when(F.col("by_topic"), _can_agree(passages.TOPIC_SOFT)).otherwise(_can_agree(words))
     cand = _met(kept(meet), [*group, "w", "v", "by_topic"], group, fits, hot)
+    return _agreeing(cand.distinct(), own, group, threshold)
+
+
+def _agreeing(cand: DataFrame, own: DataFrame, group: list[str], threshold: float) -> DataFrame:
+    """(group, i, j, similarity): the candidates that count as near-duplicates. own has the features of all their nodes."""
+    words = min(threshold, passages.SOFT)
     left = own.select(*group, F.col("o").alias("i"), F.col("key").alias("ki"), F.col("tok").alias("ti"), F.col("top").alias("pi"))
     right = own.select(*group, F.col("o").alias("j"), F.col("key").alias("kj"), F.col("tok").alias("tj"), F.col("top").alias("pj"))
-    sim = cand.distinct().join(left, [*group, "i"]).join(right, [*group, "j"])
+    sim = cand.join(left, [*group, "i"]).join(right, [*group, "j"])
     sim = once(sim, "similarity", jaccard(F.col("ti"), F.col("tj"))).where(F.col("similarity") >= min(words, passages.TOPIC_SOFT))
     by_gram = F.when(F.col("similarity") >= passages.SOFT, jaccard(char_ngrams(F.col("ki")), char_ngrams(F.col("kj"))) >= passages.NGRAM).otherwise(False)
     by_topic = (F.col("similarity") >= passages.TOPIC_SOFT) & (F.size("pi") > 0) & (F.size("pj") > 0) & (jaccard(F.col("pi"), F.col("pj")) >= passages.TOPIC_LEAST)
@@ -325,20 +350,150 @@ def _dropped(links: DataFrame, group: list[str], most: int) -> DataFrame:
         left = left.join(remain, [*group, "i"], "left_anti").select(*group, "i", "j")
 
 
-def dedupe(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76, most_links: int = MOST_LINKS, hot: int = HOT_KEY) -> DataFrame:
+def _marks(nodes: DataFrame, group: list[str], order: str, text_col: str, topic_col: str) -> DataFrame:
+    """(group, o, h0, h1, n, f0..f3, m, g) of each node: a 128-bit hash of its match form and its topic's
+    words, the number and 256-bit parity of its distinct words, the number and 64-bit parity of its topic's.
+
+    A node without a word has n 0.
+    """
+    own = nodes.select(*group, F.col(order).alias("o"), F.coalesce(text_col, F.lit("")).alias("text"), F.coalesce(topic_col, F.lit("")).alias("topic"))
+    keys = [own.schema[c] for c in [*group, "o"]]
+    schema = T.StructType([*keys, *T.StructType.fromDDL("h0 bigint, h1 bigint, n int, f0 bigint, f1 bigint, f2 bigint, f3 bigint, m int, g bigint").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+
+        def number(w: str) -> int:
+            if w not in known:
+                if len(known) > 1 << 18:
+                    known.clear()
+                known[w] = xxhash.xxh64_intdigest(w)
+            return known[w]
+
+        def parity(sets: list[list[int]], bits: int) -> np.ndarray:
+            flat = np.fromiter((x % bits for s in sets for x in s), np.int64)
+            rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            odd = np.bincount(rows * bits + flat, minlength=len(sets) * bits) & 1
+            return np.packbits(odd.reshape(len(sets), bits).astype(np.uint8), axis=1).view(np.int64)
+
+        for batch in batches:
+            hashes, toks, tops = [], [], []
+            for text, topic in zip(batch.column(len(keys)).to_pylist(), batch.column(len(keys) + 1).to_pylist()):
+                norm = passages.match_form(text)
+                top = passages.meant(passages.match_form(topic).split())
+                hashes.append(xxhash.xxh3_128_digest(norm + "\u0001" + " ".join(sorted(top))))
+                toks.append([number(w) for w in set(norm.split())])
+                tops.append([number(w) for w in top])
+            halves = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            text_bits, topic_bits = parity(toks, 256), parity(tops, 64)
+            counts = [pa.array(list(map(len, sets)), pa.int32()) for sets in (toks, tops)]
+            found = [pa.array(halves[:, 0]), pa.array(halves[:, 1]), counts[0], *(pa.array(text_bits[:, k]) for k in range(4)), counts[1], pa.array(topic_bits[:, 0])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *found], names=schema.names)
+
+    return own.mapInArrow(run, schema)
+
+
+def _near(marks: DataFrame, group: list[str], threshold: float, block: int) -> DataFrame:
+    """(group, i, j): every pair of a group, i before j, whose sizes and fingerprints allow near-duplicates.
+
+    Fingerprints are compared pair by pair, in blocks: nodes are sent as often as their group has
+    blocks, and each pair of blocks meets in a place of its own. A prefix filter would send a node
+    once for a third of its words; where texts share a vocabulary its pairs are more than all pairs.
+    """
+    words = min(threshold, passages.SOFT)
+    kind = marks.schema["o"].dataType
+    held = [marks.schema[g] for g in group]
+    schema = T.StructType([*held, T.StructField("i", kind), T.StructField("j", kind)])
+    target = to_arrow_schema(schema)
+
+    def agree(least: float, n: np.ndarray, m: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(n, m), np.maximum(n, m)
+        return (small >= least * large - 1e-9) & (bits <= np.floor((1 - least) / (1 + least) * (n + m) + 1e-9))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        if not rows.num_rows:
+            return
+        lo, hi = rows["lo"][0].as_py(), rows["hi"][0].as_py()
+        col = {c: rows[c].to_numpy() for c in ("b", "n", "f0", "f1", "f2", "f3", "m", "g")}
+        sides = []
+        for k, b in enumerate((lo, hi)):
+            at = np.flatnonzero(col["b"] == b)
+            at = at[np.argsort(col["n"][at], kind="stable")]
+            f = [col[c][at].view(np.uint64) for c in ("f0", "f1", "f2", "f3", "g")]
+            # Halves put over each other differ in no more bits. No topic agrees with no topic.
+            half, other, topic = f[0] ^ f[2], f[1] ^ f[3], (f[4] ^ (f[4] >> np.uint64(32))).astype(np.uint32)
+            topic[col["m"][at] == 0] = 0 if k else 2**32 - 1
+            sides.append((at, col["n"][at].astype(np.int64), col["m"][at].astype(np.int64), half, other, topic, *f))
+        left, right = sides
+        share, topic_share = (1 - words) / (1 + words), (1 - passages.TOPIC_LEAST) / (1 + passages.TOPIC_LEAST)
+        sizes = min(words, passages.TOPIC_SOFT)
+        long, short = np.empty(TILE[0] * TILE[1], np.uint64), np.empty(TILE[0] * TILE[1], np.uint32)
+        counts = [np.empty(TILE[0] * TILE[1], np.uint8) for _ in range(2)]
+        for a in range(0, len(left[0]), TILE[0]):
+            x = slice(a, a + TILE[0])
+            n = left[1][x]
+            # Only sizes that can agree; within one block each pair once.
+            first = max(int(np.searchsorted(right[1], sizes * n[0] - 1e-6)), a if lo == hi else 0)
+            last = int(np.searchsorted(right[1], n[-1] / sizes + 1e-6, "right"))
+            for c in range(first, last, TILE[1]):
+                y = slice(c, min(c + TILE[1], last))
+                shape = len(n), y.stop - c
+                wide, narrow, bits, more = (v[: shape[0] * shape[1]].reshape(shape) for v in (long, short, *counts))
+                np.bitwise_count(np.bitwise_xor(left[3][x, None], right[3][y], out=wide), out=bits)
+                np.bitwise_count(np.bitwise_xor(left[4][x, None], right[4][y], out=wide), out=more)
+                np.add(bits, more, out=bits)
+                np.bitwise_count(np.bitwise_xor(left[5][x, None], right[5][y], out=narrow), out=more)
+                some = bits <= min(255, int(share * (n[-1] + right[1][y][-1]) + 1e-9))
+                some |= more <= min(255, int(topic_share * (left[2][x].max() + right[2][y].max()) + 1e-9))
+                p, q = np.nonzero(some)
+                p, q = p + a, q + c
+                if lo == hi:
+                    p, q = p[p < q], q[p < q]
+                if not len(p):
+                    continue
+                exact = sum(np.bitwise_count(left[k][p] ^ right[k][q]).astype(np.int64) for k in range(6, 10))
+                by_topic = (left[2][p] > 0) & (right[2][q] > 0) & agree(passages.TOPIC_LEAST, left[2][p], right[2][q], np.bitwise_count(left[10][p] ^ right[10][q]).astype(np.int64))
+                fits = agree(words, left[1][p], right[1][q], exact) | (by_topic & agree(passages.TOPIC_SOFT, left[1][p], right[1][q], exact))
+                i, j = rows["o"].take(pa.array(left[0][p[fits]])), rows["o"].take(pa.array(right[0][q[fits]]))
+                ends = pa.compute.less(i, j)
+                both = pa.compute.if_else(ends, i, j), pa.compute.if_else(ends, j, i)
+                apart = pa.compute.not_equal(i, j)
+                found = pa.table([*(pa.repeat(rows[g][0], len(i)) for g in group), *both], names=target.names).filter(apart)
+                yield from found.cast(target).to_batches()
+
+    cuts = marks.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("cuts")).where("cuts > 1")
+    cut = marks.join(F.broadcast(cuts), group, "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
+    cut = cut.withColumn("b", F.pmod(F.xxhash64("o"), F.col("cuts")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    place = [*group, "lo", "hi"]
+    rows = cut.select(*group, F.least("b", "x").alias("lo"), F.greatest("b", "x").alias("hi"), "b", "o", "n", "f0", "f1", "f2", "f3", "m", "g")
+    parts = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *place).groupBy(*place).applyInArrow(meet, schema)
+
+
+def dedupe(nodes: DataFrame, group: list[str], order: str, text_col: str = "text", topic_col: str = "topic", threshold: float = 0.76, most_links: int = MOST_LINKS, hot: int = BLOCK) -> DataFrame:
     """The nodes that remain when, in order, each is dropped that is similar to a remaining one before it.
 
     That is the first maximal independent set in order, not one node per connected group: of a~b, b~c
     with a and c unlike, a and c remain. Nodes equal in text and topic words are one class (of which
     the first counts) before pairs are made, so that copies never make pairs with each other. Null
-    and empty texts are dropped. nodes is read twice, so pass a table or a checkpoint.
+    and empty texts are dropped. nodes is read several times, so pass a table or a checkpoint. Only
+    fingerprints are shuffled for all nodes; texts only for pairs that these allow, and for what goes.
     """
-    heads = kept(_classes(_features(nodes, group, order, text_col, topic_col), group))
-    links = kept(_similar(heads, group, threshold, hot).select(*group, "i", "j"))
-    remain = heads.select(*group, "o")
-    if not links.isEmpty():
-        remain = remain.join(_dropped(links, group, most_links), [*group, "o"], "left_anti")
-    return nodes.join(remain.withColumnRenamed("o", order), [*group, order], "left_semi")
+    own, same = [*group, "o"], [*group, "h0", "h1"]
+    every = pressed(_marks(nodes, group, order, text_col, topic_col))
+    marks = every.where("n > 0")
+    more = kept(marks.groupBy(*same).agg(F.min("o").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
+    copies = kept(among(marks, more, same).join(more, same).where("o > first").select(*own))
+    cand = kept(_near(without(marks, copies, own), group, threshold, hot))
+    gone = every.where("n = 0").select(*own).unionByName(copies)
+    if not cand.isEmpty():
+        ends = kept(cand.select(*group, F.col("i").alias("o")).unionByName(cand.select(*group, F.col("j").alias("o"))).distinct())
+        texts = among(nodes.withColumn("o", F.col(order)), ends, own).select(*group, "o", F.col(text_col).alias("text"), F.col(topic_col).alias("topic"))
+        links = kept(_agreeing(cand, pressed(_features(texts, group, "o", "text", "topic")), group, threshold).select(*group, "i", "j"))
+        if not links.isEmpty():
+            gone = gone.unionByName(_dropped(links, group, most_links))
+    return without(nodes.withColumn("o", F.col(order)), kept(gone), own).select(*nodes.columns)
 
 
 def keep_error_free(nodes: DataFrame, errors: DataFrame, keys: list[str]) -> DataFrame:

@@ -285,3 +285,43 @@ def test_merge_short_without_file_name(spark, monkeypatch):
     monkeypatch.setattr(catalogue, "_nodes", lambda spark, d: rows)
     got = catalogue.merge_short(spark, "").collect()
     assert {(r["id"], r["file_name"], r["text"]) for r in got} == {(f"n{i}", None, "Một câu ngắn.") for i in range(5)}
+
+
+def test_flow_keeps_little_on_disk(spark):
+    """Intermediate data of the whole flow, with all its checkpoints, stays near the size of the texts."""
+    from pathlib import Path
+
+    from lectorium.operators.storage import kept
+    from lectorium.plans import pipelines
+
+    rnd = random.Random(11)
+    texts = [_file(rnd, 40) for _ in range(120)]
+    docs = kept(spark.createDataFrame([(k, "c", None, t) for k, t in enumerate(texts)], "doc_id long, course string, file_name string, text string"))
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    before = size()
+    assert pipelines.transcript_nodes(docs).count() > 120
+    assert size() - before < 1.5 * sum(len(t.encode()) for t in texts)
+
+
+def test_texts_of_one_file_name_are_one_file(spark):
+    """Documents without an id share their file's name: their nodes are decided together."""
+    from lectorium.plans import pipelines
+
+    rnd = random.Random(12)
+    a, b = _file(rnd, 30), _file(rnd, 30)
+    rows = [(None, "c", "f", a), (None, "c", "f", a), (None, "c", "f", b), (None, "c", "f", None), (1, "c", "f", b)]
+    got = pipelines.transcript_nodes(spark.createDataFrame(rows, "doc_id long, course string, file_name string, text string")).collect()
+    assert len({r["text"] for r in got}) == len(got) == 10 and {r["file_name"] for r in got} == {"f"}
+
+
+def test_rows_by_keys(spark):
+    from lectorium.operators import storage
+
+    df = storage.pressed(spark.range(5000).selectExpr("id % 7 AS g", "cast(id AS string) AS o", "IF(id % 3 = 0, NULL, array(id)) AS a", "cast(NULL AS int) AS z").repartition(3))
+    keys = spark.range(0, 5000, 11).selectExpr("id % 7 AS g", "cast(id AS string) AS o")
+    for few in (storage.FEW_KEYS, 0):
+        inside, outside = storage.among(df, keys, ["g", "o"], few), storage.without(df, keys, ["g", "o"], few)
+        assert {int(r["o"]) for r in inside.collect()} == set(range(0, 5000, 11))
+        assert {int(r["o"]): r["a"] for r in outside.collect()} == {i: None if i % 3 == 0 else [i] for i in range(5000) if i % 11}
+    assert storage.pressed(df.limit(0)).count() == 0 and storage.without(df, keys.limit(0), ["g", "o"], 0).count() == 5000
